@@ -7,13 +7,42 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import line_dedup as _lines
 from . import quality_rules as _rules
+from . import token_counts as _counts
+from . import token_file as _file
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _file.token_files(_documents(spark, sf_dir))
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counts.token_counts(_documents(spark, sf_dir))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _lines.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(range(len(x))) AS i, unnest(x) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key, max(doc_id) AS largest FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+f AS (SELECT k.*, coalesce(k.doc_id <> c.largest, false) AS gone FROM k LEFT JOIN c USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, sum(gone::INT)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM f GROUP BY doc_id
+"""
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _rules.quality_rules(_documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -43,8 +72,13 @@ FROM f
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_quality_rules": op10_quality_rules}
+    return {
+        "op3_token_file": op3_token_file,
+        "op4_token_counts": op4_token_counts,
+        "op7_line_dedup": op7_line_dedup,
+        "op10_quality_rules": op10_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality_rules": OP10_SQL}
+    return {"op7_line_dedup": OP7_SQL, "op10_quality_rules": OP10_SQL}
