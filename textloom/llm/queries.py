@@ -7,16 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import decontaminate as _leaks
 from . import line_dedup as _lines
+from . import packing as _packing
 from . import quality_rules as _rules
 from . import token_counts as _counts
 from . import token_file as _file
+from . import toxicity as _toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packing.pack_documents(_documents(spark, sf_dir))
+
+
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _file.token_files(_documents(spark, sf_dir))
     return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -26,6 +33,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counts.token_counts(_documents(spark, sf_dir))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    third = F.crc32(F.col("doc_id").cast("string")) % 3
+    out = _toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), third != 1)
+    return out.select("doc_id", (third == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _lines.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -43,6 +56,10 @@ FROM f GROUP BY doc_id
 """
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks.matches(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _rules.quality_rules(_documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -73,9 +90,12 @@ FROM f
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_best_fit_packing": op2_best_fit_packing,
         "op3_token_file": op3_token_file,
         "op4_token_counts": op4_token_counts,
+        "op5_toxicity": op5_toxicity,
         "op7_line_dedup": op7_line_dedup,
+        "op9_decontamination": op9_decontamination,
         "op10_quality_rules": op10_quality_rules,
     }
 
