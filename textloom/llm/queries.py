@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate as _leaks
 from . import line_dedup as _lines
+from . import lm_scoring as _lm
 from . import packing as _packing
 from . import quality_rules as _rules
 from . import token_counts as _counts
@@ -56,6 +57,10 @@ FROM f GROUP BY doc_id
 """
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lm.score_texts(_documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 10 == 0)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _leaks.matches(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -95,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_token_counts": op4_token_counts,
         "op5_toxicity": op5_toxicity,
         "op7_line_dedup": op7_line_dedup,
+        "op8_lm_scoring": op8_lm_scoring,
         "op9_decontamination": op9_decontamination,
         "op10_quality_rules": op10_quality_rules,
     }
