@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import decontaminate as _leaks
 from . import line_dedup as _lines
 from . import lm_scoring as _lm
+from . import ngram_jaccard as _jaccard
 from . import packing as _packing
 from . import quality_rules as _rules
 from . import token_counts as _counts
@@ -21,6 +22,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _jaccard.jaccard_components(_documents(spark, sf_dir))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _packing.pack_documents(_documents(spark, sf_dir))
 
@@ -95,6 +100,7 @@ FROM f
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_token_file": op3_token_file,
         "op4_token_counts": op4_token_counts,
