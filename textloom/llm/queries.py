@@ -13,6 +13,7 @@ from . import lm_scoring as _lm
 from . import ngram_jaccard as _jaccard
 from . import packing as _packing
 from . import quality_rules as _rules
+from . import site_quality as _site
 from . import token_counts as _counts
 from . import token_file as _file
 from . import toxicity as _toxicity
@@ -45,6 +46,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (third == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
 
 
+def op6_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    third = F.crc32(F.col("doc_id").cast("string")) % 3
+    out = _site.site_quality(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), third != 1)
+    return out.select("doc_id", (third == 1).alias("held_out"), "evidence", "host_rate", "path_rate", "score", F.col("kept").cast("int").alias("predicted"), "kept")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _lines.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -105,6 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_file": op3_token_file,
         "op4_token_counts": op4_token_counts,
         "op5_toxicity": op5_toxicity,
+        "op6_site_quality": op6_site_quality,
         "op7_line_dedup": op7_line_dedup,
         "op8_lm_scoring": op8_lm_scoring,
         "op9_decontamination": op9_decontamination,
