@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -324,3 +324,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = rows.join(roots, F.col("set") == F.col("node"), "left").withColumn("root", F.coalesce("root", "set"))
     first = named.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return named.join(first, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that are the first of their component, with their own columns.
+
+    Of rows that repeat the first id one stays, the one of the least text. Rows without an id
+    stay where their whole component has none.
+    """
+    parts = written(jaccard_components(docs, id_col, text_col, width, percent), "components")
+    first = parts.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_first_id")).agg(F.count("*").alias("_rows"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_first_id"))
+    out = docs.join(first.where((F.col("_rows") == 1) | F.col("_first_id").isNull()).select("_first_id"), same, "left_semi")
+    many = first.where((F.col("_rows") > 1) & F.col("_first_id").isNotNull()).select("_first_id")
+    if many.head(1):
+        place = F.row_number().over(Window.partitionBy(F.col(id_col)).orderBy(F.col(text_col)))
+        out = out.unionByName(docs.join(many, same, "left_semi").withColumn("_place", place).where("_place = 1").drop("_place"))
+    return out
