@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import content
+
 Query = Callable[[SparkSession, str], DataFrame]
 
-FLAGSHIP = "agg_funnel"
+FLAGSHIP = "agg7_funnel"
+PARTS = (content,)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {k: v for part in PARTS for k, v in part.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for part in PARTS for k, v in part.oracle_sql().items()}
