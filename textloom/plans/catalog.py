@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import content
+from . import content, relational
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 FLAGSHIP = "agg7_funnel"
-PARTS = (content,)
+PARTS = (content, relational)
 
 
 def queries() -> dict[str, Query]:
