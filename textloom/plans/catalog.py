@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import content, relational
+from . import content, pipelines, relational
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 FLAGSHIP = "agg7_funnel"
-PARTS = (content, relational)
+PARTS = (content, relational, pipelines)
 
 
 def queries() -> dict[str, Query]:
