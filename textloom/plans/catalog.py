@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import content, pipelines, relational
+from . import content, pipelines, relational, rubrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 FLAGSHIP = "agg7_funnel"
-PARTS = (content, relational, pipelines)
+PARTS = (content, relational, pipelines, rubrics)
 
 
 def queries() -> dict[str, Query]:
