@@ -35,6 +35,17 @@ FILE_IDS = 4 << 20
 U = np.uint64
 
 
+def _windows(small: np.ndarray, count: int) -> np.ndarray:
+    """Where ``count`` true values start."""
+    out, have = small.copy(), 1
+    while have < count and out.any():
+        step = min(have, count - have)
+        out[:-step] &= out[step:]
+        out[len(out) - step :] = False
+        have += step
+    return out
+
+
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words, and the first word of each block and the end."""
     n, blocks = len(ids), -(-len(ids) // BLOCK)
@@ -47,12 +58,9 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         count, bits = KINDS[kind]
         small = ids < (U(1) << U(bits))
         if count > 1:
-            if n < count or not small.any():
+            if n < count or not (small := _windows(small, count)).any():
                 continue
-            bad = np.concatenate(([0], np.cumsum(~small)))
-            fits = np.zeros(n, bool)
-            fits[: n - count + 1] = bad[count:] == bad[:-count]
-            small = fits & (room >= count)
+            small &= room >= count
         choice[small] = kind
     step = np.array([c for c, _ in KINDS] + [0, 1])[choice]
     at, ends, heads = starts.copy(), starts + length, []
@@ -162,9 +170,9 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
 
         held = 0
         for b in batches:
-            for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for i, text in zip(b.column(0).to_pylist(), tokens.texts(b.column(1)), strict=True):
                 ids.append(i)
-                texts.append(tokens.text(text.as_py()))
+                texts.append(text)
                 held += len(texts[-1]) // 4
                 if held >= FILE_IDS:
                     flush()
