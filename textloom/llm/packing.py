@@ -105,20 +105,22 @@ class Bins:
 
     def improve(self) -> None:
         """Empties bins until as few are left as the sum of lengths needs, or patience ends."""
-        least, left, failed = -(-sum(self.lengths) // self.capacity), sum(map(bool, self.items)), 0
-        under = sorted((b for b in range(len(self.items)) if self.fill[b] < self.capacity), key=self.fill.__getitem__)
-        for place, victim in enumerate(under):
-            if left <= least or failed >= PATIENCE:
+        least, left = -(-sum(self.lengths) // self.capacity), sum(map(bool, self.items))
+        stuck: set[int] = set()
+        failed = 0
+        while left > least and failed < PATIENCE:
+            under = [b for b in range(len(self.items)) if self.items[b] and self.fill[b] < self.capacity]
+            if not (free := [b for b in under if b not in stuck]):
                 return
-            while self.items[victim]:
-                others = [b for b in under[place + 1 :] if self.fill[victim] <= self.fill[b] < self.capacity]
-                if not self.exchange(victim, others):
-                    break
+            victim, moved = min(free, key=self.fill.__getitem__), False
+            while self.items[victim] and self.exchange(victim, [b for b in under if b != victim and self.fill[victim] <= self.fill[b] < self.capacity]):
+                moved = True
             if self.items[victim]:
+                stuck = {victim} if moved else stuck | {victim}
                 failed += 1
             else:
                 self._unlist(victim)
-                left, failed = left - 1, 0
+                left, failed, stuck = left - 1, 0, set()
 
 
 def pack(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
@@ -143,8 +145,7 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, voc
         tokens = word_ids(vocabulary)
         for b in batches:
             rows: list[tuple] = []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                ids = tokens.text(text.as_py())
+            for i, ids in zip(b.column(0).to_pylist(), tokens.texts(b.column(1)), strict=True):
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part)))
