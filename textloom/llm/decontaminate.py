@@ -2,10 +2,13 @@
 
 Texts are lower-cased and their white space is one space. An item of m characters may have
 k = floor(``error_rate`` x m) edits. It is split into k + 2 pieces: k edits leave at least two of
-them as they are, at places that agree up to k. All pieces of all items are one Aho-Corasick
-automaton; where two pieces of an item agree, the stretch is verified by Myers' bit-parallel
-edit distance (the item anywhere in the stretch). Items go to the workers in blocks of at most
-``BLOCK_CHARS`` characters; a larger benchmark takes one pass over the documents a block.
+them as they are, at places that agree up to k. Exact hits of pieces are found for many texts at
+once: the first bytes at every place are looked up in a table of the pieces' first bytes, and
+whole pieces are compared where these are known. Where two pieces of an item agree, and the
+stretch holds all but ``GRAM`` k of the item's ``GRAM``-character substrings (an edit changes no
+more), it is verified by Myers' bit-parallel edit distance (the item anywhere in the stretch).
+Items go to the workers in blocks of at most ``BLOCK_CHARS`` characters; a larger benchmark takes
+one pass over the documents a block.
 
 Cases: null or empty texts match nothing. Items of under ``min_chars`` characters, null ones
 included, are not searched: they occur in clean texts. Items that repeat give a row each. Rows
@@ -21,12 +24,16 @@ from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
-import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_CHARS = 4 << 20
+#: Bytes of texts searched at a time, and the bits of the table of first bytes.
+CHUNK, TABLE_BITS = 16 << 20, 22
+GRAM = 4
+U = np.uint64
 
 
 def plain(text: str) -> str:
@@ -70,37 +77,77 @@ def myers(item: str, text: str, most: int, anchored: bool = False) -> tuple[int,
 
 
 class Searcher:
-    """The automaton over one block of items: (item id, text) pairs."""
+    """The pieces of one block of items: (item id, text) pairs."""
 
     def __init__(self, items: list[tuple[int, str]], error_rate: float, min_chars: int) -> None:
         self.items = [(i, p, math.floor(error_rate * len(p))) for i, t in items if t is not None and len(p := plain(t)) >= min_chars]
-        pieces: dict[str, list[tuple[int, int, int]]] = defaultdict(list)  # item, number of the piece, place in the item
+        pieces: dict[bytes, list[tuple[int, int, int]]] = defaultdict(list)  # item, number of the piece, place in the item
         for n, (_, text, k) in enumerate(self.items):
             cuts = [len(text) * j // (k + 2) for j in range(k + 3)]
             for j in range(k + 2):
-                pieces[text[cuts[j] : cuts[j + 1]]].append((n, j, cuts[j]))
-        self.automaton = ahocorasick.Automaton()
+                pieces[text[cuts[j] : cuts[j + 1]].encode()].append((n, j, cuts[j]))
+        self.width = min([8, *map(len, pieces)])
+        self.by_key: dict[int, list[tuple[bytes, list[tuple[int, int, int]]]]] = defaultdict(list)
         for piece, of in pieces.items():
-            self.automaton.add_word(piece, (len(piece), of))
-        self.any = bool(pieces)
-        if pieces:
-            self.automaton.make_automaton()
-
-    def find(self, text: str | None, first: bool = False) -> list[tuple[int, int, int, int]]:
-        """item id, distance, start and end in the text, of the best match of each item."""
-        if not text or not self.any:
-            return []
-        whole = plain(text)
-        hits: dict[int, list[tuple[int, int]]] = defaultdict(list)  # of an item: where it would start, piece
-        for end, (size, of) in self.automaton.iter(whole):
-            for n, j, at in of:
-                hits[n].append((end + 1 - size - at, j))
+            self.by_key[int.from_bytes(piece[: self.width], "little")].append((piece, of))
+        self.keys = np.array(sorted(self.by_key), U)
+        self.table = np.zeros(1 << TABLE_BITS, bool)
+        self.table[self._slots(self.keys)] = True
+
+    @staticmethod
+    def _slots(keys: np.ndarray) -> np.ndarray:
+        return ((keys * U(0x9E3779B97F4A7C15)) >> U(64 - TABLE_BITS)).astype(np.int64)
+
+    def _hits(self, texts: list[bytes]) -> dict[int, dict[int, list[tuple[int, int, int]]]]:
+        """By text and item: (place in the text in bytes, piece, its place in the item)."""
+        body = b"\n".join(texts) + b"\n" * 8  # no text has a line feed, so no hit crosses two
+        keys = np.ndarray((len(body) - 7,), "<u8", body, strides=(1,)) & U((1 << 8 * self.width) - 1)
+        at = np.flatnonzero(self.table[self._slots(keys)])
+        found = keys[at]
+        known = self.keys[np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)] == found
+        at, found = at[known], found[known]
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        rows = np.searchsorted(starts, at, "right") - 1
+        out: dict[int, dict[int, list[tuple[int, int, int]]]] = defaultdict(lambda: defaultdict(list))
+        for place, key, row, start in zip(at.tolist(), found.tolist(), rows.tolist(), starts[rows].tolist(), strict=True):
+            for piece, of in self.by_key[key]:
+                if body.startswith(piece, place):
+                    for n, j, where in of:
+                        out[row][n].append((place - start, j, where))
+        return out
+
+    def find(self, texts: pa.Array, first: bool = False) -> Iterator[list[tuple[int, int, int, int]]]:
+        """For each text: item id, distance, start and end in the text, of the best match of each
+        item. first: one match is enough."""
+        held: list[str] = []
+        size = 0
+        for t in texts:
+            held.append(t.as_py() or "")
+            size += len(held[-1])
+            if size >= CHUNK:
+                yield from self._found(held, first)
+                held, size = [], 0
+        yield from self._found(held, first)
+
+    def _found(self, texts: list[str], first: bool) -> Iterator[list[tuple[int, int, int, int]]]:
+        if not self.items:
+            yield from ([] for _ in texts)
+            return
+        whole = [plain(t) for t in texts]
+        raw = [w.encode() for w in whole]
+        hits = self._hits(raw)
+        for row, text in enumerate(texts):
+            yield self._matched(text, whole[row], raw[row], hits[row], first) if row in hits else []
+
+    def _matched(self, text: str, whole: str, raw: bytes, hits: dict[int, list[tuple[int, int, int]]], first: bool) -> list[tuple[int, int, int, int]]:
         out, origin = [], None
         for n, mine in hits.items():
+            item, pattern, k = self.items[n]
             if len(mine) < 2:
                 continue
-            item, pattern, k = self.items[n]
-            if best := self._best(whole, pattern, k, sorted(mine)):
+            if len(raw) != len(whole):  # places in characters
+                mine = [(len(raw[:place].decode()), j, where) for place, j, where in mine]
+            if best := self._best(whole, pattern, k, sorted((place - where, j) for place, j, where in mine)):
                 if first:
                     return [(item, *best)]
                 origin = origin or places(text)
@@ -111,6 +158,7 @@ class Searcher:
     def _best(whole: str, pattern: str, k: int, hits: list[tuple[int, int]]) -> tuple[int, int, int] | None:
         """Distance, start, end in ``whole``, from stretches where two pieces agree up to k."""
         best, done = None, -1
+        grams = [pattern[x : x + GRAM] for x in range(len(pattern) - GRAM + 1)]
         for (a, i), (b, j) in zip(hits, hits[1:], strict=False):
             # sorted by place: where any two different pieces agree, so do two neighbours, unless
             # one piece repeats between them; then the stretch is verified as well
@@ -120,7 +168,11 @@ class Searcher:
             if high <= done:
                 continue
             done = high
-            if got := myers(pattern, whole[low:high], k if best is None else best[0] - 1):
+            stretch = whole[low:high]
+            there = {stretch[x : x + GRAM] for x in range(len(stretch) - GRAM + 1)}
+            if sum(map(there.__contains__, grams)) < len(grams) - GRAM * k:
+                continue
+            if got := myers(pattern, stretch, k if best is None else best[0] - 1):
                 end = low + got[1]
                 back = myers(pattern[::-1], whole[max(0, end - len(pattern) - k) : end][::-1], got[0], anchored=True)
                 best = (got[0], end - back[1], end)
@@ -159,7 +211,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             find = _searcher(shared, key, error_rate, min_chars).find
             for b in batches:
-                got = [(i, *m) for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True) for m in find(t.as_py())]
+                got = [(i, *m) for i, found in zip(b.column(0).to_pylist(), find(b.column(1)), strict=True) for m in found]
                 columns = list(zip(*got, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "distance", "start", "end"])
 
@@ -177,7 +229,7 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: s
         def keep(batches: Iterator[pa.RecordBatch], shared=shared, key=key) -> Iterator[pa.RecordBatch]:
             find = _searcher(shared, key, error_rate, min_chars).find
             for b in batches:
-                yield b.filter(pa.array([not find(t.as_py(), first=True) for t in b.column(at)], pa.bool_()))
+                yield b.filter(pa.array([not found for found in find(b.column(at), first=True)], pa.bool_()))
 
         docs = docs.mapInArrow(keep, docs.schema)
     return docs
