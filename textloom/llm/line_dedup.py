@@ -192,17 +192,17 @@ def dedup_lines(
 def _visiting(docs: DataFrame, index: DataFrame, shards: int, salts: int, id_col: str, text_col: str, min_chars: int, schema: T.StructType) -> DataFrame:
     """As above where the index is too large to send: line hashes visit the shards, and what is
     dropped comes back to its document by the id."""
-    visits = _line_keys(docs, id_col, text_col, min_chars).withColumn("shard", F.pmod("h2", F.lit(shards))).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(salts)))
-    copies = index.select("shard", "bytes", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long").alias("salt"))
-
-    def look(left: Iterator[pa.RecordBatch], right: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = next((pickle.loads(b.column("bytes")[0].as_py()) for b in right if b.num_rows), None)
-        for b in left:
-            if table is not None and b.num_rows:
-                h1, h2, doc = (b.column(c).to_numpy() for c in ("h1", "h2", "doc"))
-                at = table.find(h1.view(U), h2.view(U))
-                gone = (at >= 0) & (table.largest[at] != doc)
-                yield pa.RecordBatch.from_arrays([pa.array(x[gone]) for x in (h1, h2, doc)], names=["h1", "h2", "doc"])
+    visits = _line_keys(docs, id_col, text_col, min_chars).withColumn("shard", F.pmod("h2", F.lit(shards))).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(salts)).cast("int"))
+    copies = index.select("shard", "bytes", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        h1, h2, doc = (left[c].to_numpy() for c in ("h1", "h2", "doc"))
+        gone = np.zeros(len(h1), bool)
+        if left.num_rows and right.num_rows:
+            table = pickle.loads(right["bytes"][0].as_py())
+            at = table.find(h1.view(U), h2.view(U))
+            gone = (at >= 0) & (table.largest[at] != doc)
+        return pa.table([pa.array(x[gone]) for x in (h1, h2, doc)], names=["h1", "h2", "doc"])
 
     gone = visits.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt")).applyInArrow(look, "h1 long, h2 long, doc long")
     gone = gone.groupBy(F.col("doc").alias("_gone_doc")).agg(F.collect_set(F.struct("h1", "h2")).alias("_gone"))
