@@ -20,6 +20,8 @@ _METRICS = "(VALUES ('accuracy', 0.80, 0.90), ('pass_at_1', 0.42, 0.40), ('token
 _RUNS = "(VALUES (1, true, 0.91, 400, 1200.5), (2, false, NULL, 10, 33.0), (3, true, 0.87, 350, 900.0), (4, true, 0.93, 500, 1500.25), (5, true, 0.93, 450, 1400.0), (6, true, 0.61, 90, 300.0), (7, true, 0.75, 200, 610.0)) AS r(run, success, best_metric, best_step, duration)"
 _GATES = "(VALUES (1, 'generation', true, 'passed', 0.92), (2, 'performance', true, 'passed', 0.81), (3, 'consistency', false, 'failed', 0.55), (4, 'safety', true, 'failed', 0.4), (5, 'output', false, 'passed', 0.77), (6, 'memory', true, 'passed', 0.66)) AS g(position, test, required, status, score)"
 _PROBLEMS = "(VALUES ('a', 1, true, true), ('a', 2, true, false), ('a', 3, false, false), ('b', 1, true, true), ('b', 2, true, true), ('b', 3, true, true), ('b', 4, true, true), ('b', 5, true, true), ('b', 6, true, true), ('c', 1, false, false), ('c', 2, true, false), ('d', 1, true, true), ('d', 2, true, false), ('d', 3, true, false)) AS p(problem, i, valid, passed)"
+_PREDICTIONS = "(VALUES (1, 1, ' A', 'a'), (1, 2, 'b', 'a'), (2, 1, 'x', 'y'), (2, 2, 'Y', 'y'), (3, 1, 'q', 'r'), (3, 2, 'q', 'r'), (3, 3, 'r ', 'r')) AS p(q, i, p, r)"
+_MCQ = "(VALUES ('oop', 'What is a class?', 1, 1), ('oop', 'What is an object made of?', 2, 1), ('algorithms', 'Which sort is stable?', 3, 3), ('algorithms', 'Why?', NULL, 0), ('general', 'Which one?', 0, 0)) AS m(domain, question, picked, answer)"
 _VERSIONS = "(VALUES ('1.0.0'), ('1.2'), ('2.0.0-alpha.1'), ('2.0.0'), ('1.10.3+build5'), ('2.0.0-beta'), ('0.9.12-rc1+x')) AS v(version)"
 _PARSED = (
     "p AS (SELECT version, CASE WHEN contains(split_part(version, '+', 1), '-') THEN regexp_extract(split_part(version, '+', 1), '^[^-]*-(.*)$', 1) END AS prerelease, "
@@ -98,8 +100,13 @@ SQL: dict[str, str] = {
     "agg32_modal_share": "SELECT user_id, round(max(n) * 1.0 / sum(n), 6) AS share FROM (SELECT user_id, event_type, count(*) AS n FROM {events} GROUP BY user_id, event_type) x GROUP BY user_id",
     "agg33_summary": f"WITH {_LENGTHS} SELECT count(*) AS n, count(DISTINCT lang) AS languages, round(avg(n), 6) AS mean, round(stddev_pop(n), 6) AS std FROM x",
     "agg34_validity_breakdown": "SELECT lang, count(*) AS valid, count(CASE WHEN length(replace(text, '(', '')) <> length(replace(text, ')', '')) THEN 1 END) AS invalid FROM {documents} GROUP BY lang",
+    "agg19_pass_at_k_match": f"SELECT k, round(avg(CASE WHEN hit > 0 THEN 1.0 ELSE 0.0 END), 6) AS pass_at_k FROM (SELECT k, q, count(CASE WHEN i <= k AND lower(trim(p)) = lower(trim(r)) THEN 1 END) AS hit FROM {_PREDICTIONS} CROSS JOIN (VALUES (1), (2), (3)) AS v(k) GROUP BY k, q) x GROUP BY k",
+    "agg22_mcq_accuracy": f"SELECT domain, count(*) AS n, round(avg(CASE WHEN picked = answer THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(CASE WHEN picked IS NULL THEN 1 END) AS unanswered, round(avg(CASE WHEN picked = answer THEN length(question) END), 6) AS right_length, round(avg(CASE WHEN picked IS NULL OR picked <> answer THEN length(question) END), 6) AS wrong_length FROM {_MCQ} GROUP BY domain",
+    "agg24_micro_validity": f"WITH v AS (SELECT problem, valid FROM {_PROBLEMS}) SELECT coalesce(problem, 'all') AS problem, round(avg(CASE WHEN valid THEN 1.0 ELSE 0.0 END), 6) AS validity FROM v GROUP BY GROUPING SETS ((), (problem))",
     # joins
     "jon1_metric_compare": f"SELECT metric, round(current - baseline, 6) AS difference, round(CASE WHEN baseline = 0 THEN 0 ELSE 100.0 * (current - baseline) / baseline END, 6) AS percent, current > baseline AS improved, abs(CASE WHEN baseline = 0 THEN 0 ELSE 100.0 * (current - baseline) / baseline END) > 5 AS significant FROM {_METRICS}",
+    "jon2_all_baselines": f"SELECT m.metric, b.name, round(m.current - m.baseline * b.factor, 6) AS difference_to FROM {_METRICS} CROSS JOIN (VALUES ('first', 1.0), ('second', 0.9)) AS b(name, factor)",
+    "jon7_config_lookup": "SELECT d.doc_id, c.least, length(d.text) BETWEEN c.least AND c.most AS fits FROM {documents} d JOIN (VALUES ('en', 50, 5000), ('fr', 100, 2000), ('de', 30, 9000)) AS c(lang, least, most) ON d.lang = c.lang",
     "jon3_distribution_outer": "WITH a AS (SELECT lang, count(*) AS n FROM {documents} WHERE doc_id % 2 = 0 GROUP BY lang), b AS (SELECT source AS lang, count(*) AS n FROM {documents} WHERE doc_id % 2 = 1 AND source LIKE 'src1%' GROUP BY source UNION ALL SELECT lang, count(*) FROM {documents} WHERE doc_id % 2 = 1 AND lang <> 'en' GROUP BY lang) "
     "SELECT coalesce(a.lang, b.lang) AS lang, coalesce(a.n, 0) AS even_n, coalesce(b.n, 0) AS odd_n FROM a FULL OUTER JOIN b ON a.lang = b.lang",
     "jon4_missing_languages": "SELECT t.lang FROM (VALUES ('en'), ('it'), ('pt'), ('fr')) AS t(lang) LEFT ANTI JOIN {documents} d ON t.lang = d.lang",
@@ -136,6 +143,14 @@ SQL: dict[str, str] = {
     "sco39_perplexity": f"WITH {_STEPS} SELECT event_type, step, round(exp(least(v / 100, 20)), 6) AS perplexity FROM s",
     "sco40_checksum": "SELECT doc_id, sha256(text) AS checksum FROM {documents}",
     "sco41_memory": "SELECT precision, params * bytes AS weights, params * bytes * 4 AS overhead, params * bytes * 5 AS total FROM (VALUES ('float32', 4.0), ('float16', 2.0), ('bfloat16', 2.0), ('int8', 1.0), ('int4', 0.5)) AS p(precision, bytes) CROSS JOIN (VALUES (3090000000.0)) AS m(params)",
+    "rpt1_validation_suite": f"WITH {_QUALITY}, d AS (SELECT count(*) AS n, count(DISTINCT text) AS u FROM {{documents}}), t AS ("
+    "SELECT 'duplication' AS test, 1.0 - (n - u) * 1.0 / n AS score, (n - u) * 1.0 / n <= 0.05 AS passed FROM d UNION ALL "
+    "SELECT 'syntax', avg(CASE WHEN length(replace(text, '(', '')) = length(replace(text, ')', '')) THEN 1.0 ELSE 0.0 END), avg(CASE WHEN length(replace(text, '(', '')) = length(replace(text, ')', '')) THEN 1.0 ELSE 0.0 END) >= 0.90 FROM {documents} UNION ALL "
+    "SELECT 'quality', avg(quality), avg(quality) >= 0.75 FROM q UNION ALL "
+    "SELECT 'consistency', 1 - stddev_pop(quality) / avg(quality), 1 - stddev_pop(quality) / avg(quality) >= 0.8 FROM q) "
+    "SELECT test, round(score, 6) AS score, passed FROM t",
+    "rpt2_recommendations": f"SELECT test, CASE WHEN score < 0.5 THEN 'rebuild' WHEN status = 'failed' THEN 'improve' ELSE 'none' END AS recommendation FROM {_GATES}",
+    "rpt5_improvements": f"SELECT count(CASE WHEN current > baseline THEN 1 END) AS improved, count(CASE WHEN current < baseline THEN 1 END) AS worse FROM {_METRICS}",
     "rpt4_regressions": f"WITH d AS (SELECT metric, current, baseline, CASE WHEN baseline = 0 THEN 0 ELSE 100.0 * (current - baseline) / baseline END AS pct, metric IN ('accuracy', 'pass_at_1', 'tokens_per_second', 'syntax_validity', 'codebleu_score') AS higher FROM {_METRICS}) "
     "SELECT metric, round(abs(pct), 6) AS degradation, CASE WHEN abs(pct) > CASE WHEN higher THEN 10 ELSE 20 END THEN 'high' ELSE 'medium' END AS severity FROM d WHERE (higher AND pct < -5) OR (NOT higher AND pct > 10)",
     "rpt6_summary_scores": "SELECT event_type, round(greatest(0, 100 - avg(value) / 10) / 100, 6) AS performance_score FROM {events} GROUP BY event_type",
