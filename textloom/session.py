@@ -17,7 +17,7 @@ def local_session(cpus: int | None = None, app: str = "textloom") -> SparkSessio
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("TEXTLOOM_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("TEXTLOOM_DRIVER_MEMORY", "4g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
