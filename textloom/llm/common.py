@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +43,23 @@ def written(df: DataFrame, what: str) -> DataFrame:
 def whole_text(column: str = "text"):
     """The text, null as the empty one."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def slices(batch: pa.RecordBatch, text_at: int, chars: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about so many bytes of text, so that arrays over words stay bounded
+    however long the texts of a batch are together; a text is never cut."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False).astype("int64")
+    first = held = 0
+    for row, size in enumerate(sizes.tolist()):
+        held += size
+        if held >= chars:
+            yield batch.slice(first, row + 1 - first)
+            first, held = row + 1, 0
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes what these operators have written to the shared folder, once results are read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/textloom")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .components import connected_components
-from .word_hashes import U, hashes, joined, mix
+from .word_hashes import U, joined, mix, word_hashes
 
 GROUPS, FINE_GROUPS, LEAF = 64, 256, 64
 #: A cluster of more n-grams than this is verified by pairs of chunks.
@@ -45,9 +45,8 @@ CLUSTER_GRAMS = 8 << 20
 COMMON_SHARE, COMMON_LEAST = 2048, 64
 
 
-def gram_set(text: str | None, width: int) -> np.ndarray:
-    """The sorted hashes of a text's distinct word n-grams."""
-    w = hashes.text(text)
+def gram_set(w: np.ndarray, width: int) -> np.ndarray:
+    """The sorted hashes of the distinct n-grams of a text's words (as hashes)."""
     if not len(w):
         return w
     if len(w) < width:
@@ -139,8 +138,8 @@ def _measured(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, ids, points, firsts = [], [], [], []
-            for t in b.column(1):
-                g = gram_set(t.as_py(), width)
+            for w in word_hashes(b.column(1)):
+                g = gram_set(w, width)
                 n.append(len(g))
                 ids.append(set_id(g) if len(g) else None)
                 points.append(point(g).tobytes() if len(g) else None)
@@ -173,8 +172,8 @@ def _blocks(docs: DataFrame, common, width: int, percent: int, buckets: int) ->
         for b in batches:
             seen: set[int] = set()
             firsts, sets, sizes = [], [], []
-            for t in b.column(0):
-                g = gram_set(t.as_py(), width)
+            for w in word_hashes(b.column(0)):
+                g = gram_set(w, width)
                 if not len(g) or (s := set_id(g)) in seen:
                     continue
                 seen.add(s)
@@ -266,7 +265,7 @@ def _verified(docs: DataFrame, members: DataFrame, width: int, percent: int, buc
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            grams = [gram_set(t.as_py(), width) for t in b.column(0)]
+            grams = [gram_set(w, width) for w in word_hashes(b.column(0))]
             mine = pa.array([set_id(g) == s for g, s in zip(grams, b.column(1).to_pylist(), strict=True)], pa.bool_())  # ids may repeat
             yield pa.RecordBatch.from_arrays([pa.array([g.tobytes() for g in grams], pa.binary()), b.column(1), b.column(2)], names=["grams", "set", "places"]).filter(mine)
 
