@@ -233,3 +233,13 @@ def test_pipeline_stages(spark, sf):
     parts = ngram_jaccard.jaccard_components(docs, width=5, percent=80)
     assert parts.where("n_shingles > 0 AND component_id <> doc_id").count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).select("doc_id").distinct().count() == before
+
+
+def test_scratch_goes(spark):
+    from textloom.llm.common import clear_scratch, shared_dir, written
+
+    at = written(spark.range(3), "probe")
+    assert at.count() == 3
+    clear_scratch(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/textloom")
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
