@@ -39,10 +39,11 @@ def test_rules_on_odd_rows(odd, nothing):
     assert quality_rules.kept_documents(odd).columns == odd.columns
 
 
-def test_hosts_are_condemned_and_shrunk(spark):
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_hosts_are_condemned_and_shrunk(spark, most):
     good, bad = " ".join(f"w{k}" for k in range(60)), "a b"
     rows = [(k, good, "fine") for k in range(200)] + [(1000 + k, bad if k < 95 else good, "spam") for k in range(100)] + [(2000, bad, "tiny")]
-    out = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    out = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string"), broadcast_hosts=most).collect()}
     assert out[0].kept and not out[1099].kept and out[1099].host_failed and not out[1099].base_failed
     assert not out[2000].host_failed
 

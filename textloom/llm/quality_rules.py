@@ -20,6 +20,7 @@ from .common import WS, whole_text, written
 
 SPLIT = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
+SALTS = 32
 
 
 def _bind(value: Column, use) -> Column:
@@ -89,12 +90,17 @@ def condemned_hosts(rows: DataFrame, host_rate: float = 0.5, host_sigmas: float
     return post.where(F.col("rate") - host_sigmas * F.col("sd") > host_rate)
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_words: int = 50, repeat_percent: int = 50, host_rate: float = 0.5, host_sigmas: float = 2.0) -> DataFrame:
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_words: int = 50, repeat_percent: int = 50, host_rate: float = 0.5, host_sigmas: float = 2.0, broadcast_hosts: int = 100_000) -> DataFrame:
     """The counts, base_failed, host_failed and kept of every row; texts are read once."""
     rows = written(measured(docs, id_col, text_col, host_col, min_words, repeat_percent), "rules")
-    bad = condemned_hosts(rows, host_rate, host_sigmas).select(F.col("host").alias("bad_host"))
-    out = rows.join(bad, F.col("host") == F.col("bad_host"), "left").withColumn("host_failed", F.col("bad_host").isNotNull())
-    return out.withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed")).drop("bad_host")
+    bad = written(condemned_hosts(rows, host_rate, host_sigmas).select(F.col("host").alias("bad_host")), "bad-hosts")
+    if bad.count() <= broadcast_hosts:
+        out = rows.join(F.broadcast(bad), F.col("host") == F.col("bad_host"), "left")  # at most broadcast_hosts names
+    else:  # a host of very many rows meets its verdict in SALTS tasks
+        salted = bad.withColumn("bad_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        own = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+        out = rows.join(salted, (F.col("host") == F.col("bad_host")) & (own == F.col("bad_salt")), "left").drop("bad_salt")
+    return out.withColumn("host_failed", F.col("bad_host").isNotNull()).withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed")).drop("bad_host")
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **rules) -> DataFrame:
