@@ -14,7 +14,7 @@ the overlap of two sets is at most the summed minima of their coordinates. The s
    are found and taken out of the tree, and searched from in turn: a spanning forest of the
    possible links, without the pairs within it.
 4. Verify: the components of these forests are small clusters; their sets are read again and
-   searched in the same way with finer points and the sets themselves compared. A cluster beyond
+   searched in the same way with the sets themselves compared. A cluster beyond
    ``CLUSTER_GRAMS`` n-grams is dealt into chunks, and each pair of chunks is a group, so no task
    holds an unbounded one.
 5. The components of the verified links, with the least document id.
@@ -38,7 +38,8 @@ from .common import written
 from .components import connected_components
 from .word_hashes import U, joined, mix, word_hashes
 
-GROUPS, FINE_GROUPS, LEAF = 64, 256, 64
+#: Groups are so many that two sets of some ten thousand n-grams still differ clearly in counts.
+GROUPS, LEAF = 512, 64
 #: A cluster of more n-grams than this is verified by pairs of chunks.
 CLUSTER_GRAMS = 8 << 20
 #: An n-gram is common when one text in so many starts with it, and in COMMON_LEAST at least.
@@ -290,7 +291,7 @@ def _verified(docs: DataFrame, members: DataFrame, width: int, percent: int, buc
                         out.append(part[(100 + percent) * both >= percent * (len(q) + sizes[part])])
                 return np.concatenate(out)
 
-            for a, b in forest(np.stack([point(g, FINE_GROUPS) for g in grams]), sizes, percent, linked):
+            for a, b in forest(np.stack([point(g) for g in grams]), sizes, percent, linked):
                 u.append(ids[a])
                 v.append(ids[b])
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
