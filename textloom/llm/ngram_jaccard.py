@@ -298,7 +298,8 @@ def _verified(docs: DataFrame, members: DataFrame, width: int, percent: int, buc
 
     # one text of each set goes on; its places are few unless its cluster is very large
     where = placed.groupBy("at", "set").agg(F.collect_list(F.struct("task", "cluster")).alias("places"))
-    texts = docs.join(where, "at").select("text", "set", "places").mapInArrow(sets, "grams binary, set long, places array<struct<task: long, cluster: long>>")
+    # merged at every size: neither side has a bound
+    texts = docs.join(where.hint("merge"), "at").select("text", "set", "places").mapInArrow(sets, "grams binary, set long, places array<struct<task: long, cluster: long>>")
     rows = texts.withColumn("p", F.explode("places")).select("grams", "set", "p.task", "p.cluster")
     return rows.groupBy("task").applyInArrow(link, "u long, v long")
 
@@ -335,7 +336,7 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     parts = written(jaccard_components(docs, id_col, text_col, width, percent), "components")
     first = parts.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_first_id")).agg(F.count("*").alias("_rows"))
     same = F.col(id_col).cast("long").eqNullSafe(F.col("_first_id"))
-    out = docs.join(first.where((F.col("_rows") == 1) | F.col("_first_id").isNull()).select("_first_id"), same, "left_semi")
+    out = docs.join(first.where((F.col("_rows") == 1) | F.col("_first_id").isNull()).select("_first_id").hint("merge"), same, "left_semi")
     many = first.where((F.col("_rows") > 1) & F.col("_first_id").isNotNull()).select("_first_id")
     if many.head(1):
         place = F.row_number().over(Window.partitionBy(F.col(id_col)).orderBy(F.col(text_col)))
