@@ -156,6 +156,30 @@ def test_lm_base_is_exact(spark, sf, head):
         assert r.score < 0
 
 
+@pytest.fixture(scope="module")
+def lm_pairs(spark):
+    """Texts whose pairs occur once, 2-3 and 4-7 times, and their scores by exact counts."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{min(int(rng.expovariate(0.05)), 90)}" for _ in range(rng.randint(5, 60))) for _ in range(60)]
+    split = [["", *t.split(), ""] for t in texts]
+    words, pairs = Counter(w for t in split for w in t[1:]), Counter(p for t in split for p in zip(t, t[1:]))
+    level = lambda c: c.bit_length()
+    mean = {k: sum(c for c in pairs.values() if level(c) == k) / sum(level(c) == k for c in pairs.values()) for k in map(level, pairs.values())}
+    total = sum(words.values()) + 0.1 * (len(words) + 1)
+    exact = [sum(math.log10(0.4 * mean[level(pairs[v, w])] / words[v] + 0.6 * (words[w] + 0.1) / total) for v, w in zip(t, t[1:])) for t in split]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), exact
+
+
+@pytest.mark.parametrize("size", [64 << 20, 2000, 0])
+def test_lm_scores_do_not_depend_on_the_filters_size(lm_pairs, size):
+    docs, exact = lm_pairs
+    got = {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False), filter_bytes=size).collect()}
+    # a false positive now and then raises a level, and nothing lowers one
+    assert len(got) == 60 and sum(got[k] == pytest.approx(x, abs=1e-6) for k, x in enumerate(exact)) >= 30
+    assert all(got[k] > x - 1e-6 for k, x in enumerate(exact))
+    assert got == {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False)).collect()}
+
+
 def test_lm_on_odd_rows(odd, nothing):
     assert lm_scoring.score_texts(odd, F.col("doc_id") == 4).count() == len(ODD)
     assert {r.score for r in lm_scoring.score_texts(odd, F.lit(True)).collect()} == {0.0}

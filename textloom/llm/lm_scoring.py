@@ -2,16 +2,16 @@
 
 One pass counts words and word pairs of the training texts: every Arrow batch is counted by
 itself, its counts go to ``spark.sql.shuffle.partitions`` buckets by hash as packed arrays, and
-each bucket is summed. Pairs seen twice or more go into a log-frequency Bloom filter: a pair of
-count c is entered at levels 1 to floor(log2 c), so probing level after level gives its quantised
-count. Each bucket builds its own segment of the filter. The filter is sent to the workers and so
-is bounded (``filter_bytes``): where pairs would need more, the count from which a pair is
-entered doubles until they fit. Words' counts are exact at any size: the most frequent ones (at
-most ``head_words``) go to the workers, all others are looked up by a join of just those tokens
-that the head lacks.
-
-A token w after v has probability pair_share q(v, w) / c(v) + (1 - pair_share) p(w), if v is in
-the head, and p(w) otherwise; p(w) = (c + 0.1) / (N + 0.1 (V + 1)), c(v) is v's count, and q the
+each bucket is summed. All pairs go into a log-frequency Bloom filter: a pair of count c is entered
+at levels 1 to floor(log2 c) + 1, so probing level after level gives its quantised count. Each
+bucket builds its own segment of the filter, which grows with the pairs. The segments that fit
+``filter_bytes`` and the counts of the ``head_words`` most frequent words go to the workers. Where
+that is not all, slices of texts are written as tokens, ask the buckets of the other words and
+pairs for counts, each once a slice, and are scored when the answers are back; so scores do not
+depend on these two limits.
+
+A token w after v has probability pair_share q(v, w) / c(v) + (1 - pair_share) p(w), if v was
+seen, and p(w) otherwise; p(w) = (c + 0.1) / (N + 0.1 (V + 1)), c(v) is v's count, and q the
 mean count of the pairs that the filter holds at the level of (v, w), 0 at none. A text's first
 token follows the end token.
 
@@ -39,6 +39,11 @@ END = U(0x6C6F6F6D2D656E64)
 CHUNK = 16 << 20
 PROBES = 4
 EVENT_BITS = 10
+LEVELS = 65
+#: Pairs hashed at a time.
+PIECE = 1 << 17
+#: Bytes of asked pairs that one task answers, at most (about).
+ASKED = 64 << 20
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -53,7 +58,29 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _pairs(tokens: np.ndarray) -> np.ndarray:
     """Hash of each token after the one before it; texts follow each other's end tokens."""
-    return joined(np.concatenate(([END], tokens[:-1])).astype(U), tokens)
+    out, before = np.empty(len(tokens), U), END
+    for i in range(0, len(tokens), PIECE):
+        part = tokens[i : i + PIECE]
+        out[i : i + PIECE] = joined(np.concatenate(([before], part[:-1])).astype(U), part)
+        before = part[-1]
+    return out
+
+
+def _distinct_pairs(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The word before each token, each token's place among the distinct pairs, and their hashes."""
+    before = np.concatenate((np.searchsorted(words, [END]), at[:-1]))
+    codes, pair_at = np.unique(before * len(words) + at, return_inverse=True)
+    return before, pair_at, joined(words[codes // len(words)], words[codes % len(words)])
+
+
+def _squeezed(at: np.ndarray) -> bytes:
+    """Small numbers, packed byte by byte of their place."""
+    return pa.compress(np.ascontiguousarray(at.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _spread(raw: pa.Buffer, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(raw, decompressed_size=4 * n, codec="zstd"), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<i4").reshape(-1).astype(np.int64)
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,20 +93,21 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def count_grams(texts: DataFrame, buckets: int) -> DataFrame:
-    """kind (1: words, 2: pairs), bucket, keys, counts: packed sums, a row for each kind and bucket."""
+    """kind, bucket, keys, counts: a row for each kind and bucket; of words (1) packed sums, of
+    pairs (2) a segment of the filter, and how many pairs each level has and their summed counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (part for whole in batches for part in slices(whole, 0, CHUNK)):
             tokens, _ = _tokens(b.column(0))
-            rows: list[tuple] = []
-            for kind, grams in ((1, tokens), (2, _pairs(tokens) if len(tokens) else tokens)):
-                keys, counts = np.unique(grams, return_counts=True)
-                bucket = (mix(keys) % U(buckets)).astype(np.int64)
+            for kind in (1, 2):  # one after the other, for memory
+                keys, counts = np.unique(tokens if kind == 1 else _pairs(tokens), return_counts=True)
+                counts = counts.astype("<u4")
+                bucket = (mix(keys) % U(buckets)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                keys, counts = keys[order], counts[order].astype("<u4")
-                rows += [(kind, k, keys[i:j].tobytes(), counts[i:j].tobytes()) for k, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
-            yield _packed(rows)
+                keys, counts = keys[order], counts[order]
+                yield _packed([(kind, k, keys[i:j].tobytes(), counts[i:j].tobytes()) for k, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i])
+                del keys, counts, bucket, order
 
     def add(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.zeros(0, U), np.zeros(0, np.int64)
@@ -88,8 +116,11 @@ def count_grams(texts: DataFrame, buckets: int) -> DataFrame:
             keys, counts = _summed(np.concatenate([keys, *more[0]]), np.concatenate([counts, *more[1]]))
         kind, bucket = key[0].as_py(), key[1].as_py()
         if kind == 2:
-            keys, counts = keys[counts > 1], counts[counts > 1]
-        yield _packed([(kind, bucket, keys.tobytes(), counts.tobytes())])
+            level = levels_of(counts, 1)
+            tally = np.concatenate((np.bincount(level, minlength=LEVELS), np.bincount(level, counts, minlength=LEVELS).astype(np.int64)))
+            yield _packed([(kind, bucket, LogBloom.segment(keys, level), tally.tobytes())])
+        else:
+            yield _packed([(kind, bucket, keys.tobytes(), counts.tobytes())])
 
     schema = "kind int, bucket int, keys binary, counts binary"
     return written(texts.mapInArrow(count, schema).groupBy("kind", "bucket").applyInArrow(add, schema), "grams")
@@ -141,8 +172,8 @@ class LogBloom:
     def _probe(keys: np.ndarray, level: int, i: int) -> np.ndarray:
         return mix(keys + U((level * 64 + i + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Each pair's quantised count: the mean count of its level, 0 where it isn't entered."""
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Each pair's level, 0 where it isn't entered."""
         out, left, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
         bucket = (mix(keys) % U(self.buckets)).astype(np.int64)
         starts, sizes = self.starts[bucket], self.sizes[bucket].astype(U)
@@ -152,39 +183,24 @@ class LogBloom:
                 left = left[(self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
             out[left] = level
             level += 1
-        return self.means[np.minimum(out, len(self.means) - 1)]
+        return np.minimum(out, len(self.means) - 1)
 
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        """Each pair's quantised count: the mean count of its level, 0 where it isn't entered."""
+        return self.means[self.levels(keys)]
 
-def _bloom(grams: DataFrame, buckets: int, filter_bytes: int) -> LogBloom:
-    """The filter of all pairs that are frequent enough for its bounded size."""
-    pairs = grams.where(F.col("kind") == 2)
-
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            total, seen = np.zeros(64, np.int64), np.zeros(64, np.int64)
-            for x in b.column(0):
-                counts = np.frombuffer(x.as_buffer(), np.int64)
-                level = levels_of(counts, 2)
-                total += np.bincount(level, minlength=64)
-                seen += np.bincount(level, counts, minlength=64).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(64)), pa.array(total), pa.array(seen)], names=["level", "n", "seen"])
-
-    at, seen = np.zeros(64, np.int64), np.zeros(64, np.int64)
-    for r in pairs.select("counts").mapInArrow(tally, "level long, n long, seen long").groupBy("level").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")).collect():  # 64 rows
-        at[r.level], seen[r.level] = r.n, r.seen
-    raised = 0
-    while raised < 62 and (at[raised + 1 :] * np.arange(1, 64 - raised)).sum() * EVENT_BITS > filter_bytes * 8 - buckets * 64:
-        raised += 1
-    least, means = 2 << raised, (seen / np.maximum(at, 1))[raised:]
-    means[0] = 0
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = [LogBloom.segment(np.frombuffer(k.as_buffer(), U), levels_of(np.frombuffer(c.as_buffer(), np.int64), least)) for k, c in zip(b.column(1), b.column(2), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["bucket", "bits"])
 
-    segments = pairs.select("bucket", "keys", "counts").mapInArrow(build, "bucket int, bits binary")
-    return LogBloom(buckets, means).gather({r.bucket: bytes(r.bits) for r in segments.collect()})  # filter_bytes at most
+def _bloom(grams: DataFrame, buckets: int, filter_bytes: int) -> tuple[LogBloom, int]:
+    """The filter's first segments, as many as fit, and their number."""
+    pairs = grams.where(F.col("kind") == 2)
+    tallies = pairs.select("bucket", F.length("keys").alias("n"), "counts").collect()  # 1 KB a bucket
+    at, seen = sum((np.frombuffer(r.counts, np.int64).reshape(2, LEVELS) for r in tallies), np.zeros((2, LEVELS), np.int64))
+    sizes, near, held = {r.bucket: r.n for r in tallies}, 0, 0
+    while near < buckets and held + sizes.get(near, 8) <= filter_bytes:
+        held += sizes.get(near, 8)
+        near += 1
+    segments = pairs.where(F.col("bucket") < near).select("bucket", "keys").collect()  # filter_bytes at most
+    return LogBloom(buckets, seen / np.maximum(at, 1)).gather({r.bucket: bytes(r["keys"]) for r in segments}), near
 
 
 def _word_counts(grams: DataFrame) -> DataFrame:
@@ -215,55 +231,118 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
         if held + r.v > head_words:
             break
         held, least = held + r.v, r.least
-    whole = held == v
     head = words.where(F.col("c") >= least).toArrow() if least is not None else None
     keys, counts = (head["word"].to_numpy().view(U), head["c"].to_numpy()) if head is not None else (np.zeros(0, U), np.zeros(0, np.int64))
     order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    end_count = int(counts[keys == END].sum())
-    shared = spark.sparkContext.broadcast((keys, counts, _bloom(grams, buckets, filter_bytes)))
-    total = n + 0.1 * (v + 1)
+    bloom, near = _bloom(grams, buckets, filter_bytes)
+    frequent, shared = spark.sparkContext.broadcast((keys[order], counts[order])), spark.sparkContext.broadcast(bloom)
+    total, means, missing = n + 0.1 * (v + 1), bloom.means, 0 if held == v else -1
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+
+    def counted(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """The texts' sizes, their distinct words, these words' counts (``missing`` beyond the head) and each token's word."""
+        keys, counts = frequent.value
+        tokens, sizes = _tokens(b.column(1))
+        found, at = np.unique(tokens, return_inverse=True)
+        if not len(keys):
+            return sizes, found, np.full(len(found), missing), at
+        k = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+        return sizes, found, np.where(keys[k] == found, counts[k], missing), at
+
+    def sums(sizes: np.ndarray, c: np.ndarray, at: np.ndarray, before: np.ndarray, q: np.ndarray) -> list[pa.Array]:
+        """n_tokens to score of each text, from its tokens' words, those before them and their pairs' counts."""
+        seen = c[before]
+        share = np.where(seen > 0, pair_share, 0.0)
+        p = ((c + 0.1) / total)[at]
+        model = np.log10(share * q / np.maximum(seen, 1) + (1 - share) * p)
+        starts = np.cumsum(sizes) - sizes
+        return [pa.array(sizes), *(pa.array(np.add.reduceat(x, starts)) for x in ((c > 0).astype(np.int64)[at], np.log10(p), model))]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, bloom = shared.value
         for b in (part for whole in batches for part in slices(whole, 1, CHUNK // 4)):
-            tokens, sizes = _tokens(b.column(1))
-            ends = np.cumsum(sizes)
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, tokens), len(keys) - 1)
-                c = np.where(keys[at] == tokens, counts[at], 0)
-            else:
-                c = np.zeros(len(tokens), np.int64)
-            starts = ends - sizes
-            before = np.concatenate(([0], c[:-1]))
-            before[starts] = end_count
-            q = np.zeros(len(tokens))
-            known = np.flatnonzero(before > 0)
-            q[known] = bloom.counts(_pairs(tokens)[known])
-            share = np.where(before > 0, pair_share, 0.0)
-            plus = share * q / np.maximum(before, 1)
-            p = (c + 0.1) / total
-            tail = (c == 0) & (not whole)
-            base = np.where(tail, 0.0, np.log10(p))
-            model = np.where(tail, 0.0, np.log10(plus + (1 - share) * p))
-            open_at = np.flatnonzero(tail)
-            cuts = np.concatenate(([0], np.searchsorted(open_at, ends))).astype("<i4")
-            lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x[open_at])) for x in (tokens.view(np.int64), plus, share)]
-            sums = [np.add.reduceat(x, starts) for x in ((c > 0).astype(np.int64), base, model)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(sizes), *map(pa.array, sums), *lists], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "words", "pluses", "shares"])
-
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, words array<long>, pluses array<double>, shares array<double>"
-    scored = rows.select("doc_id", "text", "held_out").mapInArrow(score, schema)
+            sizes, found, c, at = counted(b)
+            before, pair_at, pairs = _distinct_pairs(found, at)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *sums(sizes, c, at, before, shared.value.counts(pairs)[pair_at])], names=names)
+
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     out = ["doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"]
-    if whole:
-        return scored.select(*out)
-    scored = written(scored.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
-    tokens = scored.select("row", F.explode(F.arrays_zip("words", "pluses", "shares")).alias("t")).select("row", F.col("t.words").alias("word"), F.col("t.pluses").alias("plus"), F.col("t.shares").alias("share"))
-    p = (F.coalesce("c", F.lit(0)) + F.lit(0.1)) / F.lit(total)
-    tails = tokens.join(words, "word", "left").groupBy("row").agg(
-        F.sum((F.col("c") > 0).cast("long")).alias("k"),
-        F.sum(F.log10(p)).alias("b"),
-        F.sum(F.log10(F.col("plus") + (1 - F.col("share")) * p)).alias("s"),
-    )
-    plus = lambda a, b: (F.col(a) + F.coalesce(F.col(b), F.lit(0))).alias(a)
-    return scored.drop("words", "pluses", "shares").join(tails, "row", "left").select("doc_id", "held_out", "n_tokens", plus("n_known", "k"), F.lit(n).cast("long").alias("train_tokens"), plus("base_score", "b"), plus("score", "s"))
+    if held == v and near == buckets:
+        return rows.select("doc_id", "text", "held_out").mapInArrow(score, schema).select(*out)
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (part for whole in batches for part in slices(whole, 1, CHUNK // 4)):
+            sizes, found, c, at = counted(b)
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (b.column(0), b.column(2), pa.array(sizes))]
+            packed = [pa.array([x], pa.binary()) for x in (found.tobytes(), c.astype(np.int64).tobytes(), _squeezed(at))]
+            yield pa.RecordBatch.from_arrays([*lists, *packed, pa.array([len(at)])], names=["ids", "held", "sizes", "words", "counts", "places", "n"])
+
+    parts = "ids array<long>, held array<boolean>, sizes array<long>, words binary, counts binary, places binary, n long"
+    held_slices = written(rows.select("doc_id", "text", "held_out").mapInArrow(index, parts).withColumn("slice", F.monotonically_increasing_id()), "lm-slices")
+    salts = 1 + int(held_slices.agg(F.sum("n")).first()[0] or 0) * 8 // (buckets * ASKED)
+
+    def opened(words: pa.Scalar, counts: pa.Scalar, places: pa.Scalar, size: int) -> tuple[np.ndarray, ...]:
+        found, c, at = np.frombuffer(words.as_buffer(), U), np.frombuffer(counts.as_buffer(), np.int64), _spread(places.as_buffer(), size)
+        return found, c, at, *_distinct_pairs(found, at)
+
+    def far(found: np.ndarray, c: np.ndarray, pairs: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """kind, bucket, what of the slice's words or pairs is to be asked there, and its keys."""
+        for kind, keys, lacks in ((1, found, c < 0), (2, pairs, None)):
+            bucket = (mix(keys) % U(buckets)).astype(np.int64)
+            open_at = np.flatnonzero(bucket >= near if lacks is None else lacks)
+            open_at = open_at[np.argsort(bucket[open_at], kind="stable")]
+            cuts = np.searchsorted(bucket[open_at], np.arange(buckets + 1))
+            for k in np.flatnonzero(np.diff(cuts)).tolist():
+                mine = open_at[cuts[k] : cuts[k + 1]]
+                yield kind, k, mine, keys[mine]
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+        for b in batches:
+            for one, words, counts, places, size in zip(*b.columns, strict=True):
+                found, c, _, _, _, pairs = opened(words, counts, places, size.as_py())
+                asked = [(kind, k, one.as_py() % salts, one.as_py(), x.tobytes()) for kind, k, _, x in far(found, c, pairs)]
+                columns = list(zip(*asked, strict=True)) or [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=["kind", "bucket", "salt", "slice", "keys"])
+
+    def answer(asked: pa.Table, store: pa.Table) -> pa.Table:
+        values: list[bytes] = []
+        if asked.num_rows:
+            kind, bucket = asked["kind"][0].as_py(), asked["bucket"][0].as_py()
+            keys, counts, bits = np.zeros(0, U), np.zeros(0, np.int64), b"\0" * 8
+            if store.num_rows and kind == 1:
+                keys, counts = np.frombuffer(store["a"][0].as_buffer(), U), np.frombuffer(store["b"][0].as_buffer(), np.int64)
+            elif store.num_rows:
+                bits = store["a"][0].as_buffer()
+            segment = LogBloom(buckets, means).gather({bucket: bits})
+            for x in asked["keys"]:
+                x = np.frombuffer(x.as_buffer(), U)
+                if kind == 2:
+                    values.append(segment.levels(x).astype(np.uint8).tobytes())
+                elif len(keys):
+                    k = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+                    values.append(np.where(keys[k] == x, counts[k], 0).tobytes())
+                else:
+                    values.append(np.zeros(len(x), np.int64).tobytes())
+        return pa.table({"slice": asked["slice"], "kind": asked["kind"], "bucket": asked["bucket"], "values": pa.array(values, pa.binary())})
+
+    def finish(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        t = {k: texts[k][0] for k in texts.column_names}  # a slice is one row
+        found, c, at, before, pair_at, pairs = opened(t["words"], t["counts"], t["places"], t["n"].as_py())
+        levels, c = np.zeros(len(pairs), np.int64), c.copy()
+        mine = (mix(pairs) % U(buckets)).astype(np.int64) < near
+        levels[mine] = shared.value.levels(pairs[mine])
+        told = {(k.as_py(), b.as_py()): x for k, b, x in zip(answers["kind"], answers["bucket"], answers["values"], strict=True)}
+        for kind, k, place, _ in far(found, c.copy(), pairs):
+            into, width = (c, np.int64) if kind == 1 else (levels, np.uint8)
+            into[place] = np.frombuffer(told[kind, k].as_buffer(), width)
+        return pa.table([t["ids"].values, t["held"].values, *sums(t["sizes"].values.to_numpy(), c, at, before, means[levels][pair_at])], names=names)
+
+    far_away = (F.col("kind") == 2) & (F.col("bucket") >= near)
+    if missing:
+        far_away |= F.col("kind") == 1
+    store = grams.where(far_away).select("kind", "bucket", F.col("keys").alias("a"), F.col("counts").alias("b"))
+    store = store.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    by = ["kind", "bucket", "salt"]
+    asked = held_slices.select("slice", "words", "counts", "places", "n").mapInArrow(ask, "kind int, bucket int, salt int, slice long, keys binary")
+    answers = asked.groupBy(*by).cogroup(store.groupBy(*by)).applyInArrow(answer, "slice long, kind int, bucket int, values binary")
+    return held_slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(finish, schema).select(*out)
