@@ -180,6 +180,13 @@ def test_lm_scores_do_not_depend_on_the_filters_size(lm_pairs, size):
     assert got == {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False)).collect()}
 
 
+@pytest.mark.parametrize("head", [0, 1, 20, 1 << 20])
+def test_lm_scores_do_not_depend_on_the_head(lm_pairs, head):
+    docs, exact = lm_pairs
+    got = {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False), head_words=head).collect()}
+    assert len(got) == 60 and got == {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False)).collect()}
+
+
 def test_lm_on_odd_rows(odd, nothing):
     assert lm_scoring.score_texts(odd, F.col("doc_id") == 4).count() == len(ODD)
     assert {r.score for r in lm_scoring.score_texts(odd, F.lit(True)).collect()} == {0.0}
