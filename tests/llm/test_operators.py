@@ -39,6 +39,15 @@ def test_rules_on_odd_rows(odd, nothing):
     assert quality_rules.kept_documents(odd).columns == odd.columns
 
 
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_kept_documents_are_decided_row_by_row(spark, most):
+    good, bad = " ".join(f"w{k}" for k in range(60)), "a b"
+    rows = [(None, good, "fine"), (None, bad, "fine"), (7, good, "fine"), (7, bad, "fine"), (8, good, None), (9, good, "spam")] + [(100 + k, good, "fine") for k in range(100)] + [(1000 + k, bad, "spam") for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = Counter((r.doc_id, r.text, r.source) for r in quality_rules.kept_documents(docs, broadcast_hosts=most).collect())
+    assert got == Counter(r for r in rows if r[1] == good and r[2] != "spam")
+
+
 @pytest.mark.parametrize("most", [100_000, 0])
 def test_hosts_are_condemned_and_shrunk(spark, most):
     good, bad = " ".join(f"w{k}" for k in range(60)), "a b"

@@ -47,10 +47,14 @@ def _repeats(words: Column) -> Column:
     )
 
 
+def _words(text: Column) -> Column:
+    bare = F.btrim(text, F.lit(WS))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPLIT))
+
+
 def measures(text: Column) -> Column:
     """A struct of the five counts of one text."""
-    bare = F.btrim(text, F.lit(WS))
-    words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPLIT))
+    words = _words(text)
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(WS)) != "")
     return _bind(
         words,
@@ -103,12 +107,19 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.withColumn("host_failed", F.col("bad_host").isNotNull()).withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed")).drop("bad_host")
 
 
-def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **rules) -> DataFrame:
+def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_words: int = 50, repeat_percent: int = 50, host_rate: float = 0.5, host_sigmas: float = 2.0, broadcast_hosts: int = 100_000) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns.
 
-    The measures of a few numbers a row are written once; the rejected ids are joined back.
-    Rows that share an id share its fate: one that fails by itself takes the others along.
+    Every row is decided by its own text and host, whatever its id; only condemned hosts are
+    joined. Texts are measured twice, once for the hosts and once for the row, and not shuffled
+    but where more than ``broadcast_hosts`` hosts are condemned.
     """
-    verdicts = quality_rules(docs, id_col, text_col, host_col, **rules)
-    gone = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gone_id")), "left_anti")
+    failed = _bind(_words(whole_text(text_col)), lambda w: (F.size(w) < min_words) | (100 * _repeats(w) > repeat_percent * F.size(w)))
+    rows = written(docs.select(F.col(host_col).alias("host"), failed.alias("base_failed")), "rules")
+    bad = written(condemned_hosts(rows, host_rate, host_sigmas).select(F.col("host").alias("_bad_host")), "bad-hosts")
+    passed, same = docs.where(~failed), docs[host_col] == F.col("_bad_host")
+    if bad.count() <= broadcast_hosts:
+        return passed.join(F.broadcast(bad), same, "left_anti")  # at most broadcast_hosts names
+    salted = bad.withColumn("_bad_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = F.pmod(F.xxhash64(docs[id_col], docs[text_col]), F.lit(SALTS)).cast("int")
+    return passed.join(salted, same & (own == F.col("_bad_salt")), "left_anti")
