@@ -102,6 +102,29 @@ DUP5 = """WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddi
 n AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.e, b.e), 6) AS cosine FROM v a JOIN v b USING (label) WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)
 SELECT query_id, cosine, vec_id FROM n QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, vec_id) = 1"""
 
+#: Queries that are sent to the workers at a time.
+QUERIES = 4096
+
+
+def dup5_all(spark: SparkSession, sf_dir: str, at_a_time: int = QUERIES) -> DataFrame:
+    """The nearest of all vectors to each query (ids divisible by 100), under any label."""
+    v = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
+    size = lambda e: F.sqrt(F.aggregate(e, F.lit(0.0), lambda a, x: a + x * x))
+    a = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("e").alias("q"))
+    dot = F.aggregate(F.zip_with("q", "e", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    blocks = 1 + a.count() // at_a_time
+
+    def nearest(k: int) -> DataFrame:
+        mine = a.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == k)  # about at_a_time rows at most
+        near = v.join(F.broadcast(mine), F.col("query_id") != F.col("vec_id")).withColumn("cosine", F.round(dot / (size(F.col("q")) * size(F.col("e"))), 6))
+        return near.groupBy("query_id").agg(F.max("cosine").alias("cosine"), F.min_by("vec_id", F.struct(-F.col("cosine"), F.col("vec_id"))).alias("vec_id"))
+
+    out = nearest(0)
+    for k in range(1, blocks):
+        out = out.unionByName(nearest(k))
+    return out
+
+
 _FUNNEL = f"""WITH {CONTENTS}, {K._FOUND},
 g AS (SELECT content, {{bank}} AS l, round({K._quality()}, 9) >= 0.7 AS q, round({K._syntax()}, 9) >= 0.8 AS s, round({K._coherence()}, 9) >= 0.6 AS c FROM f),
 k AS (SELECT *, CASE WHEN l AND q AND s AND c THEN sha256({_key('content')}) END AS key FROM g)
@@ -129,6 +152,7 @@ def queries() -> dict[str, Query]:
         "dup3_groups": lambda s, d: dedup.duplicate_pairs(_keyed(s, d)),
         "dup4_keep_best": dup4,
         "dup5_embedding_neighbors": dup5,
+        "dup5_embedding_neighbors_all": dup5_all,
         "agg7_funnel": lambda s, d: funnel.funnel(contents(s, d)),
         "agg7_funnel_corrected": lambda s, d: funnel.funnel(contents(s, d), corrected=True),
         "sco22_bracket_stack": lambda s, d: contents(s, d).select("src", "id", markup.matched(F.col("content")).alias("matched")),
