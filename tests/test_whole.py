@@ -20,3 +20,15 @@ def test_nearest_vectors_of_any_label(spark, sf, at_a_time):
         assert r.cosine == pytest.approx(cosine.max(), abs=2e-6) and cosine[ids == r.vec_id][0] == pytest.approx(cosine.max(), abs=2e-6)
         other += labels[ids == r.vec_id][0] != labels[ids == q][0]
     assert other and "dup5_embedding_neighbors_all" in catalog.queries()
+
+
+def test_whole_pairs_are_transformed(spark, sf):
+    rows = sorted(pq.read_table(f"{sf}/conversations.parquet").to_pylist(), key=lambda r: (r["conv_id"], r["turn"]))
+    want = []
+    for a, b in zip(rows, rows[1:]):
+        if a["conv_id"] == b["conv_id"] and (a["role"], b["role"]) == ("user", "assistant"):
+            x, y = a["text"] or "", b["text"] or ""
+            tasks = [("comment_to_code", x, y), ("code_to_comment", y, x)] + [("code_explanation", y, x)] * (len(x) > 100)
+            want += [(a["conv_id"], a["turn"], *t) for t in tasks]
+    got = [tuple(r) for r in catalog.queries()["prj9_cat_transform_whole"](spark, sf).collect()]
+    assert want and sorted(got) == sorted(want)

@@ -73,6 +73,15 @@ PRJ16 = """WITH b AS (SELECT item_id, text AS question, string_split(text, ' ')[
 SELECT item_id, question || chr(10) || array_to_string(list_transform(c, lambda x, i: '(' || chr((64 + i)::INT) || ') ' || x), chr(10)) || chr(10) || 'Answer:' AS prompt, nullif(upper(regexp_extract(question, '[A-Da-d]', 0)), '') AS letter FROM b"""
 
 
+def prj9_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each pair of turns as comment and code, whole, in the reference's tasks."""
+    q = pairs(spark, sf_dir).select("conv_id", "turn", F.col("instruction").alias("comment"), F.col("output").alias("code"))
+    task = lambda name, x, y: F.struct(F.lit(name).alias("task_type"), F.col(x).alias("input"), F.col(y).alias("target"))
+    explained = F.when(F.length("comment") > 100, task("code_explanation", "code", "comment"))
+    tasks = F.array_compact(F.array(task("comment_to_code", "comment", "code"), task("code_to_comment", "code", "comment"), explained))
+    return q.select("conv_id", "turn", F.explode(tasks).alias("t")).select("conv_id", "turn", "t.*")
+
+
 def sco28(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs(spark, sf_dir).select("conv_id", "turn", generate.repetitive(F.col("instruction")).alias("repetitive"))
 
@@ -146,6 +155,7 @@ def queries() -> dict[str, Query]:
         "prj5_dedup_key": lambda s, d: _keyed(s, d).select("id", "key"),
         "prj6_light_key": lambda s, d: contents(s, d).select("src", "id", F.sha2(dedup.light_key(F.col("content"), F.col("language")), 256).alias("key")),
         "prj8_cat_clean": prj8,
+        "prj9_cat_transform_whole": prj9_whole,
         "prj15_truncate_pad": prj15,
         "prj16_mcq_prompt": prj16,
         "dup1_keep_first": lambda s, d: dedup.keep_first(_keyed(s, d)).select("id", "copies"),
