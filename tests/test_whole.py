@@ -32,3 +32,15 @@ def test_whole_pairs_are_transformed(spark, sf):
             want += [(a["conv_id"], a["turn"], *t) for t in tasks]
     got = [tuple(r) for r in catalog.queries()["prj9_cat_transform_whole"](spark, sf).collect()]
     assert want and sorted(got) == sorted(want)
+
+
+def test_all_events_are_sorted(spark, sf):
+    rows = pq.read_table(f"{sf}/events.parquet").to_pylist()
+    got = [r.event_id for r in catalog.queries()["srt1_by_time_all"](spark, sf).collect()]
+    assert got == [r["event_id"] for r in sorted(rows, key=lambda r: (r["ts"], r["event_id"]))] and len(got) > 50
+
+
+def test_sources_of_all_ids_are_subtracted(spark, tmp_path):
+    docs = [(1, "en", "a"), (2, "en", "b"), (3, "en", "b"), (4, "es", "c"), (900, "es", "a")]
+    spark.createDataFrame(docs, "doc_id long, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [r.source for r in catalog.queries()["set4_except_all"](spark, str(tmp_path)).collect()] == ["b"]

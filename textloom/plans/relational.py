@@ -127,6 +127,7 @@ SQL: dict[str, str] = {
     "win9_best": f"WITH {_STEPS} SELECT event_type, min_by(step, v) AS least_step, max_by(step, v) AS most_step, round(min(v), 6) AS least, round(max(v), 6) AS most FROM s GROUP BY event_type",
     # sorts, samples, splits
     "srt1_by_time": "SELECT event_id, user_id FROM {events} WHERE event_type = 'click' ORDER BY ts, event_id LIMIT 50",
+    "srt1_by_time_all": "SELECT event_id, user_id, event_type, ts FROM {events} ORDER BY ts, event_id",
     "srt2_top_runs": f"SELECT run, best_metric FROM {_RUNS} WHERE success ORDER BY best_metric DESC, run LIMIT 5",
     "srt3_keep_newest": "SELECT o_custkey, o_orderkey, k <= 3 AS kept FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS k FROM {orders}) x",
     "srt4_semver_order": f"WITH {_PARSED} SELECT version, row_number() OVER (ORDER BY major, minor, patch, CASE WHEN prerelease IS NULL THEN 1 ELSE 0 END, prerelease) AS position FROM s",
@@ -137,6 +138,7 @@ SQL: dict[str, str] = {
     # sets
     "set1_union": "SELECT doc_id AS id, lang, text AS content FROM {documents} WHERE lang = 'en' UNION ALL SELECT doc_id, lang, text FROM {documents} WHERE lang = 'fr' UNION ALL SELECT page_id, NULL, html FROM {pages}",
     "set4_except": "SELECT source FROM {documents} WHERE lang = 'en' EXCEPT SELECT source FROM {documents} WHERE lang = 'es' AND doc_id < 50",
+    "set4_except_all": "SELECT source FROM {documents} WHERE lang = 'en' EXCEPT SELECT source FROM {documents} WHERE lang = 'es'",
     "set5_distinct": "SELECT DISTINCT lang, source FROM {documents}",
     "set6_intersect": "SELECT text FROM {documents} WHERE doc_id % 2 = 0 INTERSECT SELECT text FROM {documents} WHERE doc_id % 2 = 1",
     # scalars and reports
