@@ -44,3 +44,8 @@ def test_sources_of_all_ids_are_subtracted(spark, tmp_path):
     docs = [(1, "en", "a"), (2, "en", "b"), (3, "en", "b"), (4, "es", "c"), (900, "es", "a")]
     spark.createDataFrame(docs, "doc_id long, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     assert [r.source for r in catalog.queries()["set4_except_all"](spark, str(tmp_path)).collect()] == ["b"]
+
+
+def test_metrics_of_both_sides_are_joined(spark, sf):
+    got = {r.metric: r.percent for r in catalog.queries()["jon1_metric_join"](spark, sf).collect()}
+    assert set(got) == {"accuracy", "pass_at_1", "latency_ms", "perplexity"} and got["perplexity"] == 0

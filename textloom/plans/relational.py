@@ -105,6 +105,7 @@ SQL: dict[str, str] = {
     "agg24_micro_validity": f"WITH v AS (SELECT problem, valid FROM {_PROBLEMS}) SELECT coalesce(problem, 'all') AS problem, round(avg(CASE WHEN valid THEN 1.0 ELSE 0.0 END), 6) AS validity FROM v GROUP BY GROUPING SETS ((), (problem))",
     # joins
     "jon1_metric_compare": f"SELECT metric, round(current - baseline, 6) AS difference, round(CASE WHEN baseline = 0 THEN 0 ELSE 100.0 * (current - baseline) / baseline END, 6) AS percent, current > baseline AS improved, abs(CASE WHEN baseline = 0 THEN 0 ELSE 100.0 * (current - baseline) / baseline END) > 5 AS significant FROM {_METRICS}",
+    "jon1_metric_join": "SELECT c.metric, round(c.v - b.v, 6) AS difference, round(CASE WHEN b.v = 0 THEN 0 ELSE 100.0 * (c.v - b.v) / b.v END, 6) AS percent, c.v > b.v AS improved FROM (VALUES ('accuracy', 0.80), ('pass_at_1', 0.42), ('latency_ms', 150.0), ('perplexity', 9.0), ('only_current', 1.0)) AS c(metric, v) JOIN (VALUES ('accuracy', 0.90), ('pass_at_1', 0.40), ('latency_ms', 120.0), ('perplexity', 0.0), ('only_baseline', 1.0)) AS b(metric, v) ON c.metric = b.metric",
     "jon2_all_baselines": f"SELECT m.metric, b.name, round(m.current - m.baseline * b.factor, 6) AS difference_to FROM {_METRICS} CROSS JOIN (VALUES ('first', 1.0), ('second', 0.9)) AS b(name, factor)",
     "jon7_config_lookup": "SELECT d.doc_id, c.least, length(d.text) BETWEEN c.least AND c.most AS fits FROM {documents} d JOIN (VALUES ('en', 50, 5000), ('fr', 100, 2000), ('de', 30, 9000)) AS c(lang, least, most) ON d.lang = c.lang",
     "jon3_distribution_outer": "WITH a AS (SELECT lang, count(*) AS n FROM {documents} WHERE doc_id % 2 = 0 GROUP BY lang), b AS (SELECT source AS lang, count(*) AS n FROM {documents} WHERE doc_id % 2 = 1 AND source LIKE 'src1%' GROUP BY source UNION ALL SELECT lang, count(*) FROM {documents} WHERE doc_id % 2 = 1 AND lang <> 'en' GROUP BY lang) "
