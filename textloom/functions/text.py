@@ -5,13 +5,25 @@ Tokens are runs of letters, digits and underscores in any script, which Spark an
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from re import _parser
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TOKEN = r"[\p{L}\p{N}_]+"
 SPACE = r"[\s\x1c-\x1f\x85\xa0]"
+#: The same characters one by one, for trims, which read a text's ends only.
+SPACES = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
+#: No token character before, or after.
+BEFORE, AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+NAME = BEFORE + r"[a-zA-Z_][a-zA-Z0-9_]*+" + AFTER
+
+
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def count(text: Column, part: str) -> Column:
@@ -20,7 +32,7 @@ def count(text: Column, part: str) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def tokens(text: Column) -> Column:
@@ -46,9 +58,34 @@ def hits(text: Column, parts: list[str]) -> Column:
     return reduce(Column.__add__, [text.contains(p).cast("int") for p in parts])
 
 
+def found(text: Column, pattern: str, needs: str = "") -> Column:
+    """Whether ``pattern`` is found; texts without ``needs``, a part of every match, are not searched."""
+    return text.contains(needs) & text.rlike(pattern) if needs else text.rlike(pattern)
+
+
+def times(text: Column, pattern: str, *needs: str) -> Column:
+    """How often ``pattern`` occurs; texts without any of ``needs`` are not searched."""
+    n = F.regexp_count(text, F.lit(pattern))
+    return F.when(any_of(text, list(needs)), n).otherwise(0) if needs else n
+
+
 def matches(text: Column, patterns: list[str], flags: str = "") -> Column:
     """How many of ``patterns`` are found in the text."""
-    return reduce(Column.__add__, [text.rlike(flags + p).cast("int") for p in patterns])
+    return reduce(Column.__add__, [found(text, flags + p, needed(p, "i" in flags)).cast("int") for p in patterns])
+
+
+def needed(pattern: str, any_case: bool = False) -> str:
+    """The longest run of characters that stands in every match of a pattern, as far as its top
+    level shows it; without letters where case does not count."""
+    try:
+        parts = _parser.parse(pattern)
+    except re.error:  # written in a way that only Java reads
+        return ""
+    runs = [""]
+    for kind, value in parts:
+        literal = str(kind) == "LITERAL" and not (any_case and chr(value).isalpha())
+        runs += [runs.pop() + chr(value)] if literal else [""]
+    return max(runs, key=len)
 
 
 def mean(*parts: Column) -> Column:

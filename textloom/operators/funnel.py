@@ -2,42 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..functions.language import detect_language, passes_filter
 from .dedup import aggressive_key
+from .markup import parsed
 
 #: The stages' thresholds.
 QUALITY, SYNTAX, COHERENCE = 0.7, 0.8, 0.6
 
 
-def stage_flags(df: DataFrame, corrected: bool = False) -> DataFrame:
-    """df: content, language and any ids. Adds found and the pass flag of every stage by itself."""
-    c, m = F.col("content"), F.col("language")
-    df = df.withColumn("found", detect_language(c, m))
-    at_least = lambda x, t: F.round(x, 9) >= t
+def stage(corrected: bool = False) -> Column:
+    """The first stage that a row fails, null where it passes all; later stages are not computed.
+    Columns: content, language, found, well_formed (whether it parses, needed of xml only)."""
+    c, m, f = F.col("content"), F.col("language"), F.col("found")
+    below = lambda x, t: F.round(x, 9) < t
     return (
-        df.withColumn("language_ok", passes_filter(c, F.col("found"), corrected))
-        .withColumn("quality_ok", at_least(S.content_quality(c, m), QUALITY))
-        .withColumn("syntax_ok", at_least(S.syntax_validity(c, m), SYNTAX))
-        .withColumn("coherence_ok", at_least(S.coherence(c), COHERENCE))
+        F.when(~passes_filter(c, f, corrected), "language")
+        .when(below(S.content_quality(c, m, f), QUALITY), "quality")
+        .when(below(S.syntax_validity(c, f, F.col("well_formed")), SYNTAX), "syntax")
+        .when(below(S.coherence(c), COHERENCE), "coherence")
     )
 
 
 def funnel(df: DataFrame, corrected: bool = False) -> DataFrame:
-    """AGG7: one row of counters. Texts are read once; only keys' hashes are shuffled."""
-    flags = stage_flags(df, corrected)
-    l, q, s, c = (F.col(x) for x in ("language_ok", "quality_ok", "syntax_ok", "coherence_ok"))
-    passed = l & q & s & c
-    rows = flags.select(
-        (~l).cast("long").alias("a"), (l & ~q).cast("long").alias("b"), (l & q & ~s).cast("long").alias("c"), (l & q & s & ~c).cast("long").alias("d"), F.when(passed, F.sha2(aggressive_key(F.col("content")), 256)).alias("key")
-    )
-    groups = rows.groupBy("key").agg(F.count("*").alias("n"), *(F.sum(x).alias(x) for x in "abcd"))
+    """AGG7: one row of counters. Texts are read once; only keys' hashes are shuffled. df: content, language."""
+    rows = df.select("content", "language").withColumn("found", detect_language(F.col("content"), F.col("language")))
+    rows = parsed(rows).withColumn("stage", stage(corrected))
+    rows = rows.select("stage", F.when(F.col("stage").isNull(), F.sha2(aggressive_key(F.col("content")), 256)).alias("key"))
+    groups = rows.groupBy("stage", "key").agg(F.count("*").alias("n"))
+    failed = lambda x: F.coalesce(F.sum(F.when(F.col("stage") == x, F.col("n"))), F.lit(0)).alias(f"{x}_filtered")
     total = groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        *(F.coalesce(F.sum(x), F.lit(0)).alias(y) for x, y in zip("abcd", ("language_filtered", "quality_filtered", "syntax_filtered", "coherence_filtered"), strict=True)),
+        *map(failed, ("language", "quality", "syntax", "coherence")),
         F.coalesce(F.sum(F.when(F.col("key").isNotNull(), F.col("n") - 1)), F.lit(0)).alias("duplicates"),
         F.count("key").alias("kept"),
     )

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip, words
@@ -69,18 +68,21 @@ def repetitive(text: Column) -> Column:
     return F.when(F.size(w) < 10, False).otherwise(often)
 
 
+def unit_gate(score: Column, key: Column) -> Column:
+    """FLT9: a score above 0.8 passes, of the others three in four by a draw of their key."""
+    return (score > 0.8) | (draw(key, "unit") < 0.75)
+
+
 def plateau_rate(df: DataFrame, key: str, order: str, value: str, patience: int = 3, factor: float = 0.5, start: float = 0.1) -> DataFrame:
     """WIN7: the rate that is cut by ``factor`` after more than ``patience`` steps without a new
-    least value. A fold, so a series goes through one function in order."""
-
-    def fold(series: pd.DataFrame) -> pd.DataFrame:
-        best, bad, rate, out = float("inf"), 0, start, []
-        for v in series.sort_values(order)[value]:
-            bad = 0 if v < best else bad + 1
-            best = min(best, v)
-            if bad > patience:
-                rate, bad = rate * factor, 0
-            out.append(rate)
-        return pd.DataFrame({key: series[key].iloc[0], "step": range(1, len(out) + 1), "rate": out})
-
-    return df.groupBy(key).applyInPandas(fold, f"{key} string, step long, rate double")
+    least value, the count starting anew with each cut. Steps since the least value so far tell when
+    a cut is due, so it is windows over a key's steps, and no fold."""
+    steps = Window.partitionBy(key).orderBy(order)
+    before = steps.rowsBetween(Window.unboundedPreceding, -1)
+    least = F.min(value).over(before)
+    new = (least.isNull() | (F.col(value) < least)).cast("long")
+    rows = df.select(key, order, F.row_number().over(steps).cast("long").alias("step"), new.alias("new"))
+    rows = rows.withColumn("run", F.sum("new").over(steps))
+    bad = F.row_number().over(Window.partitionBy(key, "run").orderBy(order)) - 1
+    rows = rows.withColumn("cut", ((bad > 0) & (bad % (patience + 1) == 0)).cast("long"))
+    return rows.select(key, "step", (F.lit(start) * F.pow(F.lit(factor), F.sum("cut").over(steps))).alias("rate"))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import language as L
 from ..functions import scores as S
+from ..operators.markup import parsed
 from . import duck as D
-from .inputs import CONTENTS, PAIRS, contents, pairs
+from .inputs import CONTENTS, PAIRS, contents, pairs, parses
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,8 +96,9 @@ _HTML = D.mean(f"(starts_with({D.strip(C)}, '<!DOCTYPE') OR starts_with({D.strip
 _CSS = D.mean(D.balanced(C, "{", "}") + "::INT", D.rlike(C, r"[a-zA-Z_-]+\s*\{") + "::INT", D.rlike(C, r"[a-zA-Z-]+\s*:\s*[^;]+;") + "::INT")
 
 
-def _syntax() -> str:
-    return D.case(("found = 'javascript'", _js()), ("found = 'typescript'", _ts()), ("found = 'xml'", _XML), ("found = 'html'", _HTML), ("found = 'css'", _CSS), other="0.8")
+def _syntax(parser: bool = False) -> str:
+    xml = D.case((parses("xml"), "1.0"), other=_XML) if parser else _XML
+    return D.case(("found = 'javascript'", _js()), ("found = 'typescript'", _ts()), ("found = 'xml'", xml), ("found = 'html'", _HTML), ("found = 'css'", _CSS), other="0.8")
 
 
 def _flow() -> str:
@@ -148,67 +150,72 @@ def _coherence() -> str:
 _FOUND = f"f AS (SELECT *, {_votes()} AS found FROM c)"
 
 # name: column of (content, metadata language), DuckDB expression over f
-SCORES: dict[str, tuple[Callable[[Column, Column], Column], str]] = {
+SCORES: dict[str, tuple[Callable[[Column, Column, Column], Column], str]] = {
     "sco1_content_quality": (S.content_quality, _quality()),
-    "sco2_length_quality": (lambda c, m: S.length_quality(c), _length()),
-    "sco3_structure_quality": (lambda c, m: S.structure_quality(c), _structure()),
-    "sco4_complexity_quality": (lambda c, m: S.complexity_quality(c), _complexity()),
-    "sco5_language_consistency": (S.language_consistency, _consistency()),
-    "sco6_semantic_richness": (lambda c, m: S.semantic_richness(c), _richness()),
-    "sco7_syntax_validity": (S.syntax_validity, _syntax()),
-    "sco7a_js_syntax": (lambda c, m: S.js_syntax(c), _js()),
-    "sco7b_ts_syntax": (lambda c, m: S.ts_syntax(c), _ts()),
-    "sco7c_xml_shape": (lambda c, m: S.xml_shape(c), _XML),
-    "sco7d_html_syntax": (lambda c, m: S.html_syntax(c), _HTML),
-    "sco7e_css_syntax": (lambda c, m: S.css_syntax(c), _CSS),
-    "sco8_coherence": (lambda c, m: S.coherence(c), _coherence()),
-    "sco8a_logical_flow": (lambda c, m: S.logical_flow(c), _flow()),
-    "sco8b_naming_consistency": (lambda c, m: S.naming_consistency(c), _naming()),
-    "sco8c_structure_rationality": (lambda c, m: S.structure_rationality(c), _rationality()),
-    "sco8d_indentation": (lambda c, m: S.indentation(c), _indent()),
-    "sco8e_grouping": (lambda c, m: S.grouping(c), _group()),
-    "sco10d_html_patterns": (lambda c, m: S.html_patterns(c), f"{D.matches(C, ['<!DOCTYPE[^>]*>', '<html[^>]*>', '</html>', '<head[^>]*>', '</head>', '<body[^>]*>', '</body>'], '(?i)')} / 7.0"),
+    "sco2_length_quality": (lambda c, m, f: S.length_quality(c), _length()),
+    "sco3_structure_quality": (lambda c, m, f: S.structure_quality(c), _structure()),
+    "sco4_complexity_quality": (lambda c, m, f: S.complexity_quality(c), _complexity()),
+    "sco5_language_consistency": (lambda c, m, f: S.language_consistency(m, f), _consistency()),
+    "sco6_semantic_richness": (lambda c, m, f: S.semantic_richness(c), _richness()),
+    "sco7a_js_syntax": (lambda c, m, f: S.js_syntax(c), _js()),
+    "sco7b_ts_syntax": (lambda c, m, f: S.ts_syntax(c), _ts()),
+    "sco7c_xml_shape": (lambda c, m, f: S.xml_shape(c), _XML),
+    "sco7d_html_syntax": (lambda c, m, f: S.html_syntax(c), _HTML),
+    "sco7e_css_syntax": (lambda c, m, f: S.css_syntax(c), _CSS),
+    "sco8_coherence": (lambda c, m, f: S.coherence(c), _coherence()),
+    "sco8a_logical_flow": (lambda c, m, f: S.logical_flow(c), _flow()),
+    "sco8b_naming_consistency": (lambda c, m, f: S.naming_consistency(c), _naming()),
+    "sco8c_structure_rationality": (lambda c, m, f: S.structure_rationality(c), _rationality()),
+    "sco8d_indentation": (lambda c, m, f: S.indentation(c), _indent()),
+    "sco8e_grouping": (lambda c, m, f: S.grouping(c), _group()),
+    "sco10d_html_patterns": (lambda c, m, f: S.html_patterns(c), f"{D.matches(C, ['<!DOCTYPE[^>]*>', '<html[^>]*>', '</html>', '<head[^>]*>', '</head>', '<body[^>]*>', '</body>'], '(?i)')} / 7.0"),
     "sco16_validator_syntax": (
-        lambda c, m: S.validator_syntax(c, L.detect_language(c, m)),
+        lambda c, m, f: S.validator_syntax(c, f),
         D.case(("found = 'javascript'", D.case((f"{D.balanced(C, '{', '}')} AND {D.balanced(C, '(', ')')}", "1.0"), other="0.7")), ("found = 'xml'", D.case((D.balanced(C, "<", ">"), "1.0"), other="0.6")), other="0.8"),
     ),
-    "sco17_validator_coherence": (lambda c, m: S.validator_coherence(c), _vcoherence()),
-    "sco18_validator_complexity": (lambda c, m: S.validator_complexity(c), _vcomplexity()),
+    "sco17_validator_coherence": (lambda c, m, f: S.validator_coherence(c), _vcoherence()),
+    "sco18_validator_complexity": (lambda c, m, f: S.validator_complexity(c), _vcomplexity()),
     "sco19_task_completion": (
-        lambda c, m: S.task_completion(c),
+        lambda c, m, f: S.task_completion(c),
         D.case(("contains(content, 'function') AND contains(content, 'return')", "0.9"), ("contains(content, 'class') AND contains(content, '{')", "0.85"), ("contains(content, 'interface') AND contains(content, '{')", "0.8"), other="0.6"),
     ),
-    "sco20_keyword_coverage": (lambda c, m: S.keyword_coverage(c), f"{D.hits(_LOW, S.COVERAGE_KEYWORDS)} / 16.0"),
-    "sco21_cyclomatic": (lambda c, m: S.cyclomatic(c), f"1 + {D.count(C, 'if')} + 2 * ({D.count(C, 'for')} + {D.count(C, 'while')}) + {D.count(C, 'switch')} + {D.count(C, '&&')} + {D.count(C, '||')}"),
+    "sco20_keyword_coverage": (lambda c, m, f: S.keyword_coverage(c), f"{D.hits(_LOW, S.COVERAGE_KEYWORDS)} / 16.0"),
+    "sco21_cyclomatic": (lambda c, m, f: S.cyclomatic(c), f"1 + {D.count(C, 'if')} + 2 * ({D.count(C, 'for')} + {D.count(C, 'while')}) + {D.count(C, 'switch')} + {D.count(C, '&&')} + {D.count(C, '||')}"),
 }
 
 
-def _score_query(column: Callable[[Column, Column], Column]) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return contents(spark, sf_dir).select("src", "id", F.round(column(F.col("content"), F.col("language")).cast("double"), 6).alias("score"))
+def detected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contents with the detected language, computed once a row; unused, it is pruned."""
+    return contents(spark, sf_dir).withColumn("found", L.detect_language(F.col("content"), F.col("language")))
 
-    return run
 
+def _score_query(column: Callable[[Column, Column, Column], Column]) -> Query:
+    return lambda spark, sf_dir: detected(spark, sf_dir).select("src", "id", F.round(column(*map(F.col, ("content", "language", "found"))).cast("double"), 6).alias("score"))
 
-def _labels_query(name: str, column: Callable[[Column, Column], Column]) -> Query:
-    return lambda spark, sf_dir: contents(spark, sf_dir).select("src", "id", column(F.col("content"), F.col("language")).alias(name))
 
+def _labels_query(name: str, column: Callable[[Column, Column, Column], Column]) -> Query:
+    return lambda spark, sf_dir: detected(spark, sf_dir).select("src", "id", column(*map(F.col, ("content", "language", "found"))).alias(name))
 
-LABELS: dict[str, tuple[str, Callable[[Column, Column], Column], str]] = {
-    "prj2_detect_language": ("found", L.detect_language, "found"),
+
+LABELS: dict[str, tuple[str, Callable[[Column, Column, Column], Column], str]] = {
+    "prj2_detect_language": ("found", lambda c, m, f: f, "found"),
     "prj3_detect_language_rule": (
         "found",
-        lambda c, m: L.detect_by_rules(c),
+        lambda c, m, f: L.detect_by_rules(c),
         D.case((D.any_of(C, ["interface", "type "]), "'typescript'"), (D.any_of(C, ["function", "const "]), "'javascript'"), (f"starts_with({D.strip(C)}, '<') AND contains(content, '</')", "'html'"), (D.any_of(C, ["<?xml", "<configuration>"]), "'xml'"), other="'javascript'"),
     ),
-    "flt1_language_filter": ("passes", lambda c, m: L.passes_filter(c, L.detect_language(c, m)), _bank(False)),
-    "flt1_language_filter_corrected": ("passes", lambda c, m: L.passes_filter(c, L.detect_language(c, m), corrected=True), _bank(True)),
+    "flt1_language_filter": ("passes", lambda c, m, f: L.passes_filter(c, f), _bank(False)),
+    "flt1_language_filter_corrected": ("passes", lambda c, m, f: L.passes_filter(c, f, corrected=True), _bank(True)),
 }
 
 
+def sco7_syntax_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    score = S.syntax_validity(F.col("content"), F.col("found"), F.col("well_formed"))
+    return parsed(detected(spark, sf_dir)).select("src", "id", F.round(score.cast("double"), 6).alias("score"))
+
+
 def flt2_source_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = contents(spark, sf_dir).withColumn("found", L.detect_language(F.col("content"), F.col("language")))
-    rows = rows.withColumn("license", F.element_at(F.array(*map(F.lit, ["MIT", "GPL-3.0", "Apache-2.0", None])), (F.col("id") % 4 + 1).cast("int")))
+    rows = detected(spark, sf_dir).withColumn("license", F.element_at(F.array(*map(F.lit, ["MIT", "GPL-3.0", "Apache-2.0", None])), (F.col("id") % 4 + 1).cast("int")))
     return rows.select("src", "id", L.passes_source_filter(F.col("content"), F.col("found"), F.col("license"), F.length("content")).alias("passes"), L.permissive(F.col("license")).alias("permissive"))
 
 
@@ -259,7 +266,7 @@ def queries() -> dict[str, Query]:
         {k: _score_query(f) for k, (f, _) in SCORES.items()}
         | {k: _labels_query(n, f) for k, (n, f, _) in LABELS.items()}
         | {k: _pair_query(f) for k, (f, _) in PAIR_SCORES.items()}
-        | {"flt2_source_filter": flt2_source_filter, "sco10g_difficulty_label": sco10g_difficulty_label}
+        | {"flt2_source_filter": flt2_source_filter, "sco10g_difficulty_label": sco10g_difficulty_label, "sco7_syntax_validity": sco7_syntax_validity}
     )
 
 
@@ -268,5 +275,5 @@ def oracle_sql() -> dict[str, str]:
         {k: f"WITH {CONTENTS}, {_FOUND} SELECT src, id, round(({e})::DOUBLE, 6) AS score FROM f" for k, (_, e) in SCORES.items()}
         | {k: f"WITH {CONTENTS}, {_FOUND} SELECT src, id, {e} AS {n} FROM f" for k, (n, _, e) in LABELS.items()}
         | {k: f"WITH {PAIRS} SELECT conv_id, turn, round(({e})::DOUBLE, 6) AS score FROM q" for k, (_, e) in PAIR_SCORES.items()}
-        | {"flt2_source_filter": FLT2, "sco10g_difficulty_label": SCO10G}
+        | {"flt2_source_filter": FLT2, "sco10g_difficulty_label": SCO10G, "sco7_syntax_validity": f"WITH {CONTENTS}, {_FOUND} SELECT src, id, round(({_syntax(True)})::DOUBLE, 6) AS score FROM f"}
     )

@@ -23,9 +23,26 @@ SAMPLES = [
     (12, "import react from 'react';\nfrom x import y\nlet snake_case_name = 1;\nvar camelCaseName = 2;\n}", "javascript"),
     (13, "The class of 1999 was small. It had a list, an array, and an object! Was it? Yes.", "unknown"),
     (14, "// TODO remove\nlet n = 10; // ten\n/* block\n comment */\nlet s = \"a b\"; debugger;\nalert(1)", "javascript"),
+    (15, "import os\n\ndef area(w, h):\n    # of a box\n    return w * h\n", "python"),
+    (16, "def broken(x:\n    return x", "python"),
+    (17, "<a x=\"1\"><!-- p < q --><b><![CDATA[ 1 < 2 ]]></b></a>", "xml"),
+    (18, "import React from 'react';\nexport const Button = (props) => {\n  return (<button className=\"b\" onClick={props.go}>{props.label}</button>);\n};\nexport default Button;", "javascript"),
+    (19, ".card { display: flex; width: calc(100% - 4px); color: var(--ink); }\n@media (max-width: 600px) { .card { display: grid; transition: all 1s; } }\n#id { min-width: min(4px, 1em); }", "css"),
+    (20, "{\"name\": \"app\", \"config\": {\"value\": 1}, \"dependencies\": {\"a\": \"1.0.0\"}, \"property\": [true, null]}", "json"),
+    (21, "# Button\n\nDescription of props, with an [example](x).\n\n```js\nusage()\n```\n\n<Button />", "mdx"),
+    (22, "if (a [ b ) ] { mixed } up the order of brackets", "unknown"),
+    (23, "<form>\n  <input name='a'>\n  <button>Go</button>\n</form> and more words here", "html"),
 ]
 
 
+#: Samples that parse as XML, Python and JSON, by hand; of the tables' rows none does as XML.
+PARSES = {"xml": (3, 4, 17), "python": (15,), "json": (20,)}
+
+
+def parses(kind: str) -> str:
+    return f"(src = 's' AND id IN ({', '.join(map(str, PARSES[kind]))}))"
+
+
 def quoted(text: str | None) -> str:
     return "NULL" if text is None else "'" + text.replace("'", "''") + "'"
 

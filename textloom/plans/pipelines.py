@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dedup, funnel, generate, markup
+from ..operators import dedup, funnel, generate
 from ..session import table
 from ..streaming import metrics
 from . import content as K
@@ -135,7 +135,7 @@ def dup5_all(spark: SparkSession, sf_dir: str, at_a_time: int = QUERIES) -> Data
 
 
 _FUNNEL = f"""WITH {CONTENTS}, {K._FOUND},
-g AS (SELECT content, {{bank}} AS l, round({K._quality()}, 9) >= 0.7 AS q, round({K._syntax()}, 9) >= 0.8 AS s, round({K._coherence()}, 9) >= 0.6 AS c FROM f),
+g AS (SELECT content, {{bank}} AS l, round({K._quality()}, 9) >= 0.7 AS q, round({K._syntax(True)}, 9) >= 0.8 AS s, round({K._coherence()}, 9) >= 0.6 AS c FROM f),
 k AS (SELECT *, CASE WHEN l AND q AND s AND c THEN sha256({_key('content')}) END AS key FROM g)
 SELECT count(*) AS total, count_if(NOT l)::BIGINT AS language_filtered, count_if(l AND NOT q)::BIGINT AS quality_filtered, count_if(l AND q AND NOT s)::BIGINT AS syntax_filtered,
   count_if(l AND q AND s AND NOT c)::BIGINT AS coherence_filtered, count(key) - count(DISTINCT key) AS duplicates, count(DISTINCT key) AS kept, round(count(DISTINCT key)::DOUBLE / count(*), 6) AS efficiency FROM k"""
@@ -165,9 +165,6 @@ def queries() -> dict[str, Query]:
         "dup5_embedding_neighbors_all": dup5_all,
         "agg7_funnel": lambda s, d: funnel.funnel(contents(s, d)),
         "agg7_funnel_corrected": lambda s, d: funnel.funnel(contents(s, d), corrected=True),
-        "sco22_bracket_stack": lambda s, d: contents(s, d).select("src", "id", markup.matched(F.col("content")).alias("matched")),
-        "sco25_xml_detail": lambda s, d: contents(s, d).select("src", "id", markup.xml_details(F.col("content")).alias("x")).select("src", "id", "x.*"),
-        "sco27_html_detail": lambda s, d: contents(s, d).select("src", "id", markup.html_details(F.col("content")).alias("x")).select("src", "id", "x.*"),
         "sco28_repetition": sco28,
         "win7_plateau_lr": win7,
         "gen1_templates": lambda s, d: generate.templated(s, 1000),
@@ -203,6 +200,10 @@ def oracle_sql() -> dict[str, str]:
         "sco28_repetition": SCO28,
         "gen1_templates": f"WITH {_GEN} SELECT id, difficulty, language, 'Write a ' || difficulty || ' ' || language || ' sample number ' || id AS instruction FROM g",
         "gen7_stats": f"WITH {_GEN} SELECT difficulty, language, count(*) AS n FROM g GROUP BY difficulty, language",
+        "win7_plateau_lr": """WITH d AS (SELECT event_type, ts::DATE AS d, avg(value) AS v FROM events GROUP BY 1, 2),
+s AS (SELECT *, row_number() OVER w AS step, coalesce(v < min(v) OVER (PARTITION BY event_type ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS new FROM d WINDOW w AS (PARTITION BY event_type ORDER BY d)),
+r AS (SELECT *, max(CASE WHEN new THEN step END) OVER (PARTITION BY event_type ORDER BY step) AS since FROM s)
+SELECT event_type, step, 0.1 * power(0.5, sum((step > since AND (step - since) % 4 = 0)::INT) OVER (PARTITION BY event_type ORDER BY step)) AS rate FROM r""",
         "flt9_hash_bernoulli": f"SELECT doc_id, {D.draw('doc_id::VARCHAR', D.q(':unit'))} < 0.75 AS passed FROM documents",
         "srt8_weighted_choice": f"SELECT doc_id, {D.case((D.draw('doc_id::VARCHAR', D.q(':pick')) + ' < 0.3', D.q('easy')), (D.draw('doc_id::VARCHAR', D.q(':pick')) + ' < 0.8', D.q('medium')), other=D.q('hard'))} AS choice FROM documents",
         "stream_tumbling": "SELECT date_trunc('day', ts)::TIMESTAMP AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
