@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import content, pipelines, relational, rubrics, web
+from . import content, evaluation, pipelines, relational, rubrics, web
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 FLAGSHIP = "agg7_funnel"
-PARTS = (content, relational, pipelines, rubrics, web)
+PARTS = (content, relational, pipelines, rubrics, web, evaluation)
 
 
 def queries() -> dict[str, Query]:

@@ -37,11 +37,6 @@ def _key(x: str) -> str:
 _KEYED = f"{CONTENTS}, k AS (SELECT {_ID} AS id, content, sha256({_key('content')}) AS key FROM c)"
 
 
-def dup4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _keyed(spark, sf_dir).withColumn("score", (F.length("content") % 97).cast("double"))
-    return dedup.keep_best(scored, "score")
-
-
 def prj8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contents(spark, sf_dir).select("src", "id", F.sha2(generate.cat_clean(F.col("content")), 256).alias("cleaned"))
 
@@ -97,18 +92,8 @@ def win7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate.plateau_rate(daily, "event_type", "d", "v")
 
 
-def dup5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nearest vector of the same label to each query (ids divisible by 100)."""
-    v = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
-    size = lambda e: F.sqrt(F.aggregate(e, F.lit(0.0), lambda a, x: a + x * x))
-    a = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "label", F.col("e").alias("q"))
-    dot = F.aggregate(F.zip_with("q", "e", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    near = a.join(v, "label").where("query_id <> vec_id").withColumn("cosine", F.round(dot / (size(F.col("q")) * size(F.col("e"))), 6))
-    return near.groupBy("query_id").agg(F.max("cosine").alias("cosine"), F.min_by("vec_id", F.struct(-F.col("cosine"), F.col("vec_id"))).alias("vec_id"))
-
-
-DUP5 = """WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
-n AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.e, b.e), 6) AS cosine FROM v a JOIN v b USING (label) WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)
+DUP5 = """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+n AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.e, b.e), 6) AS cosine FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0)
 SELECT query_id, cosine, vec_id FROM n QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, vec_id) = 1"""
 
 #: Queries that are sent to the workers at a time.
@@ -155,14 +140,12 @@ def queries() -> dict[str, Query]:
         "prj5_dedup_key": lambda s, d: _keyed(s, d).select("id", "key"),
         "prj6_light_key": lambda s, d: contents(s, d).select("src", "id", F.sha2(dedup.light_key(F.col("content"), F.col("language")), 256).alias("key")),
         "prj8_cat_clean": prj8,
-        "prj9_cat_transform_whole": prj9_whole,
+        "prj9_cat_transform": prj9_whole,
         "prj15_truncate_pad": prj15,
         "prj16_mcq_prompt": prj16,
         "dup1_keep_first": lambda s, d: dedup.keep_first(_keyed(s, d)).select("id", "copies"),
         "dup3_groups": lambda s, d: dedup.duplicate_pairs(_keyed(s, d)),
-        "dup4_keep_best": dup4,
-        "dup5_embedding_neighbors": dup5,
-        "dup5_embedding_neighbors_all": dup5_all,
+        "dup5_embedding_neighbors": dup5_all,
         "agg7_funnel": lambda s, d: funnel.funnel(contents(s, d)),
         "agg7_funnel_corrected": lambda s, d: funnel.funnel(contents(s, d), corrected=True),
         "sco28_repetition": sco28,
@@ -189,11 +172,12 @@ def oracle_sql() -> dict[str, str]:
         "prj5_dedup_key": f"WITH {_KEYED} SELECT id, key FROM k",
         "prj6_light_key": f"WITH {CONTENTS}, n AS (SELECT *, regexp_replace(content, {D.q(D.SPACE + '+')}, ' ', 'g') AS x FROM c) SELECT src, id, sha256({D.strip('lower(CASE WHEN contains(lower(language), ' + D.q('javascript') + ') OR contains(lower(language), ' + D.q('typescript') + ') THEN regexp_replace(regexp_replace(x, ' + D.q('//.*$') + ', ' + D.q('') + ', ' + D.q('g') + '), ' + D.q(r'(?s)/\*.*?\*/') + ', ' + D.q('') + ', ' + D.q('g') + ') ELSE x END)')}) AS key FROM n",
         "prj8_cat_clean": f"WITH {CONTENTS} SELECT src, id, sha256({_cat()}) AS cleaned FROM c",
+        "prj9_cat_transform": f"""WITH {PAIRS} SELECT conv_id, turn, 'comment_to_code' AS task_type, instruction AS input, output AS target FROM q
+UNION ALL SELECT conv_id, turn, 'code_to_comment', output, instruction FROM q UNION ALL SELECT conv_id, turn, 'code_explanation', output, instruction FROM q WHERE length(instruction) > 100""",
         "prj15_truncate_pad": PRJ15,
         "prj16_mcq_prompt": PRJ16,
         "dup1_keep_first": f"WITH {_KEYED} SELECT min(id) AS id, count(*) AS copies FROM k GROUP BY key",
         "dup3_groups": f"WITH {_KEYED}, m AS (SELECT key, min(id) AS rep_id FROM k GROUP BY key) SELECT rep_id, id AS dup_id FROM k JOIN m USING (key) WHERE id <> rep_id",
-        "dup4_keep_best": f"WITH {_KEYED} SELECT id, (length(content) % 97)::DOUBLE AS score FROM k QUALIFY row_number() OVER (PARTITION BY key ORDER BY length(content) % 97 DESC, id) = 1",
         "dup5_embedding_neighbors": DUP5,
         "agg7_funnel": _FUNNEL.replace("{bank}", K._bank(False)),
         "agg7_funnel_corrected": _FUNNEL.replace("{bank}", K._bank(True)),

@@ -16,19 +16,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 _DAILY = "daily AS (SELECT event_type, CAST(ts AS DATE) AS d, avg(value) AS v, count(*) AS n FROM {events} GROUP BY event_type, CAST(ts AS DATE))"
 _STEPS = _DAILY + ", s AS (SELECT event_type, d, v, row_number() OVER (PARTITION BY event_type ORDER BY d) AS step FROM daily)"
 _P = lambda x, *ps: ", ".join(f"round(percentile_cont({p}) WITHIN GROUP (ORDER BY {x}), 6) AS p{round(p * 100)}" for p in ps)
-_METRICS = "(VALUES ('accuracy', 0.80, 0.90), ('pass_at_1', 0.42, 0.40), ('tokens_per_second', 30.0, 31.0), ('latency_ms', 150.0, 120.0), ('memory_gb', 8.2, 8.0), ('codebleu_score', 0.0, 0.0), ('perplexity', 9.0, 0.0)) AS m(metric, current, baseline)"
-_RUNS = "(VALUES (1, true, 0.91, 400, 1200.5), (2, false, NULL, 10, 33.0), (3, true, 0.87, 350, 900.0), (4, true, 0.93, 500, 1500.25), (5, true, 0.93, 450, 1400.0), (6, true, 0.61, 90, 300.0), (7, true, 0.75, 200, 610.0)) AS r(run, success, best_metric, best_step, duration)"
-_GATES = "(VALUES (1, 'generation', true, 'passed', 0.92), (2, 'performance', true, 'passed', 0.81), (3, 'consistency', false, 'failed', 0.55), (4, 'safety', true, 'failed', 0.4), (5, 'output', false, 'passed', 0.77), (6, 'memory', true, 'passed', 0.66)) AS g(position, test, required, status, score)"
-_PROBLEMS = "(VALUES ('a', 1, true, true), ('a', 2, true, false), ('a', 3, false, false), ('b', 1, true, true), ('b', 2, true, true), ('b', 3, true, true), ('b', 4, true, true), ('b', 5, true, true), ('b', 6, true, true), ('c', 1, false, false), ('c', 2, true, false), ('d', 1, true, true), ('d', 2, true, false), ('d', 3, true, false)) AS p(problem, i, valid, passed)"
-_PREDICTIONS = "(VALUES (1, 1, ' A', 'a'), (1, 2, 'b', 'a'), (2, 1, 'x', 'y'), (2, 2, 'Y', 'y'), (3, 1, 'q', 'r'), (3, 2, 'q', 'r'), (3, 3, 'r ', 'r')) AS p(q, i, p, r)"
-_MCQ = "(VALUES ('oop', 'What is a class?', 1, 1), ('oop', 'What is an object made of?', 2, 1), ('algorithms', 'Which sort is stable?', 3, 3), ('algorithms', 'Why?', NULL, 0), ('general', 'Which one?', 0, 0)) AS m(domain, question, picked, answer)"
-_VERSIONS = "(VALUES ('1.0.0'), ('1.2'), ('2.0.0-alpha.1'), ('2.0.0'), ('1.10.3+build5'), ('2.0.0-beta'), ('0.9.12-rc1+x')) AS v(version)"
-_PARSED = (
-    "p AS (SELECT version, CASE WHEN contains(split_part(version, '+', 1), '-') THEN regexp_extract(split_part(version, '+', 1), '^[^-]*-(.*)$', 1) END AS prerelease, "
-    "CASE WHEN contains(version, '+') THEN regexp_extract(version, '^[^+]*[+](.*)$', 1) END AS build, split_part(split_part(version, '+', 1), '-', 1) AS core FROM " + _VERSIONS + "), "
-    "s AS (SELECT version, CAST(split_part(core, '.', 1) AS INT) AS major, CAST(split_part(core, '.', 2) AS INT) AS minor, "
-    "CAST(coalesce(nullif(split_part(core, '.', 3), ''), '0') AS INT) AS patch, prerelease, build FROM p)"
-)
 _QUALITY = "q AS (SELECT d.doc_id, d.lang, CAST(length(d.text) AS DOUBLE) AS n, CAST(l.quality AS DOUBLE) AS quality FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id)"
 _LENGTHS = "x AS (SELECT doc_id, lang, CAST(length(coalesce(text, '')) AS DOUBLE) AS n FROM {documents})"
 
@@ -37,24 +24,14 @@ SQL: dict[str, str] = {
     "src9_warehouse_pull": "SELECT doc_id, lang, length(text) AS n FROM {documents} WHERE lang IN ('en', 'fr') AND text IS NOT NULL AND length(text) BETWEEN 100 AND 100000",
     "src2_range_slice": "SELECT doc_id, lang FROM {documents} ORDER BY doc_id LIMIT 100",
     "flt11_training_filter": "SELECT doc_id, length(text) AS n FROM {documents} WHERE length(text) BETWEEN 10 AND 32768 AND length(trim(text)) > 0",
-    "flt12_distinct_text": "SELECT min(doc_id) AS doc_id, count(*) AS copies FROM {documents} GROUP BY text",
-    "flt13_successful_runs": f"SELECT run, best_metric FROM {_RUNS} WHERE success",
+    "flt12_distinct_text": "SELECT min(doc_id) AS doc_id, count(*) AS copies FROM {documents} GROUP BY sha256(text)",
     "flt14_catalog_filter": "SELECT p_partkey, p_brand, p_size FROM {part} WHERE p_size <= 10 AND p_brand LIKE 'Brand#1%'",
     "flt15_retention": "SELECT o_orderkey, o_orderstatus FROM {orders} WHERE o_orderdate >= (SELECT max(o_orderdate) FROM {orders}) - INTERVAL '30' DAY",
     # projections
-    "prj1_content_fallback": "SELECT id, coalesce(nullif(content, ''), nullif(code, ''), output, '') AS content FROM (VALUES (1, 'a', 'b', 'c'), (2, '', 'b', 'c'), (3, NULL, '', 'c'), (4, '', NULL, NULL), (5, NULL, NULL, '')) AS v(id, content, code, output)",
-    "prj4_language_compat": "SELECT a, b, (least(a, b), greatest(a, b)) IN (('javascript', 'typescript'), ('html', 'xml'), ('js', 'ts')) AS compatible FROM (VALUES ('javascript', 'typescript'), ('ts', 'js'), ('xml', 'html'), ('css', 'html'), ('js', 'typescript')) AS v(a, b)",
-    "prj9_cat_transform": "WITH b AS (SELECT doc_id, lang, substr(text, 1, 200) AS code, substr(text, 201, 150) AS comment FROM {documents}) "
-    "SELECT doc_id, 'comment_to_code' AS task_type, comment AS input, code AS target, lang FROM b UNION ALL SELECT doc_id, 'code_to_comment', code, comment, lang FROM b UNION ALL SELECT doc_id, 'code_explanation', code, comment, lang FROM b WHERE length(comment) > 100",
     "prj10_framework": "SELECT page_id, CASE WHEN contains(html, 'useState') OR contains(html, 'react') THEN 'react' WHEN contains(html, 'v-if') OR contains(html, 'vue') THEN 'vue' WHEN contains(html, 'ngIf') OR contains(html, 'angular') THEN 'angular' WHEN contains(html, '<?xml') OR contains(html, 'xmlns') THEN 'xml' ELSE 'none' END AS framework FROM {pages}",
     "prj14_language_wrap": "SELECT doc_id, concat('<', lang, '>', text, '</', lang, '>') AS wrapped FROM {documents}",
     "prj18_preview": "SELECT doc_id, CASE WHEN length(text) > 100 THEN concat(substr(text, 1, 100), '...') ELSE text END AS preview FROM {documents}",
     "prj20_extension": "SELECT o_orderkey, concat('file_', CAST(o_orderkey AS STRING), CASE o_orderkey % 5 WHEN 0 THEN '.js' WHEN 1 THEN '.ts' WHEN 2 THEN '.xml' WHEN 3 THEN '.html' ELSE '.css' END) AS file_path FROM {orders}",
-    "prj21_semver_parse": f"WITH {_PARSED} SELECT * FROM s",
-    "prj22_commit_category": "SELECT c, CASE WHEN contains(lower(c), 'feat') OR contains(lower(c), 'add') OR contains(lower(c), 'implement') THEN 'features' WHEN contains(lower(c), 'fix') OR contains(lower(c), 'bug') OR contains(lower(c), 'issue') THEN 'fixes' "
-    "WHEN contains(lower(c), 'improve') OR contains(lower(c), 'optimize') OR contains(lower(c), 'enhance') THEN 'improvements' WHEN contains(lower(c), 'break') OR contains(lower(c), 'remove') OR contains(lower(c), 'change') THEN 'breaking_changes' "
-    "WHEN contains(lower(c), 'doc') OR contains(lower(c), 'readme') OR contains(lower(c), 'comment') THEN 'documentation' WHEN contains(lower(c), 'perf') OR contains(lower(c), 'speed') THEN 'performance' ELSE 'improvements' END AS category "
-    "FROM (VALUES ('Add parser'), ('Fix crash'), ('Optimize scan'), ('Remove flag'), ('Update docs'), ('Speed up'), ('Tidy')) AS v(c)",
     "prj23_mcq_category": "SELECT item_id, CASE WHEN contains(t, 'function') OR contains(t, 'class') OR contains(t, 'method') OR contains(t, 'object') THEN 'oop' WHEN contains(t, 'algorithm') OR contains(t, 'complexity') OR contains(t, 'sorting') OR contains(t, 'search') THEN 'algorithms' "
     "WHEN contains(t, 'data structure') OR contains(t, 'array') OR contains(t, 'list') OR contains(t, 'tree') THEN 'data_structures' WHEN contains(t, 'python') OR contains(t, 'javascript') OR contains(t, 'java') OR contains(t, 'code') THEN 'programming_languages' ELSE 'general' END AS category "
     "FROM (SELECT item_id, lower(concat(text, CASE item_id % 4 WHEN 0 THEN ' class' WHEN 1 THEN ' sorting' WHEN 2 THEN ' tree' ELSE '' END)) AS t FROM {benchmark}) x",
@@ -75,49 +52,25 @@ SQL: dict[str, str] = {
     "k AS (SELECT * FROM (VALUES (0), (1), (2), (3), (4), (5), (6), (7), (8), (9)) AS v(bin)) SELECT k.bin, coalesce(h.n, 0) AS n, round(lo + k.bin * w, 6) AS low FROM k CROSS JOIN b LEFT JOIN h ON k.bin = h.bin",
     "agg11_cosine": "WITH a AS (SELECT lang, CAST(count(*) AS DOUBLE) AS n FROM {documents} GROUP BY lang), b AS (SELECT lang, n / sum(n) OVER () AS share FROM a), t AS (SELECT * FROM (VALUES ('en', 0.4), ('fr', 0.3), ('it', 0.3)) AS v(lang, share)) "
     "SELECT round(sum(coalesce(b.share, 0) * coalesce(t.share, 0)) / (sqrt(sum(coalesce(b.share, 0) * coalesce(b.share, 0))) * sqrt(sum(coalesce(t.share, 0) * coalesce(t.share, 0)))), 6) AS cosine FROM b FULL OUTER JOIN t ON b.lang = t.lang",
-    "agg12_consistency": "SELECT round(avg(rate), 6) AS consistency FROM (SELECT lang, avg(CASE WHEN contains(text, ' de ') = (lang IN ('fr', 'es')) THEN 1.0 ELSE 0.0 END) AS rate FROM {documents} GROUP BY lang) x",
     "agg13_bands": "WITH s AS (SELECT lang, CAST(count(*) AS DOUBLE) AS n FROM {documents} GROUP BY lang), x AS (SELECT lang, n / sum(n) OVER () AS share FROM s) SELECT b.lang, round(coalesce(x.share, 0), 6) AS share, coalesce(x.share, 0) BETWEEN low AND high AS within "
     "FROM (VALUES ('en', 0.3, 0.7), ('fr', 0.2, 0.3), ('de', 0.1, 0.2), ('it', 0.1, 0.2)) AS b(lang, low, high) LEFT JOIN x ON b.lang = x.lang",
     "agg14_completion_sets": "WITH t AS (SELECT role, CASE WHEN turn < 2 THEN 'early' ELSE 'late' END AS difficulty, CASE WHEN length(coalesce(text, '')) >= 100 THEN 1.0 ELSE 0.0 END AS done FROM {conversations}) "
     "SELECT coalesce(role, 'all') AS role, coalesce(difficulty, 'all') AS difficulty, count(*) AS n, round(avg(done), 6) AS rate FROM t GROUP BY GROUPING SETS ((), (role), (difficulty))",
-    "agg15_weighted": "SELECT round(sum(w * s) / sum(w), 6) AS score FROM (VALUES ('duplication', 0.3, 0.9), ('syntax', 0.3, 0.8), ('coherence', 0.2, 0.7), ('completion', 0.2, 1.0), ('statistics', 0.1, 0.5)) AS v(test, w, s)",
     "agg16_concepts": "SELECT round((avg(CASE WHEN contains(t, 'variable') OR contains(t, 'let ') OR contains(t, 'const ') THEN 1.0 ELSE 0.0 END) + avg(CASE WHEN contains(t, 'function') THEN 1.0 ELSE 0.0 END) + avg(CASE WHEN contains(t, 'class') THEN 1.0 ELSE 0.0 END) "
     "+ avg(CASE WHEN contains(t, 'if') OR contains(t, 'for') OR contains(t, 'while') THEN 1.0 ELSE 0.0 END) + avg(CASE WHEN contains(t, 'array') OR contains(t, 'object') OR contains(t, 'list') THEN 1.0 ELSE 0.0 END)) / 5, 6) AS coverage FROM (SELECT lower(html) AS t FROM {pages}) x",
-    "agg17_proxies": "SELECT round(coalesce(avg((CASE WHEN contains(t, 'function') THEN 1.0 ELSE 0.0 END + CASE WHEN contains(t, 'return') THEN 1.0 ELSE 0.0 END + CASE WHEN contains(t, '{{') AND contains(t, '}}') THEN 1.0 ELSE 0.0 END + CASE WHEN length(t) > 50 THEN 1.0 ELSE 0.0 END "
-    "+ CASE WHEN length(replace(t, '(', '')) = length(replace(t, ')', '')) THEN 1.0 ELSE 0.0 END) / 5), 0.5), 6) AS humaneval FROM (SELECT text AS t FROM {documents} WHERE length(text) - length(replace(text, chr(10), '')) > 5) x",
-    "agg18_pass_at_k_reference": f"WITH c AS (SELECT problem, count(CASE WHEN passed AND i <= 5 THEN 1 END) AS n FROM {_PROBLEMS} GROUP BY problem) SELECT k, round(avg(CASE WHEN n >= k THEN 1.0 ELSE 0.0 END), 6) AS pass_at_k FROM c CROSS JOIN (VALUES (1), (5), (10)) AS v(k) GROUP BY k",
-    "agg18_pass_at_1_unbiased": f"SELECT round(avg(rate), 6) AS pass_at_1 FROM (SELECT problem, avg(CASE WHEN passed THEN 1.0 ELSE 0.0 END) AS rate FROM {_PROBLEMS} GROUP BY problem) x",
-    "agg20_difficulty": f"SELECT problem, CASE WHEN rate > 0.5 THEN 'easy' WHEN rate >= 0.1 THEN 'medium' ELSE 'hard' END AS difficulty FROM (SELECT problem, avg(CASE WHEN passed THEN 1.0 ELSE 0.0 END) AS rate FROM {_PROBLEMS} GROUP BY problem) x",
-    "agg21_micro_macro": f"SELECT round(sum(p) / sum(n), 6) AS micro, round(avg(v / n), 6) AS macro FROM (SELECT problem, sum(CASE WHEN passed THEN 1.0 ELSE 0.0 END) AS p, sum(CASE WHEN valid THEN 1.0 ELSE 0.0 END) AS v, CAST(count(*) AS DOUBLE) AS n FROM {_PROBLEMS} GROUP BY problem) x",
-    "agg23_exact_match": "SELECT round(avg(CASE WHEN lower(trim(a)) = lower(trim(b)) THEN 1.0 ELSE 0.0 END), 6) AS exact FROM (VALUES (' Yes', 'yes'), ('no', 'yes'), ('B ', 'b'), ('', ' ')) AS v(a, b)",
     "agg25_category_means": "SELECT round(avg(m), 6) AS overall FROM (SELECT event_type, avg(value) AS m FROM {events} GROUP BY event_type) x",
     "agg26_latency": f"SELECT event_type, round(avg(value), 6) AS mean, {_P('value', 0.95)}, round(1000.0 / nullif(avg(value), 0), 6) AS throughput FROM {{events}} GROUP BY event_type",
     "agg27_distribution": f"SELECT event_type, round(avg(value), 6) AS mean, round(median(value), 6) AS median, {_P('value', 0.95, 0.99)}, round(min(value), 6) AS least, round(max(value), 6) AS most, round(stddev_samp(value), 6) AS std FROM {{events}} GROUP BY event_type",
     "agg28_metric_stats": f"SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, {_P('value', 0.5, 0.9, 0.95, 0.99)} FROM {{events}} GROUP BY event_type",
-    "agg29_runs": f"SELECT round(avg(CASE WHEN success THEN 1.0 ELSE 0.0 END), 6) AS success_rate, round(avg(CASE WHEN success THEN best_metric END), 6) AS mean_metric, round(stddev_pop(CASE WHEN success THEN best_metric END), 6) AS std_metric, min(CASE WHEN success THEN best_step END) AS least_step, max(CASE WHEN success THEN duration END) AS most_duration FROM {_RUNS}",
-    "agg30_catalog": f"WITH {_PARSED} SELECT count(*) AS n, count(DISTINCT major) AS majors, count(DISTINCT concat(CAST(major AS STRING), '.', CAST(minor AS STRING))) AS minors, count(CASE WHEN prerelease IS NOT NULL THEN 1 END) AS prereleases FROM s",
-    "agg31_gate_averages": f"SELECT round(avg(CASE WHEN test LIKE '%e%' THEN score END), 6) AS with_e, round(avg(score), 6) AS overall FROM {_GATES}",
     "agg32_modal_share": "SELECT user_id, round(max(n) * 1.0 / sum(n), 6) AS share FROM (SELECT user_id, event_type, count(*) AS n FROM {events} GROUP BY user_id, event_type) x GROUP BY user_id",
     "agg33_summary": f"WITH {_LENGTHS} SELECT count(*) AS n, count(DISTINCT lang) AS languages, round(avg(n), 6) AS mean, round(stddev_pop(n), 6) AS std FROM x",
     "agg34_validity_breakdown": "SELECT lang, count(*) AS valid, count(CASE WHEN length(replace(text, '(', '')) <> length(replace(text, ')', '')) THEN 1 END) AS invalid FROM {documents} GROUP BY lang",
-    "agg19_pass_at_k_match": f"SELECT k, round(avg(CASE WHEN hit > 0 THEN 1.0 ELSE 0.0 END), 6) AS pass_at_k FROM (SELECT k, q, count(CASE WHEN i <= k AND lower(trim(p)) = lower(trim(r)) THEN 1 END) AS hit FROM {_PREDICTIONS} CROSS JOIN (VALUES (1), (2), (3)) AS v(k) GROUP BY k, q) x GROUP BY k",
-    "agg22_mcq_accuracy": f"SELECT domain, count(*) AS n, round(avg(CASE WHEN picked = answer THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(CASE WHEN picked IS NULL THEN 1 END) AS unanswered, round(avg(CASE WHEN picked = answer THEN length(question) END), 6) AS right_length, round(avg(CASE WHEN picked IS NULL OR picked <> answer THEN length(question) END), 6) AS wrong_length FROM {_MCQ} GROUP BY domain",
-    "agg24_micro_validity": f"WITH v AS (SELECT problem, valid FROM {_PROBLEMS}) SELECT coalesce(problem, 'all') AS problem, round(avg(CASE WHEN valid THEN 1.0 ELSE 0.0 END), 6) AS validity FROM v GROUP BY GROUPING SETS ((), (problem))",
     # joins
-    "jon1_metric_compare": f"SELECT metric, round(current - baseline, 6) AS difference, round(CASE WHEN baseline = 0 THEN 0 ELSE 100.0 * (current - baseline) / baseline END, 6) AS percent, current > baseline AS improved, abs(CASE WHEN baseline = 0 THEN 0 ELSE 100.0 * (current - baseline) / baseline END) > 5 AS significant FROM {_METRICS}",
-    "jon1_metric_join": "SELECT c.metric, round(c.v - b.v, 6) AS difference, round(CASE WHEN b.v = 0 THEN 0 ELSE 100.0 * (c.v - b.v) / b.v END, 6) AS percent, c.v > b.v AS improved FROM (VALUES ('accuracy', 0.80), ('pass_at_1', 0.42), ('latency_ms', 150.0), ('perplexity', 9.0), ('only_current', 1.0)) AS c(metric, v) JOIN (VALUES ('accuracy', 0.90), ('pass_at_1', 0.40), ('latency_ms', 120.0), ('perplexity', 0.0), ('only_baseline', 1.0)) AS b(metric, v) ON c.metric = b.metric",
-    "jon2_all_baselines": f"SELECT m.metric, b.name, round(m.current - m.baseline * b.factor, 6) AS difference_to FROM {_METRICS} CROSS JOIN (VALUES ('first', 1.0), ('second', 0.9)) AS b(name, factor)",
     "jon7_config_lookup": "SELECT d.doc_id, c.least, length(d.text) BETWEEN c.least AND c.most AS fits FROM {documents} d JOIN (VALUES ('en', 50, 5000), ('fr', 100, 2000), ('de', 30, 9000)) AS c(lang, least, most) ON d.lang = c.lang",
-    "jon3_distribution_outer": "WITH a AS (SELECT lang, count(*) AS n FROM {documents} WHERE doc_id % 2 = 0 GROUP BY lang), b AS (SELECT source AS lang, count(*) AS n FROM {documents} WHERE doc_id % 2 = 1 AND source LIKE 'src1%' GROUP BY source UNION ALL SELECT lang, count(*) FROM {documents} WHERE doc_id % 2 = 1 AND lang <> 'en' GROUP BY lang) "
-    "SELECT coalesce(a.lang, b.lang) AS lang, coalesce(a.n, 0) AS even_n, coalesce(b.n, 0) AS odd_n FROM a FULL OUTER JOIN b ON a.lang = b.lang",
     "jon4_missing_languages": "SELECT t.lang FROM (VALUES ('en'), ('it'), ('pt'), ('fr')) AS t(lang) LEFT ANTI JOIN {documents} d ON t.lang = d.lang",
-    "jon6_positional_zip": "SELECT a.doc_id, length(a.text) - length(b.text) AS difference FROM {documents} a JOIN {documents} b ON a.doc_id = b.doc_id + 1",
-    "jon8_platform_matrix": f"WITH r AS (SELECT * FROM (VALUES ('mobile', 'memory'), ('mobile', 'performance'), ('server', 'safety'), ('server', 'generation'), ('edge', 'latency')) AS v(platform, test)) SELECT platform, count(*) AS needed, count(CASE WHEN g.status = 'passed' THEN 1 END) AS passed, count(CASE WHEN g.status = 'passed' THEN 1 END) = count(*) AS ready FROM r LEFT JOIN {_GATES} ON r.test = g.test GROUP BY platform",
     "jon9_target_gap": "WITH a AS (SELECT event_type, avg(value) AS v FROM {events} GROUP BY event_type) SELECT t.metric, round(a.v, 6) AS actual, t.target, round(a.v - t.target, 6) AS gap, coalesce(a.v >= t.target, false) AS achieved FROM (VALUES ('click', 50.0), ('view', 10.0), ('nothing', 1.0)) AS t(metric, target) LEFT JOIN a ON t.metric = a.event_type",
-    "jon10_label_join": "SELECT l.quality, l.toxic, count(*) AS n, round(avg(length(d.text)), 6) AS mean FROM {labels} l JOIN {documents} d ON l.doc_id = d.doc_id GROUP BY l.quality, l.toxic",
     # windows
     "win1_first_in_group": "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS k FROM {documents}) x WHERE k = 1",
-    "win2_running_rate": "SELECT doc_id, round(dups * 1.0 / seen, 6) AS rate FROM (SELECT doc_id, count(CASE WHEN k > 1 THEN 1 END) OVER (ORDER BY doc_id) AS dups, count(*) OVER (ORDER BY doc_id) AS seen FROM (SELECT doc_id, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS k FROM {documents}) a) b WHERE doc_id % 100 = 0",
     "win3_last_n": "SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM {events}) x WHERE k <= 3",
     "win4_patience": f"WITH {_STEPS}, b AS (SELECT event_type, step, v, min(v) OVER (PARTITION BY event_type ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM s), i AS (SELECT event_type, step, count(CASE WHEN best IS NULL OR v < best THEN 1 END) OVER (PARTITION BY event_type ORDER BY step) AS island FROM b) "
     "SELECT event_type, step, row_number() OVER (PARTITION BY event_type, island ORDER BY step) - 1 AS bad_steps FROM i",
@@ -127,41 +80,22 @@ SQL: dict[str, str] = {
     "win8_scaling": f"WITH {_STEPS} SELECT event_type, step, round(v / nullif(first_value(v) OVER (PARTITION BY event_type ORDER BY step), 0), 6) AS scaling, round(v - lag(v) OVER (PARTITION BY event_type ORDER BY step), 6) AS marginal, coalesce(v < 0.8 * lag(v) OVER (PARTITION BY event_type ORDER BY step), false) AS diminishing FROM s",
     "win9_best": f"WITH {_STEPS} SELECT event_type, min_by(step, v) AS least_step, max_by(step, v) AS most_step, round(min(v), 6) AS least, round(max(v), 6) AS most FROM s GROUP BY event_type",
     # sorts, samples, splits
-    "srt1_by_time": "SELECT event_id, user_id FROM {events} WHERE event_type = 'click' ORDER BY ts, event_id LIMIT 50",
-    "srt1_by_time_all": "SELECT event_id, user_id, event_type, ts FROM {events} ORDER BY ts, event_id",
-    "srt2_top_runs": f"SELECT run, best_metric FROM {_RUNS} WHERE success ORDER BY best_metric DESC, run LIMIT 5",
+    "srt1_by_time": "SELECT event_id, user_id, event_type, ts FROM {events} ORDER BY ts, event_id",
     "srt3_keep_newest": "SELECT o_custkey, o_orderkey, k <= 3 AS kept FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS k FROM {orders}) x",
-    "srt4_semver_order": f"WITH {_PARSED} SELECT version, row_number() OVER (ORDER BY major, minor, patch, CASE WHEN prerelease IS NULL THEN 1 ELSE 0 END, prerelease) AS position FROM s",
     "srt5_head": "SELECT o_orderkey FROM {orders} ORDER BY o_orderkey LIMIT 1000",
     "srt6_hash_sample": "SELECT doc_id FROM {documents} ORDER BY md5(concat(CAST(doc_id AS STRING), ':42')), doc_id LIMIT 100",
     "srt7_hash_split": "SELECT doc_id, CASE WHEN substr(h, 1, 2) < 'e6' THEN 'train' WHEN substr(h, 1, 2) < 'f3' THEN 'validation' ELSE 'test' END AS split FROM (SELECT doc_id, md5(concat(CAST(doc_id AS STRING), ':split')) AS h FROM {documents}) x",
     "srt9_optimal": "SELECT max_by(user_id, m) AS user_id, round(max(m), 6) AS best FROM (SELECT user_id, avg(value) AS m FROM {events} GROUP BY user_id) x",
     # sets
     "set1_union": "SELECT doc_id AS id, lang, text AS content FROM {documents} WHERE lang = 'en' UNION ALL SELECT doc_id, lang, text FROM {documents} WHERE lang = 'fr' UNION ALL SELECT page_id, NULL, html FROM {pages}",
-    "set4_except": "SELECT source FROM {documents} WHERE lang = 'en' EXCEPT SELECT source FROM {documents} WHERE lang = 'es' AND doc_id < 50",
-    "set4_except_all": "SELECT source FROM {documents} WHERE lang = 'en' EXCEPT SELECT source FROM {documents} WHERE lang = 'es'",
+    "set4_except": "SELECT source FROM {documents} WHERE lang = 'en' EXCEPT SELECT source FROM {documents} WHERE lang = 'es'",
+    "set6_intersect": "SELECT sha256(text) AS text FROM {documents} WHERE lang = 'en' INTERSECT SELECT sha256(text) FROM {documents} WHERE lang <> 'en'",
     "set5_distinct": "SELECT DISTINCT lang, source FROM {documents}",
-    "set6_intersect": "SELECT text FROM {documents} WHERE doc_id % 2 = 0 INTERSECT SELECT text FROM {documents} WHERE doc_id % 2 = 1",
     # scalars and reports
     "sco39_perplexity": f"WITH {_STEPS} SELECT event_type, step, round(exp(least(v / 100, 20)), 6) AS perplexity FROM s",
     "sco40_checksum": "SELECT doc_id, sha256(text) AS checksum FROM {documents}",
-    "sco41_memory": "SELECT precision, params * bytes AS weights, params * bytes * 4 AS overhead, params * bytes * 5 AS total FROM (VALUES ('float32', 4.0), ('float16', 2.0), ('bfloat16', 2.0), ('int8', 1.0), ('int4', 0.5)) AS p(precision, bytes) CROSS JOIN (VALUES (3090000000.0)) AS m(params)",
-    "rpt1_validation_suite": f"WITH {_QUALITY}, d AS (SELECT count(*) AS n, count(DISTINCT text) AS u FROM {{documents}}), t AS ("
-    "SELECT 'duplication' AS test, 1.0 - (n - u) * 1.0 / n AS score, (n - u) * 1.0 / n <= 0.05 AS passed FROM d UNION ALL "
-    "SELECT 'syntax', avg(CASE WHEN length(replace(text, '(', '')) = length(replace(text, ')', '')) THEN 1.0 ELSE 0.0 END), avg(CASE WHEN length(replace(text, '(', '')) = length(replace(text, ')', '')) THEN 1.0 ELSE 0.0 END) >= 0.90 FROM {documents} UNION ALL "
-    "SELECT 'quality', avg(quality), avg(quality) >= 0.75 FROM q UNION ALL "
-    "SELECT 'consistency', 1 - stddev_pop(quality) / avg(quality), 1 - stddev_pop(quality) / avg(quality) >= 0.8 FROM q) "
-    "SELECT test, round(score, 6) AS score, passed FROM t",
-    "rpt2_recommendations": f"SELECT test, CASE WHEN score < 0.5 THEN 'rebuild' WHEN status = 'failed' THEN 'improve' ELSE 'none' END AS recommendation FROM {_GATES}",
-    "rpt5_improvements": f"SELECT count(CASE WHEN current > baseline THEN 1 END) AS improved, count(CASE WHEN current < baseline THEN 1 END) AS worse FROM {_METRICS}",
-    "rpt4_regressions": f"WITH d AS (SELECT metric, current, baseline, CASE WHEN baseline = 0 THEN 0 ELSE 100.0 * (current - baseline) / baseline END AS pct, metric IN ('accuracy', 'pass_at_1', 'tokens_per_second', 'syntax_validity', 'codebleu_score') AS higher FROM {_METRICS}) "
-    "SELECT metric, round(abs(pct), 6) AS degradation, CASE WHEN abs(pct) > CASE WHEN higher THEN 10 ELSE 20 END THEN 'high' ELSE 'medium' END AS severity FROM d WHERE (higher AND pct < -5) OR (NOT higher AND pct > 10)",
     "rpt6_summary_scores": "SELECT event_type, round(greatest(0, 100 - avg(value) / 10) / 100, 6) AS performance_score FROM {events} GROUP BY event_type",
-    "rpt8_gate_run": f"SELECT position, test, status FROM (SELECT position, test, status, coalesce(count(CASE WHEN required AND status = 'failed' THEN 1 END) OVER (ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped FROM {_GATES}) x WHERE stopped = 0",
-    "rpt9_readiness": f"SELECT count(CASE WHEN required AND status <> 'passed' THEN 1 END) AS issues, CASE count(CASE WHEN required AND status <> 'passed' THEN 1 END) WHEN 0 THEN 100 WHEN 1 THEN 75 ELSE 50 END AS readiness FROM {_GATES}",
-    "rpt10_grades": "SELECT event_type, CASE WHEN avg(value) > 50 THEN 'excellent' WHEN avg(value) >= 30 THEN 'good' WHEN avg(value) >= 20 THEN 'acceptable' ELSE 'poor' END AS grade FROM {events} GROUP BY event_type",
     "rpt11_source_report": "WITH c AS (SELECT lang, CAST(count(*) AS DOUBLE) AS n FROM {documents} GROUP BY lang), s AS (SELECT lang, n / sum(n) OVER () AS share FROM c) SELECT t.lang, round(coalesce(s.share, 0), 6) AS share, CASE WHEN s.share IS NULL THEN 'missing' WHEN s.share < 0.01 THEN 'low' ELSE 'ok' END AS verdict FROM (VALUES ('en'), ('fr'), ('de'), ('es'), ('it')) AS t(lang) LEFT JOIN s ON t.lang = s.lang",
-    "rpt12_instruction_report": "SELECT count(*) > 0 AS has_rows, avg(CASE WHEN length(text) > 40 THEN 1.0 ELSE 0.0 END) >= 0.70 AS unit_pass, avg(least(length(text) / 200.0, 1.0)) >= 0.75 AS quality_pass FROM {conversations} WHERE role = 'assistant'",
     "rpt15_scaling_efficiency": f"WITH {_STEPS} SELECT event_type, round(max(CASE WHEN step = 1 THEN v END) / nullif(max_by(v, step), 0), 6) AS ratio FROM s GROUP BY event_type",
 }
 

@@ -1,8 +1,11 @@
-"""Session helpers shared by tests, the bench and the entry module."""
+"""Session helpers shared by the library, tests, the bench and the entry module."""
 
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +30,31 @@ def local_session(cpus: int | None = None, app: str = "textloom") -> SparkSessio
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables; works for a file or a directory, on any Hadoop path."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where the setting is absent, a local session (tests) gets a temporary folder once; on a
+    cluster that is an error, because executors would not see the driver's folder.
+    """
+    if at := spark.conf.get("spark.checkpoint.dir", None):
+        return at.rstrip("/")
+    if (at := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined():
+        return at.get().rstrip("/")
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_dir(spark)}/textloom/{what}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, what: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
+    path = scratch(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

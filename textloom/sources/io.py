@@ -105,3 +105,36 @@ def markdown_report(title: str, df: DataFrame) -> str:
     """SNK5: a small result as a Markdown table."""
     head = [f"# {title}", "", f"| {' | '.join(df.columns)} |", f"|{'---|' * len(df.columns)}"]
     return "\n".join(head + [f"| {' | '.join('' if v is None else str(v) for v in r)} |" for r in df.collect()]) + "\n"
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text as one file on any store."""
+    fs, at = _file_system(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def write_stats(stats: DataFrame, path: str) -> None:
+    """SNK2: a row of figures as one JSON object; nothing for a table without rows."""
+    row = stats.first()
+    write_text(stats.sparkSession, path, json.dumps(row.asDict(recursive=True) if row else {}, indent=2, default=str))
+
+
+def write_duplicates(pairs: DataFrame, path: str) -> None:
+    """SNK3: representatives and their duplicates as JSON lines, a line for each duplicate, so that no
+    group is gathered. pairs: rep_id, dup_id."""
+    pairs.select("rep_id", "dup_id").write.mode("overwrite").json(path)
+
+
+def phase_report(phases: dict[str, DataFrame], metrics: dict[str, float], config: CorpusConfig, seconds: float, at: str) -> dict:
+    """RPT14: what the phases of a preparation have left, its metrics and its settings."""
+    counts = {name: df.count() for name, df in phases.items()}
+    return {
+        "pipeline_summary": {"total_execution_time": f"{seconds:.2f} seconds", "phases_completed": len(counts), "success": bool(counts), "timestamp": at},
+        "processing_statistics": {"rows": counts, "total_processed": sum(counts.values())},
+        "quality_metrics": dict(metrics),
+        "configuration": {f.name: getattr(config, f.name) for f in fields(config)},
+    }
