@@ -158,26 +158,36 @@ def test_tree_finds_every_link():
 
 def test_log_bloom_levels():
     r = np.random.default_rng(1)
-    keys, counts = r.integers(0, 2**63, 5000).astype(np.uint64), r.integers(2, 2000, 5000)
-    bloom = lm_scoring.LogBloom(1, np.array([0.0] + [float(2**k) for k in range(1, 40)]))
-    bloom.gather({0: lm_scoring.LogBloom.segment(keys, lm_scoring.levels_of(counts, 2))})
-    got = bloom.counts(keys)
-    assert (got >= 2 ** np.floor(np.log2(counts))).all() and (got == 2 ** np.floor(np.log2(counts))).mean() > 0.9
-    assert (bloom.counts(r.integers(0, 2**63, 5000).astype(np.uint64)) == 0).mean() > 0.9
+    keys, counts = r.integers(0, 2**40, 5000).astype(np.uint64), r.integers(1, 2000, 5000)
+    bloom = lm_scoring.LogBloom(1, {0: lm_scoring.LogBloom.segment(keys, lm_scoring.levels_of(counts), 16)})
+    of = np.zeros(5000, np.int64)
+    got, want = bloom.levels(of, keys), np.floor(np.log2(counts)) + 1
+    assert (got >= want).all() and (got == want).mean() > 0.99
+    assert (bloom.levels(of, r.integers(0, 2**40, 5000).astype(np.uint64)) == 0).mean() > 0.99
 
 
-def test_block_max_index_is_exact():
+def test_short_keys():
+    keys = np.array([0, 1, 2**40 - 1, 12345678901], np.uint64)
+    raw = lm_scoring._short(keys)
+    assert len(raw) == 20 and (lm_scoring._long(pa.py_buffer(raw)) == keys).all()
+
+
+@pytest.mark.parametrize("contrast", [0.0, 0.5, 1.0])
+def test_block_max_index_is_exact(contrast):
     r = random.Random(7)
     vocabulary = [f"w{k}" for k in range(40)]
     examples = [(k, " ".join(r.choices(vocabulary, k=12)) + (" vile" if k % 7 == 0 and r.random() < 0.8 else ""), int(k % 7 == 0)) for k in range(500)]
-    index = toxicity.BlockMaxIndex(examples, k=5, prior=1.0, min_ratio=0.0)
-    assert b"vile" in index.idf
-    for text in (examples[3][1], "vile", "w1 w2 vile vile", "w5 w9 w11"):
+    index = toxicity.BlockMaxIndex(examples, k=5, prior=1.0, contrast=contrast)
+    vectors = [dict(zip(*(x.tolist() for x in index.vector(Counter(toxicity.words(x)))), strict=True)) for _, x, _ in examples]
+    for text in (examples[3][1], "vile", "w1 w2 vile vile", "w5 w9 w11", " ".join(vocabulary), "w1 unknown"):
         q = index.vector(Counter(toxicity.words(text)))
-        every = sorted(((-round(sum(w * q.get(t, 0) for t, w in index.vector(Counter(toxicity.words(x))).items()), 12), d) for d, (_, x, _) in enumerate(examples)))
+        mine = dict(zip(*(x.tolist() for x in q), strict=True))
+        every = sorted((-round(sum(w * mine.get(t, 0) for t, w in v.items()), 12), d) for d, v in enumerate(vectors))
         want = [(-c, d) for c, d in every if c < 0][:5]
-        assert [(pytest.approx(c, abs=1e-9), d) for c, d in want] == index.nearest(q)
-    assert index.score("vile")[0] > 0.7 > index.score("nothing")[0] == index.score(None)[0]
+        assert [(pytest.approx(c, abs=1e-9), d) for c, d in want] == index.nearest(*q)
+    if contrast:
+        assert index.score("vile")[0] > 0.6 > index.score("w1 w2")[0]
+    assert index.score("nothing") == index.score(None) == (pytest.approx(index.base), [])
 
 
 def test_logistic_without_both_labels():

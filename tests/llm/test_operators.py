@@ -111,6 +111,25 @@ def test_jaccard_components(spark, monkeypatch, width, percent, cluster):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got.collect()} == _brute(rows, width, percent)
 
 
+@pytest.mark.parametrize(("split", "cluster"), [((2, 3, 4), 8 << 20), ((1024, 64, 65_536), 150), ((3, 100, 3), 300)])
+def test_jaccard_of_large_groups(spark, monkeypatch, split, cluster):
+    """Blocks cut into chunks, clusters verified in chunks: no link is lost, sizes differ."""
+    monkeypatch.setattr(ngram_jaccard, "SPLIT", split)
+    monkeypatch.setattr(ngram_jaccard, "CLUSTER_GRAMS", cluster)
+    r = random.Random(9)
+    words = [f"w{k}" for k in range(4000)]
+    base, rows = r.choices(words, k=60), []
+    for i in range(90):  # a chain of texts that grow apart, and copies with changes
+        base = [*base[1:], r.choice(words)] if i % 3 else base + r.choices(words, k=2)
+        if i % 31 == 30:  # and a new start
+            base = r.choices(words, k=50)
+        rows.append((i, " ".join(base if i % 4 else [*base[:20], r.choice(words), *base[21:]])))
+    got = ngram_jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), width=3, percent=85)
+    want = _brute(rows, 3, 85)
+    assert len({c for _, c in want.values()}) > 1
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got.collect()} == want
+
+
 def test_near_duplicates_on_odd_rows(odd, nothing):
     kept = ngram_jaccard.without_near_duplicates(odd)
     assert kept.columns == odd.columns
@@ -118,6 +137,34 @@ def test_near_duplicates_on_odd_rows(odd, nothing):
     assert ngram_jaccard.without_near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_are_told_apart_by_id_and_text(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    near = lambda t: t + " more"
+    rows = [
+        (3, a, 1), (3, b, 2),  # one id, unlike texts: both stay
+        (5, near(a), 3), (3, near(b), 4),  # near copies, one of them under the id of a kept row: both go
+        (None, c, 5), (None, near(c), 6), (None, d, 7), (None, d, 8), (9, near(d), 9),  # nulls: one of the c group, 9 of the d group
+        (None, "", 10), (None, "", 11), (None, None, 12),  # no words: all stay
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id long").withColumnsRenamed({"component_id": "at"}).withColumn("h", F.lit(1)).withColumn("row", F.lit("x"))
+    got = ngram_jaccard.without_near_duplicates(docs).collect()
+    kept = sorted(r["at"] for r in got)
+    assert kept[:2] == [1, 2] or (3, near(b)) in {(r.doc_id, r.text) for r in got}
+    by_text = Counter((r.doc_id, r.text) for r in got)
+    assert by_text[3, a] == 1 and by_text[3, b] + by_text[3, near(b)] == 1 and by_text[5, near(a)] == 0
+    assert by_text[None, c] + by_text[None, near(c)] == 1 and by_text[9, near(d)] == 1 and by_text[None, d] == 0
+    assert by_text[None, ""] == 2 and by_text[None, None] == 1 and len(got) == 7 and got[0].__fields__ == docs.columns
+    again = spark.createDataFrame([(1, a, 0), (1, a, 0), (1, a, 2), (2, a, 0)], "doc_id long, text string, n long")
+    assert [tuple(r) for r in ngram_jaccard.without_near_duplicates(again).collect()] == [(1, a, 0)]
+
+
+def test_components_do_not_mix_texts_of_one_id(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    docs = spark.createDataFrame([(7, a), (7, b), (8, a), (4, b + " more"), (None, "q r s t u")], "doc_id long, text string").withColumn("component_id", F.lit("own")).withColumn("set", F.lit(0))
+    got = sorted((r.doc_id or 0, r.component_id or 0) for r in ngram_jaccard.jaccard_components(docs).collect())
+    assert got == [(0, 0), (4, 4), (7, 4), (7, 7), (8, 7)]
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(20)] + [(100, k) for k in range(90, 100)] + [(7, 7)]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
@@ -172,28 +219,59 @@ def lm_pairs(spark):
     texts = [" ".join(f"w{min(int(rng.expovariate(0.05)), 90)}" for _ in range(rng.randint(5, 60))) for _ in range(60)]
     split = [["", *t.split(), ""] for t in texts]
     words, pairs = Counter(w for t in split for w in t[1:]), Counter(p for t in split for p in zip(t, t[1:]))
-    level = lambda c: c.bit_length()
-    mean = {k: sum(c for c in pairs.values() if level(c) == k) / sum(level(c) == k for c in pairs.values()) for k in map(level, pairs.values())}
+    quantised = {p: 1 << c.bit_length() - 1 for p, c in pairs.items()}
+    left = Counter()
+    for (v, _), q in quantised.items():
+        left[v] += q
     total = sum(words.values()) + 0.1 * (len(words) + 1)
-    exact = [sum(math.log10(0.4 * mean[level(pairs[v, w])] / words[v] + 0.6 * (words[w] + 0.1) / total) for v, w in zip(t, t[1:])) for t in split]
+
+    def after(v, w, share=0.9, strength=2.0):
+        per, alone = share / (words[v] + strength), (words[w] + 0.1) / total
+        return per * quantised.get((v, w), 0) + (1 - per * left[v]) * alone if words[v] else alone
+
+    for v in words:
+        assert sum(after(v, w) for w in [*words, "unseen"]) == pytest.approx(1)
+    exact = [sum(math.log10(after(v, w)) for v, w in zip(t, t[1:])) for t in split]
     return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), exact
 
 
+def test_lm_probabilities_sum_to_one(spark, lm_pairs):
+    import numpy as np
+
+    docs, _ = lm_pairs
+    trained = lm_scoring.Trained(docs.select("text"), 1 << 20, 64 << 20, event_bits=64)
+    keys, c, s = trained.head
+    model = lm_scoring.Smoothing(trained.n, trained.v, 0.9, 2.0)
+    assert len(keys) == trained.v and model.alone(c).sum() + model.alone(np.zeros(1)) == pytest.approx(1)
+    for k in range(len(keys)):
+        first = np.full(len(keys), k)
+        level = trained.bloom.levels(*lm_scoring.pair_place(keys[first], keys, trained.buckets))
+        rest = model.after(c[[k]], s[[k]], np.zeros(1), np.zeros(1))
+        assert model.after(c[first], s[first], c, level).sum() + rest[0] == pytest.approx(1, abs=1e-9)
+
+
 @pytest.mark.parametrize("size", [64 << 20, 2000, 0])
 def test_lm_scores_do_not_depend_on_the_filters_size(lm_pairs, size):
     docs, exact = lm_pairs
-    got = {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False), filter_bytes=size).collect()}
-    # a false positive now and then raises a level, and nothing lowers one
-    assert len(got) == 60 and sum(got[k] == pytest.approx(x, abs=1e-6) for k, x in enumerate(exact)) >= 30
-    assert all(got[k] > x - 1e-6 for k, x in enumerate(exact))
-    assert got == {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False)).collect()}
+    got = {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False), filter_bytes=size, event_bits=64).collect()}
+    assert got == {k: pytest.approx(x, abs=1e-6) for k, x in enumerate(exact)}
+    assert got == {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False), event_bits=64).collect()}
 
 
 @pytest.mark.parametrize("head", [0, 1, 20, 1 << 20])
 def test_lm_scores_do_not_depend_on_the_head(lm_pairs, head):
     docs, exact = lm_pairs
-    got = {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False), head_words=head).collect()}
-    assert len(got) == 60 and got == {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False)).collect()}
+    got = {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False), head_words=head, event_bits=64).collect()}
+    assert got == {k: pytest.approx(x, abs=1e-6) for k, x in enumerate(exact)}
+
+
+def test_lm_on_few_and_many_buckets(spark, lm_pairs, monkeypatch):
+    docs, exact = lm_pairs
+    for buckets, pending in ((1, 1 << 20), (3, 10), (50, 10)):
+        monkeypatch.setattr(lm_scoring, "buckets_for", lambda df, each, n=buckets: n)
+        monkeypatch.setattr(lm_scoring, "PENDING", pending)
+        got = {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False), event_bits=64).collect()}
+        assert got == {k: pytest.approx(x, abs=1e-6) for k, x in enumerate(exact)}
 
 
 def test_lm_on_odd_rows(odd, nothing):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,33 +10,31 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch, shared_dir, written  # noqa: F401
+
 #: The white space of the word and line rules: space, tab, LF, VT, FF, CR.
 WS = " \t\n\x0b\x0c\r"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where the setting is absent (tests in local mode), a temporary folder is set once.
-    """
-    if at := spark.conf.get("spark.checkpoint.dir", None):
-        return at.rstrip("/")
-    if (at := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined():
-        return at.get().rstrip("/")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files and rows that a plan starts from, by Spark's statistics; 0 where unknown."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())]
+    return sum(s for s in sizes if s < 1 << 60)
 
 
-def scratch(spark: SparkSession, what: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/textloom/{what}-{uuid.uuid4().hex}"
+def buckets_for(df: DataFrame, each: int) -> int:
+    """As many buckets as Spark has shuffle partitions, and more where they would take more than
+    ``each`` bytes of the input."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // each))
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
-    path = scratch(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def written_by(df: DataFrame, what: str, key: str, buckets: int) -> DataFrame:
+    """As ``written``, in files by bucket of ``key``: where rows meet by that key later, these need
+    no shuffle."""
+    path, name = scratch(df.sparkSession, what), f"textloom_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def whole_text(column: str = "text"):
