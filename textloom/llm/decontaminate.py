@@ -1,19 +1,21 @@
 """Benchmark passages in documents, whole or with edits, by pigeonhole pieces.
 
 Texts are lower-cased and their white space is one space. An item of m characters may have
-k = floor(``error_rate`` x m) edits. It is split into k + 2 pieces: k edits leave at least two of
-them as they are, at places that agree up to k. Exact hits of pieces are found for many texts at
-once: the first bytes at every place are looked up in a table of the pieces' first bytes, and
-whole pieces are compared where these are known. Where two pieces of an item agree, and the
-stretch holds all but ``GRAM`` k of the item's ``GRAM``-character substrings (an edit changes no
-more), it is verified by Myers' bit-parallel edit distance (the item anywhere in the stretch).
-Items go to the workers in blocks of at most ``BLOCK_CHARS`` characters; a larger benchmark takes
-one pass over the documents a block.
-
-Cases: null or empty texts match nothing. Items of under ``min_chars`` characters, null ones
-included, are not searched: they occur in clean texts. Items that repeat give a row each. Rows
-of documents that repeat give rows each. Empty tables give empty results. Further columns are
-ignored by ``matches`` and pass through ``clean``.
+k = floor(``error_rate`` x m) edits. It is split into k + 1 pieces, of which k edits leave at least
+one as it is. Exact hits of pieces are found for many texts at once: the first bytes at every place
+are looked up in a table of the pieces' first bytes, and whole pieces are compared where these are
+known. Of k edits over k + 1 pieces on a ring, some piece without an edit is followed by one with at
+most one; so of a hit whose next piece is known, one half of that piece must stand next to it.
+Where the stretch around the hits left holds all but ``GRAM`` k of the item's ``GRAM``-character
+substrings (an edit changes no more), it is verified by Myers' bit-parallel edit distance (the item
+anywhere in the stretch). None of these filters loses a match. Items go to the workers in blocks of
+at most ``BLOCK_CHARS`` characters; a larger benchmark takes one pass over the documents a block.
+
+Cases: null or empty texts match nothing, nor do null or empty items. ``matches`` searches items
+of every length (``min_chars`` is 0), those of under 1 / ``error_rate`` characters without edits;
+for ``clean`` items of under ``min_chars`` characters, which occur in clean texts, condemn no
+document. Items that repeat give a row each. Rows of documents that repeat give rows each. Empty
+tables give empty results. Further columns are ignored by ``matches`` and pass through ``clean``.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 16 << 20
 #: Bytes of texts searched at a time, and the bits of the table of first bytes.
 CHUNK, TABLE_BITS = 16 << 20, 22
 GRAM = 4
@@ -80,42 +82,74 @@ class Searcher:
     """The pieces of one block of items: (item id, text) pairs."""
 
     def __init__(self, items: list[tuple[int, str]], error_rate: float, min_chars: int) -> None:
-        self.items = [(i, p, math.floor(error_rate * len(p))) for i, t in items if t is not None and len(p := plain(t)) >= min_chars]
-        pieces: dict[bytes, list[tuple[int, int, int]]] = defaultdict(list)  # item, number of the piece, place in the item
+        self.items = [(i, p, math.floor(error_rate * len(p))) for i, t in items if t is not None and len(p := plain(t)) >= max(1, min_chars)]
+        self.raw: list[bytes] = []
+        of, number, starts = [], [], []
         for n, (_, text, k) in enumerate(self.items):
-            cuts = [len(text) * j // (k + 2) for j in range(k + 3)]
-            for j in range(k + 2):
-                pieces[text[cuts[j] : cuts[j + 1]].encode()].append((n, j, cuts[j]))
-        self.width = min([8, *map(len, pieces)])
-        self.by_key: dict[int, list[tuple[bytes, list[tuple[int, int, int]]]]] = defaultdict(list)
-        for piece, of in pieces.items():
-            self.by_key[int.from_bytes(piece[: self.width], "little")].append((piece, of))
-        self.keys = np.array(sorted(self.by_key), U)
-        self.table = np.zeros(1 << TABLE_BITS, bool)
-        self.table[self._slots(self.keys)] = True
+            raw, cuts = text.encode(), [len(text) * j // (k + 1) for j in range(k + 2)]
+            if len(raw) != len(text):  # places in bytes
+                ends = np.cumsum([0, *(len(c.encode()) for c in text)])
+                cuts = ends[cuts].tolist()
+            self.raw.append(raw)
+            of += [n] * (k + 1)
+            number += range(k + 1)
+            starts.append(cuts)
+        first = np.cumsum([0, *(len(c) for c in starts)])[:-1]  # of an item's cuts
+        cuts = np.array([c for cs in starts for c in cs], np.int64)
+        of, number = np.array(of, np.int64), np.array(number, np.int64)
+        at = first[of] + number if len(of) else np.zeros(0, np.int64)
+        start, end = cuts[at], cuts[at + 1] if len(at) else at
+        self.cuts, self.first = cuts, first
+        #: By width of the first bytes looked up: keys in order, and of each piece its item and number.
+        self.tables: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        sizes = np.minimum(end - start, 8)
+        for width in sorted(set(sizes.tolist())):
+            mine = np.flatnonzero(sizes == width)
+            keys = np.array([int.from_bytes(self.raw[n][s : s + width], "little") for n, s in zip(of[mine].tolist(), start[mine].tolist(), strict=True)], U)
+            order = np.argsort(keys, kind="stable")
+            table = np.zeros(1 << TABLE_BITS, bool)
+            table[self._slots(keys)] = True
+            self.tables.append((width, keys[order], of[mine][order], number[mine][order], table))
 
     @staticmethod
     def _slots(keys: np.ndarray) -> np.ndarray:
         return ((keys * U(0x9E3779B97F4A7C15)) >> U(64 - TABLE_BITS)).astype(np.int64)
 
-    def _hits(self, texts: list[bytes]) -> dict[int, dict[int, list[tuple[int, int, int]]]]:
-        """By text and item: (place in the text in bytes, piece, its place in the item)."""
+    def _hits(self, texts: list[bytes]) -> dict[int, dict[int, list[tuple[int, int]]]]:
+        """By text and item: (place in the text in bytes, place of the piece in the item in bytes)."""
         body = b"\n".join(texts) + b"\n" * 8  # no text has a line feed, so no hit crosses two
-        keys = np.ndarray((len(body) - 7,), "<u8", body, strides=(1,)) & U((1 << 8 * self.width) - 1)
-        at = np.flatnonzero(self.table[self._slots(keys)])
-        found = keys[at]
-        known = self.keys[np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)] == found
-        at, found = at[known], found[known]
         starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        rows = np.searchsorted(starts, at, "right") - 1
-        out: dict[int, dict[int, list[tuple[int, int, int]]]] = defaultdict(lambda: defaultdict(list))
-        for place, key, row, start in zip(at.tolist(), found.tolist(), rows.tolist(), starts[rows].tolist(), strict=True):
-            for piece, of in self.by_key[key]:
-                if body.startswith(piece, place):
-                    for n, j, where in of:
-                        out[row][n].append((place - start, j, where))
+        out: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        eights = np.ndarray((len(body) - 7,), "<u8", body, strides=(1,))
+        for width, known, of, number, table in self.tables:
+            keys = eights & U((1 << 8 * width) - 1) if width < 8 else eights
+            at = np.flatnonzero(table[self._slots(keys)])
+            found = keys[at]
+            low, high = np.searchsorted(known, found), np.searchsorted(known, found, "right")
+            some = high > low
+            at, low, high = at[some], low[some], high[some]
+            rows = np.searchsorted(starts, at, "right") - 1
+            for place, row, i, j in zip(at.tolist(), rows.tolist(), low.tolist(), high.tolist(), strict=True):
+                for n, k in zip(of[i:j].tolist(), number[i:j].tolist(), strict=True):
+                    if (where := self._stands(body, place, n, k)) >= 0:
+                        out[row][n].append((place - int(starts[row]), where))
         return out
 
+    def _stands(self, body: bytes, place: int, n: int, k: int) -> int:
+        """The piece's place in its item if it is at ``place`` and half of the next piece next to it, else -1."""
+        raw, at = self.raw[n], self.first[n] + k
+        start, end = int(self.cuts[at]), int(self.cuts[at + 1])
+        if not body.startswith(raw[start:end], place):
+            return -1
+        if end < len(raw):  # a piece follows; a character has at most 4 bytes
+            last, after = int(self.cuts[at + 2]), place + end - start
+            half = (end + last) // 2
+            while half < last and raw[half] & 0xC0 == 0x80:  # between characters
+                half += 1
+            if not body.startswith(raw[end:half], after) and body.find(raw[half:last], max(after, after + half - end - 4), after + last - end + 4) < 0:
+                return -1
+        return start
+
     def find(self, texts: pa.Array, first: bool = False) -> Iterator[list[tuple[int, int, int, int]]]:
         """For each text: item id, distance, start and end in the text, of the best match of each
         item. first: one match is enough."""
@@ -139,15 +173,13 @@ class Searcher:
         for row, text in enumerate(texts):
             yield self._matched(text, whole[row], raw[row], hits[row], first) if row in hits else []
 
-    def _matched(self, text: str, whole: str, raw: bytes, hits: dict[int, list[tuple[int, int, int]]], first: bool) -> list[tuple[int, int, int, int]]:
+    def _matched(self, text: str, whole: str, raw: bytes, hits: dict[int, list[tuple[int, int]]], first: bool) -> list[tuple[int, int, int, int]]:
         out, origin = [], None
         for n, mine in hits.items():
             item, pattern, k = self.items[n]
-            if len(mine) < 2:
-                continue
-            if len(raw) != len(whole):  # places in characters
-                mine = [(len(raw[:place].decode()), j, where) for place, j, where in mine]
-            if best := self._best(whole, pattern, k, sorted((place - where, j) for place, j, where in mine)):
+            if len(raw) != len(whole) or len(self.raw[n]) != len(pattern):  # places in characters
+                mine = [(len(raw[:place].decode()), len(self.raw[n][:where].decode())) for place, where in mine]
+            if best := self._best(whole, pattern, k, sorted(place - where for place, where in mine)):
                 if first:
                     return [(item, *best)]
                 origin = origin or places(text)
@@ -155,19 +187,13 @@ class Searcher:
         return out
 
     @staticmethod
-    def _best(whole: str, pattern: str, k: int, hits: list[tuple[int, int]]) -> tuple[int, int, int] | None:
-        """Distance, start, end in ``whole``, from stretches where two pieces agree up to k."""
-        best, done = None, -1
+    def _best(whole: str, pattern: str, k: int, at: list[int]) -> tuple[int, int, int] | None:
+        """Distance, start, end in ``whole``, from stretches around the places where hits put the item."""
+        best = None
         grams = [pattern[x : x + GRAM] for x in range(len(pattern) - GRAM + 1)]
-        for (a, i), (b, j) in zip(hits, hits[1:], strict=False):
-            # sorted by place: where any two different pieces agree, so do two neighbours, unless
-            # one piece repeats between them; then the stretch is verified as well
-            if b - a > k or (i == j and b == a):
-                continue
-            low, high = max(0, a - k), min(len(whole), b + len(pattern) + k)
-            if high <= done:
-                continue
-            done = high
+        cuts = [0, *(i for i in range(1, len(at)) if at[i] - at[i - 1] > k), len(at)]
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            low, high = max(0, at[i] - k), min(len(whole), at[j - 1] + len(pattern) + k)
             stretch = whole[low:high]
             there = {stretch[x : x + GRAM] for x in range(len(stretch) - GRAM + 1)}
             if sum(map(there.__contains__, grams)) < len(grams) - GRAM * k:
@@ -201,7 +227,7 @@ def _searcher(shared, key: str, error_rate: float, min_chars: int) -> Searcher:
     return _kept[key]
 
 
-def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", error_rate: float = 0.1, min_chars: int = 50) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", error_rate: float = 0.1, min_chars: int = 0) -> DataFrame:
     """doc_id, item_id, distance, start, end: the best match of each item in each document."""
     rows = docs.select(F.col(id_col).cast("long"), text_col)
 
@@ -221,7 +247,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", error_rate: float = 0.1, min_chars: int = 50) -> DataFrame:
-    """The rows of ``docs`` that hold no item."""
+    """The rows of ``docs`` that hold no item of at least ``min_chars`` characters."""
     at = docs.columns.index(text_col)
     for block in _blocks(items, item_col, item_text_col):
         shared, key = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
