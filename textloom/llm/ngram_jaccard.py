@@ -9,20 +9,24 @@ the overlap of two sets is at most the summed minima of their coordinates. The s
 2. Block: linked sets share one of their first n - ceil(p n) + 1 n-grams in any common order
    (common n-grams last, then by hash). Those go to buckets as packed arrays; n-grams that one
    set alone has, and sets whose size fits no other of the block, drop out; blocks of the same
-   members are one.
+   members are one. A block of more than ``SPLIT`` sets is cut by size into chunks, and each pair
+   of chunks whose sizes may fit is a block of its own.
 3. Bound: each block's points are an R-tree. From a set, all others that it may overlap enough
    are found and taken out of the tree, and searched from in turn: a spanning forest of the
    possible links, without the pairs within it.
 4. Verify: the components of these forests are small clusters; their sets are read again and
    searched in the same way with the sets themselves compared. A cluster beyond
-   ``CLUSTER_GRAMS`` n-grams is dealt into chunks, and each pair of chunks is a group, so no task
-   holds an unbounded one.
+   ``CLUSTER_GRAMS`` n-grams is dealt into chunks, so no task holds an unbounded one: each chunk
+   is searched by itself, then one set of each component found so far, and last the sets outside
+   the cluster's largest component meet all chunks. A large group of copies thus costs three
+   readings, not all pairs of chunks.
 5. The components of the verified links, with the least document id.
 
 Cases: a text of fewer words than n is one n-gram, its whole sequence; a text without words (null
-or empty too) has an empty set and no link. Repeated rows link like copies. A null id takes part
-but is never a component's id unless all its ids are null. An empty table gives an empty result.
-Further columns are ignored. Sets are told apart by 64-bit hashes and their sizes.
+or empty too) has an empty set and no link. Repeated rows link like copies; texts that share an
+id but not their n-grams are rows of their own. A null id takes part but is never a component's
+id unless all its ids are null. An empty table gives an empty result. Further columns are ignored
+whatever their names. Sets are told apart by 64-bit hashes and their sizes.
 """
 
 from __future__ import annotations
@@ -31,19 +35,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import buckets_for, written
 from .components import connected_components
 from .word_hashes import U, joined, mix, word_hashes
 
 #: Groups are so many that two sets of some ten thousand n-grams still differ clearly in counts.
 GROUPS, LEAF = 512, 64
-#: A cluster of more n-grams than this is verified by pairs of chunks.
+#: Bytes of input for each bucket of n-grams.
+BUCKET_BYTES = 10 << 20
+#: Sets of a block's chunk, at least, and chunks of a block, at most while chunks hold SPLIT[2] sets or fewer.
+SPLIT = (1024, 64, 65_536)
+#: A cluster of more n-grams than this is verified in chunks.
 CLUSTER_GRAMS = 8 << 20
 #: An n-gram is common when one text in so many starts with it, and in COMMON_LEAST at least.
 COMMON_SHARE, COMMON_LEAST = 2048, 64
+#: The most common n-grams that workers get; any choice is a right order.
+COMMON_MOST = 4 << 20
 
 
 def gram_set(w: np.ndarray, width: int) -> np.ndarray:
@@ -134,12 +144,14 @@ def forest(points: np.ndarray, sizes: np.ndarray, percent: int, linked=None) ->
 
 
 def _measured(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, set, point of every row; further rows (gram, times) of n-grams that a batch has often."""
+    """doc_id, h, n, set, point of every row; further rows (gram, times) of n-grams that a batch has often.
+
+    docs: doc_id, h (a hash of the text), text."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, ids, points, firsts = [], [], [], []
-            for w in word_hashes(b.column(1)):
+            for w in word_hashes(b.column(2)):
                 g = gram_set(w, width)
                 n.append(len(g))
                 ids.append(set_id(g) if len(g) else None)
@@ -152,17 +164,33 @@ def _measured(docs: DataFrame, width: int, percent: int) -> DataFrame:
             none = [None] * more
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([*b.column(0).to_pylist(), *none], pa.int64()),
+                    *(pa.array([*b.column(k).to_pylist(), *none], pa.int64()) for k in (0, 1)),
                     pa.array([*n, *none], pa.int64()),
                     pa.array([*ids, *none], pa.int64()),
                     pa.array([*points, *none], pa.binary()),
                     pa.array([None] * len(n) + grams[often].view(np.int64).tolist(), pa.int64()),
                     pa.array([None] * len(n) + times[often].tolist(), pa.int64()),
                 ],
-                names=["doc_id", "n", "set", "point", "gram", "times"],
+                names=["doc_id", "h", "n", "set", "point", "gram", "times"],
             )
 
-    return written(docs.mapInArrow(measure, "doc_id long, n long, set long, point binary, gram long, times long"), "measured")
+    return written(docs.mapInArrow(measure, "doc_id long, h long, n long, set long, point binary, gram long, times long"), "measured")
+
+
+def _block_ids(sets: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """An id of the members of each block."""
+    return mix(np.add.reduceat(mix(sets.view(U) + sizes.astype(U)), first))
+
+
+def _chunk_pairs(sets: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """block, set, n of the pairs of chunks of a large block; members come by size."""
+    each = max(SPLIT[0], min(-(-len(sets) // SPLIT[1]), SPLIT[2]))
+    cuts = [*range(0, len(sets), each), len(sets)]
+    for i, j in zip(cuts[:-2], cuts[1:-1], strict=True):
+        for k, m in zip(cuts[:-1], cuts[1:], strict=True):
+            if k >= j and 100 * sizes[j - 1] >= percent * sizes[k]:  # always so of the next chunk
+                mine = np.concatenate((np.arange(i, j), np.arange(k, m)))
+                yield np.repeat(_block_ids(sets[mine], sizes[mine], np.zeros(1, np.int64)), len(mine)), sets[mine], sizes[mine]
 
 
 def _blocks(docs: DataFrame, common, width: int, percent: int, buckets: int) -> DataFrame:
@@ -210,17 +238,21 @@ def _blocks(docs: DataFrame, common, width: int, percent: int, buckets: int) ->
         keep = np.concatenate((near, [False])) | np.concatenate(([False], near))
         # runs of sizes that follow each other closely are blocks of their own
         run = np.cumsum(np.concatenate(([True], ~near)))
-        grams, sets, sizes, run = grams[keep], sets[keep], sizes[keep], run[keep]
-        if len(run):
-            first = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))
-            members = np.add.reduceat(mix(sets.view(U) + sizes.astype(U)), first)
-            block = np.repeat(mix(members), np.diff(np.concatenate((first, [len(run)])))).view(np.int64)
-            order = np.lexsort((sizes, sets, block))
-            block, sets, sizes = block[order], sets[order], sizes[order]
-            new = np.concatenate(([True], (block[1:] != block[:-1]) | (sets[1:] != sets[:-1]) | (sizes[1:] != sizes[:-1])))
-            block, sets, sizes = block[new], sets[new], sizes[new]
-        else:
-            block = np.zeros(0, np.int64)
+        sets, sizes, run = sets[keep], sizes[keep], run[keep]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(run)), bool), run[1:] != run[:-1])))
+        count = np.diff(np.concatenate((first, [len(run)])))
+        small = count <= SPLIT[0]
+        block = np.repeat(_block_ids(sets, sizes, first), count) if len(run) else np.zeros(0, U)
+        whole = np.repeat(small, count)
+        parts_of = [(block[whole], sets[whole], sizes[whole])]
+        for i, c in zip(first[~small].tolist(), count[~small].tolist(), strict=True):
+            parts_of += _chunk_pairs(sets[i : i + c], sizes[i : i + c], percent)
+        block, sets, sizes = (np.concatenate(x) for x in zip(*parts_of, strict=True))
+        block = block.view(np.int64)
+        order = np.lexsort((sizes, sets, block))
+        block, sets, sizes = block[order], sets[order], sizes[order]
+        new = np.concatenate((np.ones(min(1, len(block)), bool), (block[1:] != block[:-1]) | (sets[1:] != sets[:-1]) | (sizes[1:] != sizes[:-1])))
+        block, sets, sizes = block[new], sets[new], sizes[new]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (block, sets, sizes)], names=["block", "set", "n"])
 
     dealt = docs.select("text").mapInArrow(deal, "bucket int, grams binary, sets binary, sizes binary")
@@ -252,23 +284,13 @@ def _possible(blocks: DataFrame, percent: int, buckets: int) -> DataFrame:
     return blocks.withColumn("bucket", F.pmod("block", F.lit(buckets))).groupBy("bucket").applyInArrow(link, "u long, v long")
 
 
-def _verified(docs: DataFrame, members: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
-    """u, v: forests of the links of every cluster. docs: at, text; members: at, set, n, cluster."""
-    sums = members.groupBy("cluster").agg(F.sum("n").alias("all"))
-    chunks = F.ceil(F.col("all") / CLUSTER_GRAMS)
-    own = F.pmod(F.xxhash64("set"), F.col("chunks")).cast("int")
-    sized = members.join(sums, "cluster").withColumn("chunks", chunks).withColumn("chunk", own)
-    # a large cluster's member goes to each pair of chunks that has its own
-    other = F.when(F.col("chunks") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), (F.col("chunks") - 1).cast("int")))
-    placed = sized.withColumn("other", F.explode(other)).withColumn(
-        "task", F.when(F.col("chunks") == 1, F.pmod("cluster", F.lit(buckets))).otherwise(F.xxhash64("cluster", F.least("chunk", "other"), F.greatest("chunk", "other")))
-    )
+def _linked(docs: DataFrame, placed: DataFrame, width: int, percent: int) -> DataFrame:
+    """u, v: forests of the links within every (task, cluster). docs: at, h, text; placed: at, h, set, task, cluster."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             grams = [gram_set(w, width) for w in word_hashes(b.column(0))]
-            mine = pa.array([set_id(g) == s for g, s in zip(grams, b.column(1).to_pylist(), strict=True)], pa.bool_())  # ids may repeat
-            yield pa.RecordBatch.from_arrays([pa.array([g.tobytes() for g in grams], pa.binary()), b.column(1), b.column(2)], names=["grams", "set", "places"]).filter(mine)
+            yield pa.RecordBatch.from_arrays([pa.array([g.tobytes() for g in grams], pa.binary()), b.column(1), b.column(2)], names=["grams", "set", "places"])
 
     def link(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clusters: dict[int, dict[int, np.ndarray]] = {}
@@ -296,49 +318,101 @@ def _verified(docs: DataFrame, members: DataFrame, width: int, percent: int, buc
                 v.append(ids[b])
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    # one text of each set goes on; its places are few unless its cluster is very large
-    where = placed.groupBy("at", "set").agg(F.collect_list(F.struct("task", "cluster")).alias("places"))
-    # merged at every size: neither side has a bound
-    texts = docs.join(where.hint("merge"), "at").select("text", "set", "places").mapInArrow(sets, "grams binary, set long, places array<struct<task: long, cluster: long>>")
-    rows = texts.withColumn("p", F.explode("places")).select("grams", "set", "p.task", "p.cluster")
-    return rows.groupBy("task").applyInArrow(link, "u long, v long")
+    where = placed.groupBy("at", "h", "set").agg(F.collect_list(F.struct("task", "cluster")).alias("places"))
+    # merged at every size: neither side has a bound. Rows that repeat an id and a text are one here
+    texts = docs.join(where.hint("merge"), ["at", "h"]).dropDuplicates(["at", "h"]).select("text", "set", "places")
+    rows = texts.mapInArrow(sets, "grams binary, set long, places array<struct<task: long, cluster: long>>").withColumn("p", F.explode("places"))
+    return rows.select("grams", "set", "p.task", "p.cluster").groupBy("task").applyInArrow(link, "u long, v long")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row; texts link at a Jaccard of ``percent`` hundredths."""
+def _verified(docs: DataFrame, members: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
+    """u, v: forests of the links of every cluster. docs: at, h, text; members: at, h, set, n, cluster."""
+    place = ["at", "h", "set", "task", "cluster"]
+    sums = written(members.groupBy("cluster").agg(F.sum("n").alias("all")), "cluster-sizes")
+    own = F.when(F.col("all") <= CLUSTER_GRAMS, F.pmod("cluster", F.lit(buckets)))
+
+    def dealt(rows: DataFrame, salt: int) -> DataFrame:
+        """Every member to a chunk of its cluster, by hash."""
+        chunk = F.pmod(F.xxhash64("set", F.lit(salt)), F.ceil(F.col("all") / CLUSTER_GRAMS))
+        return rows.withColumn("task", F.coalesce(own, F.xxhash64("cluster", chunk, F.lit(salt)))).select(place)
+
+    links = _linked(docs, dealt(members.join(sums, "cluster"), 0), width, percent)
+    if not sums.where(F.col("all") > CLUSTER_GRAMS).head(1):
+        return links
+    links = written(links, "links")
+    large = written(members.join(sums.where(F.col("all") > CLUSTER_GRAMS), "cluster"), "large-clusters")
+
+    def parts(links: DataFrame) -> DataFrame:
+        return large.join(connected_components(links.join(large.select(F.col("set").alias("u")), "u", "left_semi")), F.col("set") == F.col("node"), "left").withColumn("part", F.coalesce("root", "set")).drop("node", "root")
+
+    firsts = parts(links).where(F.col("set") == F.col("part")).drop("all")
+    sized = firsts.join(firsts.groupBy("cluster").agg(F.sum("n").alias("all")), "cluster")
+    links = written(links.unionByName(_linked(docs, dealt(sized, 1), width, percent)), "links")
+    now = written(parts(links), "parts")
+    main = now.groupBy("cluster", "part").agg(F.sum("n").alias("held")).groupBy("cluster").agg(F.max_by("part", "held").alias("main"))
+    outside = written(now.join(main, "cluster").where(F.col("part") != F.col("main")).drop("main"), "outside")
+    left = outside.groupBy("cluster").agg(F.ceil(F.sum("n") / CLUSTER_GRAMS).alias("chunks"))  # of the sets outside, by cluster
+    chunk = lambda salt, n: F.pmod(F.xxhash64("set", F.lit(salt)), n).cast("int")
+    count = lambda n: F.explode(F.sequence(F.lit(0), n.cast("int") - 1))
+    n_all, n_out = F.ceil(F.col("all") / CLUSTER_GRAMS), F.col("chunks")
+    some = outside.join(left, "cluster").withColumn("i", chunk(2, n_out)).withColumn("j", count(n_all))
+    every = now.join(left, "cluster").withColumn("j", chunk(3, n_all)).withColumn("i", count(n_out))
+    met = some.unionByName(every).withColumn("task", F.xxhash64("cluster", "i", "j", F.lit(4))).select(place).distinct()
+    return links.unionByName(_linked(docs, met, width, percent))
+
+
+LAST = 2**63 - 1
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, n, set; set is null where n is 0), and the linked sets (set, root)."""
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    buckets = buckets_for(docs, BUCKET_BYTES)
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     every = _measured(docs, width, percent)
-    rows = every.where(F.col("gram").isNull()).select("doc_id", "n", "set")
+    rows = every.where(F.col("gram").isNull()).select("doc_id", "h", "n", "set")
     least = max(COMMON_LEAST, rows.count() // COMMON_SHARE)
     often = every.where(F.col("gram").isNotNull()).groupBy("gram").agg(F.sum("times").alias("times")).where(F.col("times") >= least)
-    # at most COMMON_SHARE times the first n-grams of an average text
-    common = spark.sparkContext.broadcast(np.sort(np.array([r.gram for r in often.select("gram").collect()], np.int64).view(U)))
-    place = F.coalesce("doc_id", F.lit(-(2**63))).alias("at")
-    sets = every.where(F.col("set").isNotNull()).groupBy("set", "n").agg(F.min(place).alias("at"), F.first("point").alias("point"))
+    often = often.orderBy(F.desc("times"), "gram").limit(COMMON_MOST).select("gram").collect()  # 8 bytes each
+    common = spark.sparkContext.broadcast(np.sort(np.array([r.gram for r in often], np.int64).view(U)))
+    place = F.coalesce("doc_id", F.lit(LAST)).alias("at")
+    first = F.min(F.struct(place, "h"))
+    sets = every.where(F.col("set").isNotNull()).groupBy("set", "n").agg(first.alias("first"), F.first("point").alias("point")).select("set", "n", "first.at", "first.h", "point")
     blocks = written(_blocks(docs, common, width, percent, buckets), "blocks")
     possible = _possible(blocks.join(sets.select("set", "n", "point"), ["set", "n"]), percent, buckets)
     clusters = written(connected_components(possible).select(F.col("node").alias("set"), F.col("root").alias("cluster")), "clusters")
-    members = clusters.join(sets.select("set", "n", "at"), "set")
-    roots = written(connected_components(_verified(docs.select(place, "text"), members, width, percent, buckets)), "roots")
-    named = rows.join(roots, F.col("set") == F.col("node"), "left").withColumn("root", F.coalesce("root", "set"))
-    first = named.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return named.join(first, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    members = written(clusters.join(sets.select("set", "n", "at", "h"), "set"), "members")
+    links = _verified(docs.select(place, "h", "text"), members, width, percent, buckets)
+    return rows, written(connected_components(links).select(F.col("node").alias("set"), "root"), "roots")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row; texts link at a Jaccard of ``percent`` hundredths."""
+    rows, roots = _components(docs, id_col, text_col, width, percent)
+    # a table of its own, so that a join with many sets of one root or rows of one set can be split by Spark
+    sets = written(rows.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("doc_id").alias("least")).join(roots, "set", "left").withColumn("root", F.coalesce("root", "set")), "sets")
+    first = written(sets.groupBy("root").agg(F.min("least").alias("component_id")), "first-ids")
+    of_set = sets.join(first, "root").select("set", "component_id")
+    return rows.join(of_set, "set", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that are the first of their component, with their own columns.
 
-    Of rows that repeat the first id one stays, the one of the least text. Rows without an id
-    stay where their whole component has none.
+    Rows are told apart by id and text: of each component the row of the least id stays (null ids
+    come last, then the least hash of the text), once where whole rows of that id and text repeat
+    (the one whose other columns come first). Rows without words stay.
     """
-    parts = written(jaccard_components(docs, id_col, text_col, width, percent), "components")
-    first = parts.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_first_id")).agg(F.count("*").alias("_rows"))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_first_id"))
-    out = docs.join(first.where((F.col("_rows") == 1) | F.col("_first_id").isNull()).select("_first_id").hint("merge"), same, "left_semi")
-    many = first.where((F.col("_rows") > 1) & F.col("_first_id").isNotNull()).select("_first_id")
-    if many.head(1):
-        place = F.row_number().over(Window.partitionBy(F.col(id_col)).orderBy(F.col(text_col)))
-        out = out.unionByName(docs.join(many, same, "left_semi").withColumn("_place", place).where("_place = 1").drop("_place"))
-    return out
+    rows, roots = _components(docs, id_col, text_col, width, percent)
+    linked = rows.where(F.col("set").isNotNull()).join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    first = F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("at"), "h"))
+    firsts = linked.groupBy("root").agg(first.alias("f")).select("f.at", "f.h")
+    kept = written(firsts.unionByName(rows.where(F.col("set").isNull()).select(F.coalesce("doc_id", F.lit(LAST)).alias("at"), "h").distinct()), "kept")
+    row = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("at"), F.xxhash64(text_col).alias("h"))
+    stay = row.join(kept.hint("merge"), ["at", "h"], "left_semi")
+    again = rows.where(F.col("set").isNotNull()).groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("at"), "h").agg(F.count("*").alias("times")).where("times > 1").select("at", "h")
+    again = written(again, "repeated")
+    if again.head(1):
+        once = stay.join(again.hint("merge"), ["at", "h"], "left_semi").groupBy("at", "h").agg(F.min("row").alias("row"))
+        stay = stay.join(again.hint("merge"), ["at", "h"], "left_anti").select("row").unionByName(once.select("row"))
+    return stay.select(*(F.col("row")[c].alias(c) for c in docs.columns))
