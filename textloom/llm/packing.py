@@ -5,8 +5,9 @@ pieces of ``capacity`` and a rest. Pieces are dealt by hash into shards of about
 ``SHARD_PIECES``; a shard is packed by best fit, longest first, and then its emptiest bins are
 emptied: their documents move to other underfull bins, or change places one for one or one for
 two with shorter ones there. Every step raises the sum of squared fills, so it ends; a bin that
-becomes empty goes. Shards pack by themselves, so a shard costs at most one bin more than one
-packing of all would.
+becomes empty goes. The search ends when as few bins are left as the lengths need, or when no
+step is left (``patience``: or after so many bins in a row that could not be emptied). Shards pack
+by themselves, so a shard costs at most one bin more than one packing of all would.
 
 Cases: a null text counts as empty and gives the end id alone. Null ids pack like others.
 Repeated rows are packed as often as they occur. An empty table gives an empty result. Further
@@ -17,7 +18,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +30,6 @@ from .common import written
 from .word_tokens import vocabulary_path, word_ids
 
 SHARD_PIECES = 1 << 16
-#: Bins in a row that could not be emptied before the search ends.
-PATIENCE = 32
 
 
 class Bins:
@@ -73,47 +71,33 @@ class Bins:
             self.fill.append(self.lengths[i])
             self._list(len(self.items) - 1)
 
-    def exchange(self, victim: int, others: list[int]) -> bool:
-        """One step that takes length out of ``victim`` into a fuller bin."""
+    def exchange(self, victim: int, search: _Search) -> bool:
+        """One step that takes length out of ``victim`` into a bin that is no emptier."""
         n = self.lengths
         for x in sorted(self.items[victim], key=n.__getitem__, reverse=True):
-            for b in others:  # move
-                if self.capacity - self.fill[b] >= n[x]:
-                    self.change(victim, (x,), ())
-                    self.change(b, (), (x,))
-                    return True
-            for b in others:  # one for one: the longest gain that fits
-                room = self.capacity - self.fill[b]
-                mine = sorted(self.items[b], key=n.__getitem__)
-                sizes = [n[y] for y in mine]
-                k = bisect_left(sizes, n[x] - room)
-                if k < len(mine) and sizes[k] < n[x]:
-                    self.change(victim, (x,), (mine[k],))
-                    self.change(b, (mine[k],), (x,))
-                    return True
-                for j, y in enumerate(mine):  # two for one
-                    rest = n[x] - n[y]
-                    if rest <= 0:
-                        break
-                    k = bisect_left(sizes, rest - room, j + 1)
-                    if k < bisect_right(sizes, rest - 1):
-                        pair = (y, mine[k])
-                        self.change(victim, (x,), pair)
-                        self.change(b, pair, (x,))
-                        return True
+            if (step := search.step(victim, n[x])) is not None:
+                b, back = step
+                self.change(victim, (x,), back)
+                self.change(b, back, (x,))
+                search.changed(victim)
+                search.changed(b)
+                return True
         return False
 
-    def improve(self) -> None:
-        """Empties bins until as few are left as the sum of lengths needs, or patience ends."""
+    def improve(self, patience: int | None = None) -> None:
+        """Empties bins until as few are left as the sum of lengths needs, or no step is left."""
         least, left = -(-sum(self.lengths) // self.capacity), sum(map(bool, self.items))
+        if left <= least:
+            return
+        search = _Search(self)
         stuck: set[int] = set()
         failed = 0
-        while left > least and failed < PATIENCE:
-            under = [b for b in range(len(self.items)) if self.items[b] and self.fill[b] < self.capacity]
-            if not (free := [b for b in under if b not in stuck]):
+        while left > least and (patience is None or failed < patience):
+            free = [b for b in search.bins() if b not in stuck]
+            if not free:
                 return
             victim, moved = min(free, key=self.fill.__getitem__), False
-            while self.items[victim] and self.exchange(victim, [b for b in under if b != victim and self.fill[victim] <= self.fill[b] < self.capacity]):
+            while self.items[victim] and self.exchange(victim, search):
                 moved = True
             if self.items[victim]:
                 stuck = {victim} if moved else stuck | {victim}
@@ -123,12 +107,61 @@ class Bins:
                 left, failed, stuck = left - 1, 0, set()
 
 
-def pack(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
+class _Search:
+    """The items of all underfull bins as arrays, for steps: what is short enough goes over."""
+
+    def __init__(self, of: Bins) -> None:
+        self.of = of
+        self.room = np.array([of.capacity - f if x else 0 for f, x in zip(of.fill, of.items, strict=True)], np.int64)
+        items = [(b, i) for b, mine in enumerate(of.items) if mine and of.fill[b] < of.capacity for i in mine]
+        self.lengths = np.array(of.lengths, np.int64)
+        self.item = np.array(sorted(i for _, i in items), np.int64)
+        self.bin = np.full(len(of.lengths), -1, np.int64)
+        for b, i in items:
+            self.bin[i] = b
+
+    def bins(self) -> list[int]:
+        return np.flatnonzero(self.room > 0).tolist()
+
+    def changed(self, b: int) -> None:
+        self.room[b] = self.of.capacity - self.of.fill[b] if self.of.items[b] else 0
+        self.bin[self.of.items[b]] = b
+
+    def step(self, victim: int, size: int) -> tuple[int, tuple[int, ...]] | None:
+        """A bin for an item of ``size`` out of ``victim``, and what comes back for it: nothing,
+        one shorter item, or two that are shorter together. Full bins take part in none."""
+        room = self.room
+        ok = (room > 0) & (room <= room[victim])
+        ok[victim] = False
+        if len(b := np.flatnonzero(ok & (room >= size))):
+            return int(b[np.argmin(room[b])]), ()  # best fit
+        mine = self.item
+        of, n = self.bin[mine], self.lengths[mine]
+        here = ok[of]
+        mine, of, n = mine[here], of[here], n[here]
+        if len(k := np.flatnonzero((n < size) & (n >= size - room[of]))):
+            k = k[np.argmin(n[k])]  # the most length goes over
+            return int(of[k]), (int(mine[k]),)
+        short = n < size  # two items of one bin: of each the partner that is as short as may be
+        mine, of, n = mine[short], of[short], n[short]
+        order = np.lexsort((n, of))
+        mine, of, n = mine[order], of[order], n[order]
+        code = of * (self.of.capacity + 1) + n
+        at = np.maximum(np.searchsorted(code, of * (self.of.capacity + 1) + size - room[of] - n), np.arange(len(n)) + 1)
+        at_end = np.minimum(at, len(n) - 1)
+        fits = (at < len(n)) & (of[at_end] == of) & (n + n[at_end] < size) & (n + n[at_end] >= size - room[of])
+        if len(k := np.flatnonzero(fits)):
+            k = k[np.argmin(n[k] + n[at_end[k]])]
+            return int(of[k]), (int(mine[k]), int(mine[at_end[k]]))
+        return None
+
+
+def pack(lengths: list[int], capacity: int, patience: int | None = None) -> tuple[list[int], list[int]]:
     """Bin and offset of each item."""
     bins = Bins(lengths, capacity)
     for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
         bins.best_fit(i)
-    bins.improve()
+    bins.improve(patience)
     of, offset = [0] * len(lengths), [0] * len(lengths)
     for b, mine in enumerate(x for x in bins.items if x):
         at = 0
@@ -156,15 +189,16 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, voc
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, vocabulary: str | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, vocabulary: str | None = None, patience: int | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
     pieces = written(token_pieces(docs, id_col, text_col, capacity, vocabulary or vocabulary_path()), "pieces")
     shards = max(1, math.ceil(pieces.count() / SHARD_PIECES))
 
     def place(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "piece", "ids_crc32"], ignore_index=True)
-        of, offset = pack(rows.length.tolist(), capacity)
+        of, offset = pack(rows.length.tolist(), capacity, patience)
         return rows.assign(sequence_id=np.array(of, np.int64) * shards + key[0], offset=np.array(offset, np.int64)).drop(columns="shard")
 
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
+    # by the place in the written table, so that rows which repeat do not meet in one shard
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
     return dealt.groupBy("shard").applyInPandas(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
