@@ -7,6 +7,10 @@ top four bits select how many ids it holds and their width; selector 15 is an es
 next word is one id. Because no word crosses a block and offsets are kept, any block is decoded
 by itself, all words of a selector at once.
 
+A file's name has its task's place and a part of its own for each attempt; the table of files
+holds the names of the attempts that Spark has committed, and only these are read. Files are
+written and read by pyarrow's file systems (local, S3, GCS, HDFS where its client is installed).
+
 Cases: a null text counts as empty and gives the end id alone. A null id comes first in order
 and is marked. Rows that repeat an id follow each other in any order. An empty table gives no
 file and an empty result. Further columns are ignored.
@@ -137,16 +141,16 @@ def unpack_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [None if z else i for i, z in zip(docs.tolist(), nulls.tolist(), strict=True)], lengths, decode(words, offsets, n_ids).astype("<u4")
 
 
-def _put(folder: str, name: str, data: bytes) -> None:
-    """Writes a file to the shared folder; it has its name only when it is whole."""
+def _store(folder: str):
+    """The folder's file system and its path there; Spark's names of S3 are pyarrow's s3."""
     from pyarrow import fs
 
-    store, root = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
-    store.create_dir(root, recursive=True)
-    hidden = f"{root}/.{name}.{uuid.uuid4().hex}"
-    with store.open_output_stream(hidden) as out:
-        out.write(data)
-    store.move(hidden, f"{root}/{name}")
+    scheme, _, rest = folder.partition("://")
+    if scheme in ("s3a", "s3n"):
+        folder = f"s3://{rest}"
+    elif not rest and not folder.startswith("file:"):
+        folder = f"file://{folder}"
+    return fs.FileSystem.from_uri(folder)
 
 
 def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -155,7 +159,9 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part, seq = word_ids(path), TaskContext.get().partitionId(), 0
+        tokens, part, seq, attempt = word_ids(path), TaskContext.get().partitionId(), 0, uuid.uuid4().hex
+        store, root = _store(folder)
+        store.create_dir(root, recursive=True)
         ids: list[int | None] = []
         texts: list[bytes] = []
         done: list[tuple[str, int, int]] = []
@@ -163,8 +169,9 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
         def flush() -> None:
             nonlocal seq, ids, texts
             if ids:
-                name = f"part-{part:08d}-{seq:08d}.s8b"
-                _put(folder, name, pack_file(ids, texts))
+                name = f"part-{part:08d}-{seq:08d}-{attempt}.s8b"
+                with store.open_output_stream(f"{root}/{name}") as out:
+                    out.write(pack_file(ids, texts))
                 done.append((name, len(ids), sum(map(len, texts)) // 4))
                 seq, ids, texts = seq + 1, [], []
 
@@ -188,17 +195,20 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
 
 def read_token_files(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids (binary, unsigned 32-bit little-endian) of each document."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.s8b").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _store(folder)
         for b in batches:
-            for data, start in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                docs, lengths, ids = unpack_file(data.as_py())
+            for name, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                with store.open_input_stream(f"{root}/{name}") as data:
+                    docs, lengths, ids = unpack_file(data.read())
                 ends = np.cumsum(lengths)
                 body = pa.Array.from_buffers(pa.binary(), len(docs), [None, pa.py_buffer(np.concatenate(([0], ends * 4)).astype("<i4").tobytes()), pa.py_buffer(ids.tobytes())])
                 yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(start + ends - lengths), pa.array(lengths), body], names=["doc_id", "start", "n_tokens", "ids"])
 
-    return raw.join(files.select("name", "start"), "name").select("content", "start").mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), files.count() // 4)
+    # names are dealt, not files: each task opens its own
+    return files.select("name", "start").repartition(parts, "name").mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, folder: str | None = None) -> DataFrame:
