@@ -5,7 +5,8 @@ sample of labelled rows (``max_examples``, those of the lowest hash of their id)
 document evidence. Expected good documents are then summed by (host, path) and by host: a host's
 rate is shrunk towards the global one, a path's towards its host's, each with a strength that
 the spread of the groups' rates itself gives (method of moments), so sparse sites stay near
-their parents. A document's posterior is its own evidence with its path's rate as prior.
+their parents. A document's posterior is its own evidence with its path's rate as prior; both
+rates are those of the other documents, so its evidence counts once.
 
 Cases: a null or empty text has features of zeros, so its evidence is the model's constant. A
 null host or path is a group of its own. Labels other than 0 and 1 and nulls are left out;
@@ -111,6 +112,11 @@ def _strength(groups: DataFrame, n: str, rate: str, parent: str) -> float:
     return float(min(STRENGTHS[1], max(STRENGTHS[0], r.b / (r.v - r.s) - 1)))
 
 
+def host_and_path(url: Column) -> tuple[Column, Column]:
+    """Host and first folder of a URL (of ``pages``, say), as ``host_col`` and ``path_col`` take them."""
+    return F.lower(F.try_parse_url(url, F.lit("HOST"))), F.element_at(F.split(F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("/")), "/"), 2)
+
+
 def site_quality(
     docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", label_col: str = "quality", threshold: float = 0.5, max_examples: int = 20_000
 ) -> DataFrame:
@@ -132,11 +138,14 @@ def site_quality(
     every = model.base if every is None else float(every)
     hosts = hosts.withColumn("raw", F.col("host_good") / F.col("host_n")).withColumn("all", F.lit(every))
     k = _strength(hosts, "host_n", "raw", "all")
-    hosts = hosts.withColumn("host_rate", (F.col("host_good") + k * every) / (F.col("host_n") + k)).select(F.col("host").alias("of_host"), "host_rate")
+    shrunk = lambda good, n, k, parent: (good + k * parent) / (n + k)
+    hosts = hosts.withColumn("rate", shrunk(F.col("host_good"), F.col("host_n"), k, F.lit(every))).select(F.col("host").alias("of_host"), "host_n", "host_good", "rate")
     paths = paths.join(hosts, F.col("host").eqNullSafe(F.col("of_host"))).withColumn("raw", F.col("good") / F.col("n"))
-    k = _strength(paths, "n", "raw", "host_rate")
-    paths = paths.select(F.col("host").alias("of_host"), F.col("path").alias("of_path"), "host_rate", ((F.col("good") + k * F.col("host_rate")) / (F.col("n") + k)).alias("path_rate"))
+    j = _strength(paths, "n", "raw", "rate")
+    paths = paths.select(F.col("host").alias("of_host"), F.col("path").alias("of_path"), "host_n", "host_good", "n", "good")
     out = rows.join(paths, F.col("host").eqNullSafe(F.col("of_host")) & F.col("path").eqNullSafe(F.col("of_path")))
+    out = out.withColumn("host_rate", shrunk(F.col("host_good") - sure, F.col("host_n") - 1, k, F.lit(every)))
+    out = out.withColumn("path_rate", shrunk(F.col("good") - sure, F.col("n") - 1, j, F.col("host_rate")))
     safe = F.least(F.lit(1 - 1e-6), F.greatest(F.lit(1e-6), F.col("path_rate")))
     score = 1 / (1 + F.exp(-(F.col("evidence") + F.log(safe / (1 - safe)))))
     return out.select("doc_id", "evidence", "host_rate", "path_rate", score.alias("score"), (score >= threshold).alias("kept"))
