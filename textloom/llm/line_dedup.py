@@ -7,12 +7,13 @@ aggregation over 128-bit hashes (counted map-side first, so that a line that a t
 documents hold is a row a task). They go into shards; each shard is a minimal perfect hash whose
 slots hold a 64-bit fingerprint, the count and the largest id. Documents probe these arrays.
 Up to ``broadcast_bytes`` all shards go to every worker; beyond that size each shard stays where
-it is, and the documents' line hashes visit the shards in salted groups.
+it is, and the documents' line hashes visit it in as many groups as their number asks for
+(``VISITS`` each), whatever the line, so no task holds more.
 
 Cases: a null or empty text is one empty line and stays as the empty text. Every row counts as a
 document; rows that repeat an id count one by one and share its rank. A null id ranks below all
-others. An empty table gives an empty result. Further columns pass through; columns that have
-the names of the two counts are replaced.
+others. An empty table gives an empty result. Further columns pass through whatever their names;
+columns that have the names of the two counts are replaced.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from .common import WS, written
 
 LOWEST = -(2**63)
 SHARD_KEYS = 1 << 20
+#: Lines that visit a shard in one group, about.
+VISITS = 1 << 20
 U = np.uint64
 
 
@@ -98,19 +101,22 @@ class PerfectHash:
 
 
 def _line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """h1, h2, doc of each document's distinct long lines."""
+    """h1, h2, doc, text (a hash) of each document's distinct long lines."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, hashes = [], []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            ids, whole, hashes = [], [], []
+            for i, text, h in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 mine = {line_hash(x, min_chars) for x in (text or "").split("\n")} - {None}
                 hashes += mine
                 ids += [LOWEST if i is None else i] * len(mine)
+                whole += [h] * len(mine)
             h1, h2 = _halves(hashes)
-            yield pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(ids, pa.int64())], names=["h1", "h2", "doc"])
+            columns = [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(ids, pa.int64()), pa.array(whole, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "doc", "text"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(keys, "h1 long, h2 long, doc long")
+    rows = docs.select(F.col(id_col).cast("long"), text_col, F.xxhash64(text_col))
+    return rows.mapInArrow(keys, "h1 long, h2 long, doc long, text long")
 
 
 def line_index(docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_docs: int) -> tuple[DataFrame, int]:
@@ -160,7 +166,7 @@ def dedup_lines(
     spark = docs.sparkSession
     docs = docs.select(*(f"`{c}`" for c in docs.columns if c not in counts))
     index, shards = line_index(docs, id_col, text_col, min_chars, min_docs)
-    size, most = index.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0)), F.coalesce(F.max("most"), F.lit(0))).first()
+    size = index.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()[0]
     schema = T.StructType([*(T.StructField(f.name, T.StringType()) if f.name == text_col else f for f in docs.schema), T.StructField(counts[0], T.LongType()), T.StructField(counts[1], T.LongType())])
     id_at, text_at, names, width = docs.columns.index(id_col), docs.columns.index(text_col), schema.names, len(docs.columns)
     if size <= broadcast_bytes:
@@ -186,27 +192,31 @@ def dedup_lines(
                 yield _result(b, text_at, kept, [len(x) for x in split], [len(gone.get(r, ())) for r in range(len(split))], names, list(range(width)))
 
         return docs.mapInArrow(probe, schema)
-    return _visiting(docs, index, shards, max(1, math.ceil(most / SHARD_KEYS)), id_col, text_col, min_chars, schema)
+    return _visiting(docs, index, shards, id_col, text_col, min_chars, schema)
 
 
-def _visiting(docs: DataFrame, index: DataFrame, shards: int, salts: int, id_col: str, text_col: str, min_chars: int, schema: T.StructType) -> DataFrame:
+def _visiting(docs: DataFrame, index: DataFrame, shards: int, id_col: str, text_col: str, min_chars: int, schema: T.StructType) -> DataFrame:
     """As above where the index is too large to send: line hashes visit the shards, and what is
-    dropped comes back to its document by the id."""
-    visits = _line_keys(docs, id_col, text_col, min_chars).withColumn("shard", F.pmod("h2", F.lit(shards))).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(salts)).cast("int"))
+    dropped comes back to its document by the id and the text."""
+    visits = written(_line_keys(docs, id_col, text_col, min_chars).withColumn("shard", F.pmod("h2", F.lit(shards))), "line-visits")
+    most = visits.groupBy("shard").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    salts = max(1, math.ceil(most / VISITS))
+    visits = visits.withColumn("salt", F.pmod(F.xxhash64("h1", "doc", "text"), F.lit(salts)).cast("int"))
     copies = index.select("shard", "bytes", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
 
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
-        h1, h2, doc = (left[c].to_numpy() for c in ("h1", "h2", "doc"))
+        h1, h2, doc, text = (left[c].to_numpy() for c in ("h1", "h2", "doc", "text"))
         gone = np.zeros(len(h1), bool)
         if left.num_rows and right.num_rows:
             table = pickle.loads(right["bytes"][0].as_py())
             at = table.find(h1.view(U), h2.view(U))
             gone = (at >= 0) & (table.largest[at] != doc)
-        return pa.table([pa.array(x[gone]) for x in (h1, h2, doc)], names=["h1", "h2", "doc"])
+        return pa.table([pa.array(x[gone]) for x in (h1, h2, doc, text)], names=["h1", "h2", "doc", "text"])
 
-    gone = visits.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt")).applyInArrow(look, "h1 long, h2 long, doc long")
-    gone = gone.groupBy(F.col("doc").alias("_gone_doc")).agg(F.collect_set(F.struct("h1", "h2")).alias("_gone"))
-    joined = docs.join(gone, F.coalesce(docs[id_col].cast("long"), F.lit(LOWEST)) == F.col("_gone_doc"), "left").drop("_gone_doc")
+    gone = visits.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt")).applyInArrow(look, "h1 long, h2 long, doc long, text long")
+    gone = gone.groupBy("doc", "text").agg(F.collect_set(F.struct("h1", "h2")).alias("lines"))  # of one text
+    row = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("doc"), F.xxhash64(text_col).alias("text"))
+    joined = row.join(gone, ["doc", "text"], "left").select(*(F.col("row")[c].alias(c) for c in docs.columns), "lines")
     text_at, width, names = docs.columns.index(text_col), len(docs.columns), schema.names
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
