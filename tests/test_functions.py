@@ -49,11 +49,10 @@ def test_keep_best_ties(spark):
     assert sorted(dedup.keep_best(df, "score").collect()) == [(1, 1.0), (4, None)]
 
 
-def test_brackets_and_parsers():
-    assert markup.brackets_match("a(b[c]{d})") and not markup.brackets_match("(]") and not markup.brackets_match("(")
-    assert markup.xml_detail("<a x='1'><b/><c><d/></c></a>") == (True, 4, 3, True)
-    assert markup.xml_detail("<a>") == (False, 0, 0, False)
-    assert markup.html_detail("<html><head></head><body><font>x</font></body></html>") == (4, True, True, 1)
+def test_parsers():
+    assert markup.xml_detail("<a x='1'><b/><c><d/></c></a>") == (True, 4, 2, True, 0)
+    assert markup.xml_detail("<a>") == (False, 0, 0, False, 0)
+    assert markup.html_detail("<html><head></head><body><font>x</font></body></html>") == (True, 4, True, True, ["title"], ["font"], False)
 
 
 def test_draws_are_uniform(spark):

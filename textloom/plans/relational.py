@@ -22,7 +22,6 @@ _LENGTHS = "x AS (SELECT doc_id, lang, CAST(length(coalesce(text, '')) AS DOUBLE
 SQL: dict[str, str] = {
     # sources and filters
     "src9_warehouse_pull": "SELECT doc_id, lang, length(text) AS n FROM {documents} WHERE lang IN ('en', 'fr') AND text IS NOT NULL AND length(text) BETWEEN 100 AND 100000",
-    "src2_range_slice": "SELECT doc_id, lang FROM {documents} ORDER BY doc_id LIMIT 100",
     "flt11_training_filter": "SELECT doc_id, length(text) AS n FROM {documents} WHERE length(text) BETWEEN 10 AND 32768 AND length(trim(text)) > 0",
     "flt12_distinct_text": "SELECT min(doc_id) AS doc_id, count(*) AS copies FROM {documents} GROUP BY sha256(text)",
     "flt14_catalog_filter": "SELECT p_partkey, p_brand, p_size FROM {part} WHERE p_size <= 10 AND p_brand LIKE 'Brand#1%'",

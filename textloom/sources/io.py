@@ -7,9 +7,11 @@ from __future__ import annotations
 
 import json
 import logging
+import re
 from dataclasses import dataclass, fields
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,27 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def load(spark: SparkSession, root: str, name: str, subset: str | None = None, split: str = "train", key: str | None = None) -> DataFrame:
+    """SRC1, SRC2: a split of a dataset below ``root`` (``root/name[/subset]/split``, with any suffix
+    that ``read_dataset`` knows). split: its name, with a range of rows like ``train[:1000]`` or
+    ``test[50:100]`` in the order of ``key``."""
+    m = re.fullmatch(r"(\w+)(?:\[(\d*):(\d*)\])?", split)
+    if not m:
+        raise ValueError(f"not a split: {split}")
+    folder = "/".join(p for p in (root.rstrip("/"), name, subset) if p)
+    path = first_existing(spark, [f"{folder}/{m[1]}{suffix}" for suffix in ("", ".parquet", ".jsonl", ".json", ".csv")])
+    if path is None:
+        raise FileNotFoundError(f"{folder}/{m[1]}")
+    rows = read_dataset(spark, path)
+    if m[2] is None:
+        return rows
+    if key is None:
+        raise ValueError("a range of rows needs a key that orders them")
+    first, end = int(m[2] or 0), m[3]
+    out = rows.orderBy(key)
+    return out.limit(int(end)).offset(first) if end else out.offset(first)
+
+
 def save_dataset(df: DataFrame, path: str) -> None:
     """SNK1."""
     df.write.mode("overwrite").parquet(path)
@@ -74,7 +97,7 @@ def scan_phase(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             continue
         try:
             out[name.rsplit(".", 1)[0]] = read_dataset(spark, path)
-        except PySparkException as e:
+        except (PySparkException, Py4JJavaError) as e:  # the second: files that are no dataset
             log.warning("%s is left out: %s", path, str(e).splitlines()[0])
     return out
 
