@@ -182,9 +182,9 @@ def _block_ids(sets: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> np.nda
     return mix(np.add.reduceat(mix(sets.view(U) + sizes.astype(U)), first))
 
 
-def _chunk_pairs(sets: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """block, set, n of the pairs of chunks of a large block; members come by size."""
-    each = max(SPLIT[0], min(-(-len(sets) // SPLIT[1]), SPLIT[2]))
+def _chunk_pairs(sets: np.ndarray, sizes: np.ndarray, percent: int, split: tuple[int, int, int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """block, set, n of the pairs of chunks of a block of more than split[0] sets, which come by size."""
+    each = max(split[0], min(-(-len(sets) // split[1]), split[2]))
     cuts = [*range(0, len(sets), each), len(sets)]
     for i, j in zip(cuts[:-2], cuts[1:-1], strict=True):
         for k, m in zip(cuts[:-1], cuts[1:], strict=True):
@@ -246,7 +246,7 @@ def _blocks(docs: DataFrame, common, width: int, percent: int, buckets: int) ->
         whole = np.repeat(small, count)
         parts_of = [(block[whole], sets[whole], sizes[whole])]
         for i, c in zip(first[~small].tolist(), count[~small].tolist(), strict=True):
-            parts_of += _chunk_pairs(sets[i : i + c], sizes[i : i + c], percent)
+            parts_of += _chunk_pairs(sets[i : i + c], sizes[i : i + c], percent, SPLIT)
         block, sets, sizes = (np.concatenate(x) for x in zip(*parts_of, strict=True))
         block = block.view(np.int64)
         order = np.lexsort((sizes, sets, block))
