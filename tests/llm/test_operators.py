@@ -362,3 +362,98 @@ def test_scratch_goes(spark):
     clear_scratch(spark)
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/textloom")
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+CLASH = "doc_id long, text string, lang string, source string, score string, evidence string, piece string, start string, component_id string, n string, h string, row string, at string, lines string, bad_host string, base_failed string, kept string, set string, root string, doc string"
+
+
+@pytest.fixture(scope="module")
+def clash(spark):
+    words = " ".join(f"w{k}" for k in range(60))
+    return spark.createDataFrame([(k, f"{words} x{k // 2}", "en", "s", *("own",) * 16) for k in range(6)], CLASH)
+
+
+def test_clashing_columns(spark, clash):
+    """Columns that have the names of results, or of what operators use inside, pass through or are ignored."""
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(6)], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(1, "an item of more than fifty characters that no text holds at all")], "item_id long, text string")
+    for out in (quality_rules.kept_documents(clash), quality_rules.kept_documents(clash, broadcast_hosts=-1), ngram_jaccard.without_near_duplicates(clash), decontaminate.clean(clash, items)):
+        rows = out.collect()
+        assert out.columns == clash.columns and rows and all(r.score == r.row == r.kept == r.at == "own" for r in rows)
+    for most in (64 << 20, -1):
+        rows = line_dedup.dedup_lines(clash, broadcast_bytes=most).collect()
+        assert len(rows) == 6 and all(r.lines == r.doc == "own" and r.n_dropped == 0 for r in rows)
+    assert {r.component_id for r in ngram_jaccard.jaccard_components(clash).collect()} == {0}
+    assert {r.n_words for r in quality_rules.quality_rules(clash).collect()} == {61}
+    for out in (toxicity.toxicity(clash, labels, F.lit(True)), site_quality.site_quality(clash, labels, F.lit(True)), lm_scoring.score_texts(clash, F.lit(False)), token_file.token_files(clash), token_counts.token_counts(clash), packing.pack_documents(clash)):
+        assert sorted(r.doc_id for r in out.collect()) == list(range(6))
+
+
+def test_odd_rows_by_value(spark, odd):
+    by = lambda rows, *names: sorted((tuple(r[n] for n in names) for r in rows), key=str)
+    counts = by(token_counts.token_counts(odd).collect(), "doc_id", "n_bytes", "over_limit")
+    assert counts[:3] == [(1, 0, False), (2, 0, False), (3, 5, False)] and (4, 60_000, True) in counts and (None, 5, False) in counts
+    files = by(token_file.token_files(odd).collect(), "doc_id", "start", "n_tokens")
+    assert files[0] == (1, 4, 1) and [x for x in files if x[0] is None] == [(None, 0, 4)] and [x[2] for x in files if x[0] == 4] == [30_001]
+    pieces = packing.pack_documents(odd).collect()
+    assert sorted(p.length for p in pieces if p.doc_id == 4) == [30_001 % 4096, *[4096] * 7] and sum(p.length for p in pieces) == sum(x[2] for x in files)
+    scores = {(r.doc_id, r.n_tokens): r for r in lm_scoring.score_texts(odd, F.lit(False)).collect()}
+    assert set(scores) == {(1, 1), (2, 1), (3, 4), (None, 4), (4, 30_001), (5, 1)} and len({round(scores[k, 1].score, 9) for k in (1, 2, 5)}) == 1
+    lines = {(r.doc_id, r.text): (r.n_lines, r.n_dropped) for r in line_dedup.dedup_lines(odd.drop("n_lines")).collect()}
+    assert lines[1, ""] == lines[2, ""] == (1, 0) and lines[5, " \n\n\t"] == (3, 0)
+    labels = spark.createDataFrame([(1, 0, 1), (3, 1, 0), (4, 1, 0)], "doc_id long, quality int, toxic int")
+    tox = {r.doc_id: r for r in toxicity.toxicity(odd, labels, F.lit(True)).collect()}
+    assert tox[1].score == tox[2].score == tox[5].score and tox[1].evidence == [] and 0 <= tox[4].score <= 1
+    sites = site_quality.site_quality(odd, labels, F.lit(True)).collect()
+    assert len({r.evidence for r in sites if r.doc_id in (1, 2, 5)}) == 1 and all(0 < r.score < 1 for r in sites)
+
+
+def test_toxicity_query_equals_brute_force(spark):
+    """The query's scores on a small table: neighbours by all cosines, votes, curve."""
+    sf = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in queries.op5_toxicity(spark, sf).collect()}
+    third = F.crc32(F.col("doc_id").cast("string")) % 3
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    examples = toxicity.labelled_examples(docs, labels, third != 1)
+    index = toxicity.trained(examples, 25, 1.0, 0.5)
+    mine = [x for n, x in enumerate(examples) if n % 3]
+    vectors = [dict(zip(*(v.tolist() for v in index.vector(Counter(toxicity.words(t)))), strict=True)) for _, t, _ in mine]
+    for r in docs.select("doc_id", "text").collect():
+        q = dict(zip(*(v.tolist() for v in index.vector(Counter(toxicity.words(r.text)))), strict=True))
+        cosines = sorted(((-round(sum(w * q.get(t, 0.0) for t, w in v.items()), 9), k) for k, v in enumerate(vectors)))[:25]
+        near = [(-c, k) for c, k in cosines if c < 0]
+        vote = (sum(c * c * mine[k][2] for c, k in near) + index.base) / (sum(c * c for c, _ in near) + 1)
+        a, b = index.curve
+        want = 1 / (1 + math.exp(-a - b * index.log_odds(vote))) if index.curve != (0.0, 1.0) else vote
+        assert got[r.doc_id].score == pytest.approx(want, abs=1e-6)
+
+
+def test_toxicity_is_calibrated(spark):
+    """Held-out texts are toxic about as often as their scores say: the expected calibration error."""
+    sf = "/root/testdata/sf0.1"
+    rows = queries.op5_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out AND toxic IS NOT NULL").select("score", "toxic", F.size("evidence").alias("k")).collect()
+    error = 0.0
+    for low in range(10):
+        some = [r for r in rows if low <= min(9, int(r.score * 10)) < low + 1]
+        error += abs(sum(r.score - r.toxic for r in some)) / len(rows)
+    assert error < 0.05 and sum(r.k > 0 for r in rows) > 0.95 * len(rows)
+    hit = [r.toxic for r in rows if r.score >= 0.7]
+    assert sum(hit) > 0.9 * len(hit) and sum(hit) > 0.55 * sum(r.toxic for r in rows)
+
+
+def test_short_items_are_found(spark):
+    items = spark.createDataFrame([(1, "tiny item"), (2, ""), (3, None), (4, "seventeen letters")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a Tiny  ITEM here"), (2, "nothing"), (3, "seventeen leters"), (4, None)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in decontaminate.matches(docs, items).collect()) == [(1, 1, 0), (3, 4, 1)]
+    assert decontaminate.clean(docs, items).count() == 4 and decontaminate.clean(docs, items, min_chars=0).count() == 2
+
+
+def test_own_evidence_counts_once(spark):
+    """A site of one document has its parents' rate, whatever the document."""
+    rows = [(k, " ".join(f"w{j * (k % 7 + 1)}" for j in range(40 + k)), "en", "big") for k in range(40)] + [(100, "!!! $$$ ???", "en", "lone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0), 0) for k in range(40)], "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r for r in site_quality.site_quality(docs, labels, F.lit(True)).collect()}
+    assert out[100].path_rate == pytest.approx(out[100].host_rate)
+    hosts = {r.host_rate for r in out.values() if r.doc_id < 40}
+    assert len(hosts) > 1 and max(hosts) - min(hosts) < 0.1

@@ -214,9 +214,10 @@ def _visiting(docs: DataFrame, index: DataFrame, shards: int, id_col: str, text_
         return pa.table([pa.array(x[gone]) for x in (h1, h2, doc, text)], names=["h1", "h2", "doc", "text"])
 
     gone = visits.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt")).applyInArrow(look, "h1 long, h2 long, doc long, text long")
-    gone = gone.groupBy("doc", "text").agg(F.collect_set(F.struct("h1", "h2")).alias("lines"))  # of one text
+    name = next(x for x in (f"gone_{k}" for k in range(len(docs.columns) + 1)) if x not in docs.columns)
+    gone = gone.groupBy("doc", "text").agg(F.collect_set(F.struct("h1", "h2")).alias(name))  # of one text
     row = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("doc"), F.xxhash64(text_col).alias("text"))
-    joined = row.join(gone, ["doc", "text"], "left").select(*(F.col("row")[c].alias(c) for c in docs.columns), "lines")
+    joined = row.join(gone, ["doc", "text"], "left").select(*(F.col("row")[c].alias(c) for c in docs.columns), name)
     text_at, width, names = docs.columns.index(text_col), len(docs.columns), schema.names
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

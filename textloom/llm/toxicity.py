@@ -153,7 +153,7 @@ class BlockMaxIndex:
         return (float((toxic + self.prior * self.base) / (votes + self.prior)) if votes + self.prior else 0.0), [int(self.ids[d]) for _, d in near]
 
     def calibrate(self, kept_back: list[tuple[int, str, int]]) -> BlockMaxIndex:
-        """Fits the logistic curve from votes to labels (Newton's method, a light ridge)."""
+        """Fits the logistic curve from votes to labels (Newton's method, a light pull to the identity)."""
         y = np.array([label for _, _, label in kept_back], float)
         if not len(y) or not 0 < y.mean() < 1:
             return self
@@ -161,7 +161,7 @@ class BlockMaxIndex:
         z, b = np.stack((np.ones(len(x)), x), axis=1), np.array([0.0, 1.0])
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
-            ridge = np.diag([1e-6, 1e-3])
+            ridge = np.diag([1e-1, 1e-1])
             step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge, z.T @ (y - p) - ridge @ (b - np.array([0.0, 1.0])))
             b = b + step
             if np.abs(step).max() < 1e-9:
@@ -184,7 +184,7 @@ class BlockMaxIndex:
             vote, near = self.vote(bag)
             if len(self.seen) >= REMEMBERED:
                 self.seen.clear()
-            self.seen[key] = vote if self.curve == (0.0, 1.0) else 1 / (1 + math.exp(-self.curve[0] - self.curve[1] * self.log_odds(vote))), near
+            self.seen[key] = vote if self.curve == (0.0, 1.0) else 1 / (1 + math.exp(-max(-30.0, min(30.0, self.curve[0] + self.curve[1] * self.log_odds(vote))))), near
         return self.seen[key]
 
 
