@@ -1,17 +1,18 @@
 """Metric events as streams: windows with watermarks, duplicates, a static side.
 
 The functions take a DataFrame and work on batch and stream alike; ``replay`` runs a function
-over files as a stream with ``availableNow`` and returns what its sink got.
+over files as a stream with ``availableNow`` and returns what it has written.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch
+
 
 def with_time(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     return events.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", delay)
@@ -42,10 +43,18 @@ def with_static(events: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def replay(spark: SparkSession, path: str, function: Callable[[DataFrame], DataFrame], mode: str = "complete") -> DataFrame:
+    """What a stream over the files has put out once all are read. Each batch is a table in the shared
+    folder (in complete mode one, written anew), so a batch that is done again after a failure
+    replaces itself; offsets and state are there too."""
     schema = spark.read.parquet(path).schema
     folder, _, name = path.rpartition("/")
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path) if not name.endswith(".parquet") else spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
-    sink = f"s{uuid.uuid4().hex}"
-    run = function(stream).writeStream.format("memory").queryName(sink).outputMode(mode).trigger(availableNow=True).start()
+    out, at = function(stream), scratch(spark, "stream")
+
+    def put(batch: DataFrame, k: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{at}/rows/{'all' if mode == 'complete' else f'batch-{k}'}")
+
+    run = out.writeStream.foreachBatch(put).option("checkpointLocation", f"{at}/state").outputMode(mode).trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.table(sink)
+    written = spark.read.schema(out.schema).option("recursiveFileLookup", True)
+    return written.parquet(f"{at}/rows") if run.lastProgress else spark.createDataFrame([], out.schema)
