@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import NAME, SPACE, bind, matches, needed, strip
+from .text import SPACE, bind, matches, needed, strip
 
 # fixed values: what each special token stands for, in the order in which texts are rewritten
 SPECIAL = [
@@ -57,13 +57,21 @@ def renamed(c: Column) -> Column:
     c = F.regexp_replace(c, r"(?s)/\*.*?\*/", "")
     c = F.regexp_replace(c, f"{SPACE}+", " ")
 
-    def joined(text: Column, names: Column, distinct: Column) -> Column:
-        gaps = F.split(text, NAME, -1)
-        numbered = F.transform(names, lambda x, i: F.concat(F.lit("var_"), (F.array_position(distinct, x) - 1).cast("string"), F.get(gaps, i + 1)))
-        return F.concat(F.get(gaps, F.lit(0)), F.array_join(numbered, ""))
+    return F.lower(strip(F.pandas_udf(_numbered, "string")(c)))
 
-    out = bind(c, lambda t: bind(F.regexp_extract_all(t, F.lit(NAME), F.lit(0)), lambda n: bind(F.array_distinct(n), lambda d: joined(t, n, d))))
-    return F.lower(strip(out))
+
+IDENTIFIER = re.compile(r"\b[a-zA-Z_][a-zA-Z0-9_]*\b")
+
+
+def _numbered(texts: pd.Series) -> pd.Series:
+    """Identifiers by first occurrence, one dictionary a text: arrays in the JVM would be searched anew
+    for every word, which long texts do not bear."""
+
+    def number(text: str) -> str:
+        known: dict[str, str] = {}
+        return IDENTIFIER.sub(lambda m: known.setdefault(m[0], f"var_{len(known)}"), text)
+
+    return pd.Series([None if t is None else number(t) for t in texts], dtype="object")
 
 
 def extract_function(completion: str, entry_point: str) -> str:

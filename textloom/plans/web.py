@@ -237,10 +237,12 @@ def _special(x: str) -> str:
 
 
 _RENAMED = f"""WITH {CONTENTS}, a AS (SELECT src, id, regexp_replace(regexp_replace(regexp_replace(content, {D.q('//.*?' + chr(92) + 'n')}, chr(10), 'g'), {D.q(r'(?s)/\*.*?\*/')}, '', 'g'), {D.q(D.SPACE + '+')}, ' ', 'g') AS x FROM c),
-b AS (SELECT src, id, {D.tokens('x')} AS t, string_split_regex(x, {D.q(D.TOKEN)}) AS gaps FROM a),
-n AS (SELECT *, list_filter(t, lambda y: regexp_full_match(y, '[a-zA-Z_][a-zA-Z0-9_]*')) AS ids FROM b),
-d AS (SELECT *, list_filter(ids, lambda y, i: list_position(ids, y) = i) AS firsts FROM n)
-SELECT src, id, sha256(lower({D.strip("gaps[1] || array_to_string(list_transform(t, lambda y, i: CASE WHEN regexp_full_match(y, '[a-zA-Z_][a-zA-Z0-9_]*') THEN 'var_' || (list_position(firsts, y) - 1) ELSE y END || gaps[i + 1]), '')")})) AS renamed FROM d"""
+b AS (SELECT src, id, x, {D.tokens('x')} AS t, string_split_regex(x, {D.q(D.TOKEN)}) AS gaps FROM a),
+u AS (SELECT src, id, unnest(t) AS y, unnest(range(1, len(t) + 1)) AS i, unnest(gaps[2:]) AS gap FROM b),
+f AS (SELECT *, regexp_full_match(y, '[a-zA-Z_][a-zA-Z0-9_]*') AS own, min(i) OVER (PARTITION BY src, id, y) AS first FROM u),
+k AS (SELECT *, CASE WHEN own THEN 'var_' || (dense_rank() OVER (PARTITION BY src, id, own ORDER BY first) - 1) ELSE y END AS z FROM f),
+j AS (SELECT src, id, string_agg(z || gap, '' ORDER BY i) AS s FROM k GROUP BY src, id)
+SELECT b.src, b.id, sha256(lower({D.strip("gaps[1] || coalesce(s, '')")})) AS renamed FROM b LEFT JOIN j ON b.src = j.src AND b.id = j.id"""
 
 
 def queries() -> dict[str, Query]:
