@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 # fixed values: metrics that are better when higher, in percent what counts as a regression, and severe
 HIGHER_IS_BETTER = ["accuracy", "pass_at_1", "tokens_per_second", "syntax_validity", "codebleu_score"]
 DROP, RISE, SEVERE_DROP, SEVERE_RISE = -5.0, 10.0, 10.0, 20.0
@@ -98,7 +100,8 @@ def zipped(predictions: DataFrame, references: DataFrame, key: str) -> DataFrame
 def _placed(df: DataFrame, key: str) -> DataFrame:
     """``place``: a row's number in the order of ``key``, from 0."""
     parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    rows = df.repartitionByRange(int(parts), key).sortWithinPartitions(key).withColumn("_part", F.spark_partition_id())
+    # a table, for ranges that are cut twice may be cut at other places
+    rows = written(df.repartitionByRange(int(parts), key).withColumn("_part", F.spark_partition_id()), "placed")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
     starts = rows.groupBy("_part").count().withColumn("_start", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
     own = F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip, words
+from ..functions.text import bind, strip, words
 
 # fixed values: what is removed from code, and the two rewrites of comments
 REMOVED = [r"//\s*TODO[^\n]*", r"/\*.*TODO.*\*/", r"console\.log[^\n]*", r"alert\([^\)]*\)", "debugger;"]
@@ -62,10 +62,12 @@ def answer_letter(text: Column) -> Column:
 
 def repetitive(text: Column) -> Column:
     """SCO28: some run of five words occurs more than twice as a substring."""
-    w = words(text)
-    runs = F.transform(F.sequence(F.lit(1), F.size(w) - 5), lambda i: F.array_join(F.slice(w, i, 5), " "))
-    often = F.exists(runs, lambda s: F.floor((F.length(text) - F.length(F.replace(text, s, F.lit("")))) / F.length(s)) > 2)
-    return F.when(F.size(w) < 10, False).otherwise(often)
+
+    def often(w: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.size(w) - 5), lambda i: F.array_join(F.slice(w, i, 5), " "))
+        return F.exists(runs, lambda s: F.floor((F.length(text) - F.length(F.replace(text, s, F.lit("")))) / F.length(s)) > 2)
+
+    return bind(words(text), lambda w: F.when(F.size(w) < 10, False).otherwise(often(w)))
 
 
 def unit_gate(score: Column, key: Column) -> Column:

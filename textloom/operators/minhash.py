@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import words
+from ..functions.text import bind, words
 from ..session import written
 
 BANDS, ROWS = 16, 8
@@ -29,9 +29,13 @@ PRIME, FACTORS = 4294967291, 1073741789
 
 def shingles(text: Column, width: int) -> Column:
     """Distinct runs of words."""
-    w = words(F.lower(F.coalesce(text, F.lit(""))))
-    runs = F.transform(F.sequence(F.lit(1), F.size(w) - width + 1), lambda i: F.array_join(F.slice(w, i, width), " "))
-    return F.array_distinct(F.when(F.size(w) == 0, F.array().cast("array<string>")).when(F.size(w) < width, F.array(F.array_join(w, " "))).otherwise(runs))
+
+    def runs(w: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(w) - width + 1), lambda i: F.array_join(F.slice(w, i, width), " "))
+        short = F.when(F.size(w) == 0, F.array().cast("array<string>")).when(F.size(w) < width, F.array(F.array_join(w, " ")))
+        return F.array_distinct(short.otherwise(each))
+
+    return bind(words(F.lower(F.coalesce(text, F.lit("")))), runs)
 
 
 def permuted(h: Column, k: Column) -> Column:

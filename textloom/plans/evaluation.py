@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import language as L
@@ -179,10 +179,9 @@ def win2(s: SparkSession, d: str, every: int = 10_000) -> DataFrame:
     events in order of time, a duplicate being a (user, type, hour) seen before. Places come from
     counts of ranges, running sums from one row a step."""
     t = table(s, d, "events").select("event_id", "user_id", "event_type", F.date_trunc("hour", "ts").alias("hour"))
-    first = t.groupBy("user_id", "event_type", "hour").agg(F.min("event_id").alias("event_id")).select("event_id", F.lit(0).alias("dup"))
-    placed = E._placed(t.join(first, "event_id", "left").select("event_id", F.coalesce("dup", F.lit(1)).alias("dup")), "event_id")
-    from pyspark.sql import Window
-
+    group = ["user_id", "event_type", "hour"]
+    again = t.join(t.groupBy(group).agg(F.min("event_id").alias("first")), group).select("event_id", (F.col("event_id") != F.col("first")).cast("int").alias("dup"))
+    placed = E._placed(again, "event_id")
     steps = placed.groupBy(F.ceil(F.col("place") / every).cast("long").alias("step")).agg(F.sum("dup").alias("d"), F.count("*").alias("n"), F.max("place").alias("place"))
     so_far = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)  # a row a step
     out = steps.select("place", F.round(F.sum("d").over(so_far) / F.sum("n").over(so_far), 6).alias("rate"))
