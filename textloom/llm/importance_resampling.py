@@ -74,14 +74,14 @@ def crc(features: pa.ChunkedArray | pa.Array) -> pa.Array:
     return pa.array(np.fromiter((of(raw[a:b]) for a, b in zip(at, at[1:], strict=False)), np.int64, len(features)))
 
 
-def parts(text: str) -> Iterator[tuple[str, bool]]:
+def parts(text: str, most: int = PART) -> Iterator[tuple[str, bool]]:
     """A text in parts that end between words; True where the last word before leads a part."""
-    if len(text) * 4 <= PART or len(raw := text.encode()) <= PART:
+    if len(text) * 4 <= most or len(raw := text.encode()) <= most:
         yield text, False
         return
     at, lead = 0, b""
     while at < len(raw):
-        cut = NO_WORD.search(raw, at + PART)
+        cut = NO_WORD.search(raw, at + most)
         end = cut.end() if cut else len(raw)
         yield (lead + b" " + raw[at:end]).decode() if lead else raw[at:end].decode(), bool(lead)
         kinds = raw[at:end].translate(KINDS).rstrip(b" ")
@@ -90,7 +90,7 @@ def parts(text: str) -> Iterator[tuple[str, bool]]:
         at = end
 
 
-def counted(batches: Iterator[pa.RecordBatch], buckets: int = BUCKETS) -> Iterator[pa.RecordBatch]:
+def counted(batches: Iterator[pa.RecordBatch], buckets: int = BUCKETS, part: int = PART) -> Iterator[pa.RecordBatch]:
     """Counts of a partition's rows (id, text) by bucket; a row of the result for each row and part."""
     import duckdb
 
@@ -115,7 +115,7 @@ def counted(batches: Iterator[pa.RecordBatch], buckets: int = BUCKETS) -> Iterat
     for batch in batches:
         for b in slices(batch, 1, SLICE):
             for i, t in zip(b.column(0), b.column(1), strict=True):
-                for text, led in parts(t.as_py() or ""):
+                for text, led in parts(t.as_py() or "", part):
                     if led:
                         yield flush()
                         held = []
@@ -125,10 +125,10 @@ def counted(batches: Iterator[pa.RecordBatch], buckets: int = BUCKETS) -> Iterat
             held = []
 
 
-def bucket_counts(docs: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS) -> DataFrame:
+def bucket_counts(docs: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS, part: int = PART) -> DataFrame:
     """COUNTS of each text, as a table in the shared folder."""
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col))
-    return written(rows.mapInArrow(lambda batches: counted(batches, buckets), COUNTS), "bucket-counts")
+    return written(rows.mapInArrow(lambda batches: counted(batches, buckets, part), COUNTS), "bucket-counts")
 
 
 def merged(counts: DataFrame) -> DataFrame:
@@ -154,11 +154,11 @@ def noise(id_col: Column, seed: int) -> Column:
     return F.floor(-1000.0 * F.log(-F.log((h + 0.5) / 4294967296.0)))
 
 
-def resample(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", target_id: str = "item_id", target_text: str = "text", percent: int = 25, least_words: int = 20, seed: int = 7, buckets: int = BUCKETS) -> DataFrame:
+def resample(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", target_id: str = "item_id", target_text: str = "text", percent: int = 25, least_words: int = 20, seed: int = 7, buckets: int = BUCKETS, part: int = PART) -> DataFrame:
     """doc_id, n_features, weight, score, rank of every document: of the N with ``least_words`` or
     more, floor(percent * N / 100) are drawn."""
-    counts = bucket_counts(docs, id_col, text_col, buckets)
-    gain = written(gains(merged(counts), merged(bucket_counts(target, target_id, target_text, buckets)), buckets), "gains")
+    counts = bucket_counts(docs, id_col, text_col, buckets, part)
+    gain = written(gains(merged(counts), merged(bucket_counts(target, target_id, target_text, buckets, part)), buckets), "gains")
     summed = F.aggregate(F.arrays_zip("buckets", "counts"), F.lit(0).cast("long"), lambda a, x: a + F.get("gains", x["buckets"]) * x["counts"])
     part = counts.crossJoin(F.broadcast(gain)).select("row", "id", "n_words", "n_features", summed.alias("total"))  # one row of gains
     whole = part.groupBy("row").agg(F.first("id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n_words", "n_features", "total")))
