@@ -1,7 +1,9 @@
 """Operators and registered queries in a session: oracles, brute force, odd rows."""
 
+import inspect
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -274,6 +276,40 @@ def test_lm_on_few_and_many_buckets(spark, lm_pairs, monkeypatch):
         assert got == {k: pytest.approx(x, abs=1e-6) for k, x in enumerate(exact)}
 
 
+def test_only_a_hot_shard_is_copied(spark):
+    """A line of all rows asks for copies of its own shard, not of all."""
+    visits = spark.range(10_000).select(F.when(F.col("id") < 9_000, 3).otherwise(F.col("id") % 40).alias("shard"), F.col("id").alias("h1"), F.col("id").alias("h2"), F.col("id").alias("doc"), F.lit(0).cast("long").alias("text"))
+    index = spark.range(40).select(F.col("id").alias("shard"), F.lit(b"x").alias("bytes"))
+    dealt, copies = line_dedup._dealt(visits, index, most=500)
+    assert {r.shard: r["count"] for r in copies.groupBy("shard").count().collect()} == {k: 19 if k == 3 else 1 for k in range(40)}
+    met = dealt.join(copies, ["shard", "salt"]).groupBy("shard", "salt").count().collect()
+    assert sum(r["count"] for r in met) == 10_000 and max(r["count"] for r in met) < 700
+
+
+def test_token_files_split_rows_of_one_id(spark, tmp_path):
+    docs = spark.createDataFrame([(None if k % 3 == 0 else 7 if k % 3 == 1 else k, f"text {k} " * 20) for k in range(3000)], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").collect()
+    files = token_file.write_token_files(docs, str(tmp_path)).collect()
+    assert max(f.n_docs for f in files) < 1200 and sum(f.n_docs for f in files) == 3000
+    out = token_file.read_token_files(spark, str(tmp_path), spark.createDataFrame(files)).orderBy("start").collect()
+    assert [r.doc_id for r in out] == sorted((r.doc_id for r in rows), key=lambda i: (i is not None, i or 0))
+
+
+def test_lm_beyond_the_buckets_that_a_table_may_have(spark, lm_pairs, monkeypatch):
+    """A file holds the slices of several buckets; nothing stays in the catalogue."""
+    docs, exact = lm_pairs
+    monkeypatch.setattr(lm_scoring, "buckets_for", lambda df, each: 40)
+    before = spark.conf.get("spark.sql.sources.bucketing.maxBuckets")
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "3")
+    try:
+        got = {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.lit(False), head_words=1, filter_bytes=0, event_bits=64).collect()}
+    finally:
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", before)
+    assert got == {k: pytest.approx(x, abs=1e-6) for k, x in enumerate(exact)}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("textloom")]
+    assert lm_scoring.Trained(docs.select("text"), 1, 0, event_bits=64).bloom is None
+
+
 def test_lm_on_odd_rows(odd, nothing):
     assert lm_scoring.score_texts(odd, F.col("doc_id") == 4).count() == len(ODD)
     assert {r.score for r in lm_scoring.score_texts(odd, F.lit(True)).collect()} == {0.0}
@@ -389,6 +425,27 @@ def test_clashing_columns(spark, clash):
         assert sorted(r.doc_id for r in out.collect()) == list(range(6))
 
 
+@pytest.mark.parametrize("hosts", [100_000, -1])
+def test_no_name_inside_the_stages_can_clash(spark, sf, hosts):
+    """Extra columns with every name that the stages' modules spell out pass through unchanged."""
+    import corpus_pipeline
+
+    modules = (quality_rules, line_dedup, ngram_jaccard, components, decontaminate, corpus_pipeline)
+    own = {n.lower() for m in modules for n in re.findall(r"""["'](\w+)["']""", inspect.getsource(m))} - {"doc_id", "text", "source", "n_chars"}
+    names = sorted(n for n in own if not n.isdigit()) + ["a.b", "c`d"]
+    assert "bad_host" in names and "bad_salt" in names
+    words = " ".join(f"w{k}" for k in range(60))
+    rows = [(k, f"{words} x{k // 2}", "s", *(f"{n}-{k}" for n in names)) for k in range(6)]
+    kind = "struct<doc_id: bigint, text: string, source: string, " + ", ".join(f"`{n.replace('`', '``')}`: string" for n in names) + ">"
+    docs = spark.createDataFrame(rows, kind)
+    stages = [lambda d: quality_rules.kept_documents(d, broadcast_hosts=hosts), *(lambda d, f=f: f(spark, d, sf) for _, f in corpus_pipeline.STAGES[1:-1])]
+    for stage in stages:
+        out = stage(docs)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert got and all(tuple(r)[3:] == tuple(f"{n}-{r[0]}" for n in names) for r in got)
+
+
 def test_odd_rows_by_value(spark, odd):
     by = lambda rows, *names: sorted((tuple(r[n] for n in names) for r in rows), key=str)
     counts = by(token_counts.token_counts(odd).collect(), "doc_id", "n_bytes", "over_limit")

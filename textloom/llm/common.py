@@ -31,10 +31,20 @@ def buckets_for(df: DataFrame, each: int) -> int:
 
 def written_by(df: DataFrame, what: str, key: str, buckets: int) -> DataFrame:
     """As ``written``, in files by bucket of ``key``: where rows meet by that key later, these need
-    no shuffle."""
-    path, name = scratch(df.sparkSession, what), f"textloom_{uuid.uuid4().hex}"
-    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
-    return df.sparkSession.table(name)
+    no shuffle. There are as many buckets as Spark lets a table have, at most. The name that the
+    table needs while it is read in goes again; its files stay until ``clear_scratch``."""
+    spark = df.sparkSession
+    path, name = scratch(spark, what), f"textloom_{uuid.uuid4().hex}"
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    df.write.format("parquet").bucketBy(min(buckets, most), key).option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it whole, whatever characters are in it."""
+    return f"`{name.replace('`', '``')}`"
 
 
 def whole_text(column: str = "text"):

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import quoted
+
 BLOCK_CHARS = 16 << 20
 #: Bytes of texts searched at a time, and the bits of the table of first bytes.
 CHUNK, TABLE_BITS = 16 << 20, 22
@@ -248,14 +250,16 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", error_rate: float = 0.1, min_chars: int = 50) -> DataFrame:
     """The rows of ``docs`` that hold no item of at least ``min_chars`` characters."""
-    at = docs.columns.index(text_col)
+    # the other columns are one, so any names go through
+    others = F.struct(*(F.col(quoted(c)) for c in docs.columns if c != text_col)).alias("own")
+    rows = docs.select(F.col(quoted(text_col)).alias("text"), others if len(docs.columns) > 1 else F.lit(None).cast("string").alias("own"))
     for block in _blocks(items, item_col, item_text_col):
         shared, key = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared, key=key) -> Iterator[pa.RecordBatch]:
             find = _searcher(shared, key, error_rate, min_chars).find
             for b in batches:
-                yield b.filter(pa.array([not found for found in find(b.column(at), first=True)], pa.bool_()))
+                yield b.filter(pa.array([not found for found in find(b.column(0), first=True)], pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+        rows = rows.mapInArrow(keep, rows.schema)
+    return rows.select(*((F.col("text") if c == text_col else F.col("own").getField(c)).alias(c) for c in docs.columns))

@@ -195,14 +195,20 @@ def dedup_lines(
     return _visiting(docs, index, shards, id_col, text_col, min_chars, schema)
 
 
+def _dealt(visits: DataFrame, index: DataFrame, most: int = VISITS) -> tuple[DataFrame, DataFrame]:
+    """Visits and shards with a salt: a shard has a copy for every ``most`` visits of its own."""
+    salts = written(visits.groupBy("shard").agg(F.ceil(F.count("*") / most).cast("int").alias("salts")), "shard-salts")
+    busy = visits.join(salts.where("salts > 1"), "shard", "left")
+    salt = F.pmod(F.xxhash64("h1", "doc", "text"), F.coalesce("salts", F.lit(1))).cast("int")
+    copies = index.join(salts, "shard").select("shard", "bytes", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    return busy.select("shard", salt.alias("salt"), "h1", "h2", "doc", "text"), copies
+
+
 def _visiting(docs: DataFrame, index: DataFrame, shards: int, id_col: str, text_col: str, min_chars: int, schema: T.StructType) -> DataFrame:
     """As above where the index is too large to send: line hashes visit the shards, and what is
     dropped comes back to its document by the id and the text."""
     visits = written(_line_keys(docs, id_col, text_col, min_chars).withColumn("shard", F.pmod("h2", F.lit(shards))), "line-visits")
-    most = visits.groupBy("shard").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-    salts = max(1, math.ceil(most / VISITS))
-    visits = visits.withColumn("salt", F.pmod(F.xxhash64("h1", "doc", "text"), F.lit(salts)).cast("int"))
-    copies = index.select("shard", "bytes", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    visits, copies = _dealt(visits, index)
 
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
         h1, h2, doc, text = (left[c].to_numpy() for c in ("h1", "h2", "doc", "text"))

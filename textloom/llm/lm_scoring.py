@@ -114,9 +114,11 @@ def _distinct_pairs(found: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.n
     return before, pair_at, codes // len(found), codes % len(found)
 
 
-def _cuts(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def _cuts(bucket: np.ndarray) -> tuple[np.ndarray, list[int], np.ndarray]:
+    """The order by bucket, the buckets that occur, and where each begins in that order, and the end."""
     order = np.argsort(bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+    some, first = np.unique(bucket[order], return_index=True)
+    return order, some.tolist(), np.concatenate((first, [len(bucket)]))
 
 
 COUNTED = "kind int, bucket int, a binary, b binary, c binary, d binary"
@@ -164,19 +166,19 @@ def count_grams(texts: DataFrame, buckets: int, event_bits: int) -> tuple[DataFr
         for b in (part for whole in batches for part in slices(whole, 0, COUNTED_CHUNK)):
             tokens, _ = _tokens(b.column(0))
             found, at, counts = np.unique(tokens, return_inverse=True, return_counts=True)
-            order, cuts = _cuts(word_bucket(found, buckets), buckets)
+            order, some, cuts = _cuts(word_bucket(found, buckets))
             keys, counts = found[order], counts[order]
-            yield _packed([(1, k, keys[i:j].tobytes(), _planes(counts[i:j]), None, None) for k, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i])
+            yield _packed([(1, k, keys[i:j].tobytes(), _planes(counts[i:j]), None, None) for k, i, j in zip(some, cuts[:-1], cuts[1:], strict=True)])
             before = np.concatenate((np.searchsorted(found, [END]), at[:-1]))
             codes, counts = np.unique(before * len(found) + at, return_counts=True)
             del tokens, at, before
             first = codes // len(found)
             bucket, keys = pair_place(found[first], found[codes % len(found)], buckets)
-            order, cuts = _cuts(bucket, buckets)  # within a bucket by first word
+            order, some, cuts = _cuts(bucket)  # within a bucket by first word
             bucket, first, keys, counts = bucket[order], first[order], keys[order], counts[order]
             runs = np.flatnonzero(np.concatenate(([True], (first[1:] != first[:-1]) | (bucket[1:] != bucket[:-1]))))
             sizes, heads, ends = np.diff(np.concatenate((runs, [len(first)]))), found[first[runs]] & KEY, np.searchsorted(runs, cuts)
-            yield _packed([(2, k, _short(heads[ends[k] : ends[k + 1]]), _planes(sizes[ends[k] : ends[k + 1]]), _short(keys[i:j]), _planes(counts[i:j])) for k, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i])
+            yield _packed([(2, k, _short(heads[x:y]), _planes(sizes[x:y]), _short(keys[i:j]), _planes(counts[i:j])) for k, i, j, x, y in zip(some, cuts[:-1], cuts[1:], ends[:-1], ends[1:], strict=True)])
 
     def add(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, bucket, sums = key[0].as_py(), key[1].as_py(), _Sums()
@@ -194,9 +196,9 @@ def count_grams(texts: DataFrame, buckets: int, event_bits: int) -> tuple[DataFr
         yield _packed([(2, bucket, LogBloom.segment(keys, level, event_bits), None, None, None)])
         first, of = np.unique(heads[0], return_inverse=True)
         left = np.bincount(of, 1 << (level - 1)).astype(np.int64)
-        order, cuts = _cuts(word_bucket(first, buckets), buckets)  # of FAN buckets at most
+        order, some, cuts = _cuts(word_bucket(first, buckets))  # of FAN buckets at most
         first, left = first[order], left[order]
-        yield _packed([(3, int(k), first[cuts[k] : cuts[k + 1]].tobytes(), left[cuts[k] : cuts[k + 1]].tobytes(), None, None) for k in np.flatnonzero(np.diff(cuts))])
+        yield _packed([(3, k, first[i:j].tobytes(), left[i:j].tobytes(), None, None) for k, i, j in zip(some, cuts[:-1], cuts[1:], strict=True)])
 
     def meet(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {1: _Sums(), 3: _Sums()}
@@ -305,11 +307,11 @@ class Trained:
         order = np.argsort(columns[0].view(U))
         self.head = columns[0].view(U)[order], columns[1][order], columns[2][order]
         self.whole_head = held == self.v
-        lengths = {r.bucket: r.n for r in self.pairs.select("bucket", F.length("bits").alias("n")).collect()}  # a number a bucket
+        size = self.pairs.agg(F.sum(F.length("bits"))).first()[0] or 0
         # all of the filter or nothing: scores of a larger corpus then cost what they cost of a smaller one
-        self.near = self.buckets if sum(lengths.values()) <= filter_bytes else 0
-        near = self.pairs.where(F.col("bucket") < self.near).collect()  # filter_bytes at most
-        self.bloom = LogBloom(self.buckets, {r.bucket: bytes(r.bits) for r in near})
+        self.near = self.buckets if max(size, 8 * self.buckets) <= filter_bytes else 0
+        # filter_bytes at most
+        self.bloom = LogBloom(self.buckets, {r.bucket: bytes(r.bits) for r in self.pairs.collect()}) if self.near else None
 
 
 def score_texts(
@@ -385,9 +387,9 @@ def score_texts(
         lacking = np.flatnonzero(c < 0)
         away = np.flatnonzero(bucket >= near)
         for kind, mine, at in ((1, lacking, word_bucket(found[lacking], buckets)), (2, away, bucket[away])):
-            order, cuts = _cuts(at, buckets)
-            for k in np.flatnonzero(np.diff(cuts)).tolist():
-                some = mine[order[cuts[k] : cuts[k + 1]]]
+            order, there, cuts = _cuts(at)
+            for k, i, j in zip(there, cuts[:-1], cuts[1:], strict=True):
+                some = mine[order[i:j]]
                 yield kind, k, some, found[some].tobytes() if kind == 1 else _short(keys[some])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -421,8 +423,7 @@ def score_texts(
     def finish(texts: pa.Table, answers: pa.Table) -> pa.Table:
         t = {k: texts[k][0] for k in texts.column_names}  # a slice is one row
         found, c, s, at, before, pair_at, bucket, keys = opened(t["words"], t["places"], t["n"].as_py())
-        level, mine = np.zeros(len(keys), np.uint8), bucket < near
-        level[mine] = shared.value.levels(bucket[mine], keys[mine])
+        level = shared.value.levels(bucket, keys) if near else np.zeros(len(keys), np.uint8)
         told = {(k.as_py(), b.as_py()): x for k, b, x in zip(answers["kind"], answers["bucket"], answers["values"], strict=True)}
         for kind, k, place, _ in far(found, c.copy(), bucket, keys):
             if kind == 1:

@@ -373,8 +373,8 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     rows = every.where(F.col("gram").isNull()).select("doc_id", "h", "n", "set")
     least = max(COMMON_LEAST, rows.count() // COMMON_SHARE)
     often = every.where(F.col("gram").isNotNull()).groupBy("gram").agg(F.sum("times").alias("times")).where(F.col("times") >= least)
-    often = often.orderBy(F.desc("times"), "gram").limit(COMMON_MOST).select("gram").collect()  # 8 bytes each
-    common = spark.sparkContext.broadcast(np.sort(np.array([r.gram for r in often], np.int64).view(U)))
+    often = often.orderBy(F.desc("times"), "gram").limit(COMMON_MOST).select("gram").toArrow()  # 8 bytes each
+    common = spark.sparkContext.broadcast(np.sort(often["gram"].to_numpy().astype(np.int64).view(U)))
     place = F.coalesce("doc_id", F.lit(LAST)).alias("at")
     first = F.min(F.struct(place, "h"))
     sets = every.where(F.col("set").isNotNull()).groupBy("set", "n").agg(first.alias("first"), F.first("point").alias("point")).select("set", "n", "first.at", "first.h", "point")

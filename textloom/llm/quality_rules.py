@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, whole_text, written
+from .common import WS, quoted, whole_text, written
 
 SPLIT = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
@@ -114,12 +114,14 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined. Texts are measured twice, once for the hosts and once for the row, and not shuffled
     but where more than ``broadcast_hosts`` hosts are condemned.
     """
-    failed = _bind(_words(whole_text(text_col)), lambda w: (F.size(w) < min_words) | (100 * _repeats(w) > repeat_percent * F.size(w)))
-    rows = written(docs.select(F.col(host_col).alias("host"), failed.alias("base_failed")), "rules")
-    bad = written(condemned_hosts(rows, host_rate, host_sigmas).select(F.col("host").alias("_bad_host")), "bad-hosts")
-    passed, same = docs.where(~failed), docs[host_col] == F.col("_bad_host")
+    # the user's columns are one, so no name of theirs meets one of ours
+    own = docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("own"), *(F.col(quoted(c)).alias(n) for c, n in ((id_col, "id"), (text_col, "text"), (host_col, "host"))))
+    failed = _bind(_words(whole_text("text")), lambda w: (F.size(w) < min_words) | (100 * _repeats(w) > repeat_percent * F.size(w)))
+    rows = written(own.select("host", failed.alias("base_failed")), "rules")
+    bad = written(condemned_hosts(rows, host_rate, host_sigmas).select(F.col("host").alias("bad_host")), "bad-hosts")
+    passed, same = own.where(~failed), F.col("host") == F.col("bad_host")
     if bad.count() <= broadcast_hosts:
-        return passed.join(F.broadcast(bad), same, "left_anti")  # at most broadcast_hosts names
-    salted = bad.withColumn("_bad_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    own = F.pmod(F.xxhash64(docs[id_col], docs[text_col]), F.lit(SALTS)).cast("int")
-    return passed.join(salted, same & (own == F.col("_bad_salt")), "left_anti")
+        return passed.join(F.broadcast(bad), same, "left_anti").select("own.*")  # at most broadcast_hosts names
+    salted = bad.withColumn("bad_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("id", "text"), F.lit(SALTS)).cast("int")
+    return passed.join(salted, same & (salt == F.col("bad_salt")), "left_anti").select("own.*")

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch, written
+from .common import buckets_for, scratch, written
 from .word_tokens import vocabulary_path, word_ids
 
 MAGIC, BLOCK = b"S8BTOK01", 1024
@@ -36,6 +36,8 @@ MAGIC, BLOCK = b"S8BTOK01", 1024
 KINDS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 ESCAPE = 15
 FILE_IDS = 4 << 20
+#: Bytes of the input that a task encodes.
+RANGE_BYTES = 128 << 20
 U = np.uint64
 
 
@@ -156,7 +158,7 @@ def _store(folder: str):
 def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
     """Writes all documents' ids below ``folder``; returns name, n_docs, n_ids and start of each file."""
     spark, path = docs.sparkSession, vocabulary or vocabulary_path()
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = buckets_for(docs, RANGE_BYTES)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part, seq, attempt = word_ids(path), TaskContext.get().partitionId(), 0, uuid.uuid4().hex
@@ -187,7 +189,9 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
         flush()
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in done], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.int64()))], names=["name", "n_docs", "n_ids"])
 
-    ordered = docs.select(F.col(id_col).cast("long"), text_col).repartitionByRange(parts, F.col(id_col).asc_nulls_first()).sortWithinPartitions(F.col(id_col).asc_nulls_first())
+    # rows without an id, or with one id, may fill several ranges
+    order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
+    ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).repartitionByRange(parts, *order).sortWithinPartitions(*order)
     files = written(ordered.mapInArrow(write, "name string, n_docs long, n_ids long"), "token-files")
     before = Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
