@@ -22,8 +22,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in one of them; ``n_chars`` is counted anew."""
-    kept = line_dedup.dedup_lines(docs).select(*(f"`{c}`" for c in docs.columns))
-    return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
+    others = [c for c in docs.columns if c != "text"]
+    own = F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in others)).alias("own")  # no name in it clashes
+    kept = line_dedup.dedup_lines(docs.select("doc_id", "text", own))
+    n = F.length("text").cast("long")
+    return kept.select(*((F.col("text") if c == "text" else n if c == "n_chars" else F.col("own").getField(c)).alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
