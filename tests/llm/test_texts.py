@@ -128,9 +128,9 @@ def coder():
     return piece_encoding.PieceCoder(piece_encoding.vocabulary_path())
 
 
-@pytest.mark.parametrize(("window", "part"), [(1 << 16, 1 << 18), (8, 3)])
-def test_pieces_equal_the_library(coder, monkeypatch, window, part, sf):
-    monkeypatch.setattr(piece_encoding, "WINDOW", window)
+@pytest.mark.parametrize(("most", "part"), [(400_000, 1 << 18), (50, 3)])
+def test_pieces_equal_the_library(coder, monkeypatch, most, part, sf):
+    monkeypatch.setattr(piece_encoding, "MOST_WORDS", most)
     monkeypatch.setattr(piece_encoding, "PART", part)
     coder.kept.clear()
     rng = random.Random(5)
@@ -151,7 +151,7 @@ def test_backtracking_is_needed_and_right(coder):
         text = "".join(rng.choice("etaoinshrdlu") for _ in range(12))
         greedy, at = [], 0
         while at < len(text):
-            piece = coder.longest(text, at, len(text))[0]
+            piece = next(coder.automaton.iter_long(text, at))[1]
             greedy.append(piece)
             at += len(piece)
         got = list(coder.cover(text))

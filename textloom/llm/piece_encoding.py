@@ -10,9 +10,8 @@ in a bitfield as one from which nothing goes on, and the piece before gives way.
 pieces suit is found by merging the two again, and remembered.
 
 No piece has U+2581 after another character, and none has a line feed, so the text between these
-is encoded by itself; encodings of short stretches are remembered (at most ``MOST_WORDS`` by each
-worker). A longer stretch is searched in windows of ``WINDOW`` characters, so memory besides its
-ids does not grow with it. Decoding is sentencepiece's own, in parts of ``PART`` ids: each part
+is encoded by itself; encodings of short stretches are remembered (at most twice ``MOST_WORDS`` by each
+worker). Decoding is sentencepiece's own, in parts of ``PART`` ids: each part
 after the first starts with an id that is taken off again, for a decoded text loses one leading
 space.
 
@@ -37,8 +36,7 @@ from .token_counts import vocabulary_path
 
 MARK = "▁"
 STRETCHES = re.compile(r"\n| *[^ \n]+| +").finditer
-MOST_WORDS, MOST_PAIRS = 300_000, 1_000_000
-WINDOW, PART = 1 << 16, 1 << 18
+MOST_WORDS, MOST_PAIRS, PART, WINDOW = 400_000, 1_000_000, 1 << 18, 256
 #: Bytes of text between two results of a worker.
 SLICE = 8 << 20
 
@@ -63,7 +61,8 @@ class PieceCoder:
         for p in self.pieces:
             self.automaton.add_word(p, p)
         self.automaton.make_automaton()
-        self.kept: dict[str, tuple[int, ...]] = {}
+        self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.suits: dict[tuple[str, str], bool] = {}
         self.beginning: dict[str, str] = {}
         self.first = self.pieces["a"]
@@ -95,47 +94,38 @@ class PieceCoder:
             self.beginning[piece] = out
         return out
 
-    def longest(self, text: str, start: int, end: int) -> list[str]:
-        """The longest piece from each place of a window; every character is one."""
-        out = [""] * (end - start)
-        for last, piece in self.automaton.iter(text, start, min(len(text), end + self.longest_piece)):
-            if (first := last + 1 - len(piece)) < end:
-                out[first - start] = piece  # ends come in order: a later one is longer
-        return out
-
     def cover(self, text: str) -> array:
-        """The ids of a text of which every character is a piece."""
-        n, pos, start, end = len(text), 0, 0, min(len(text), WINDOW)
+        """The ids of a text of which every character is a piece, so that a piece starts everywhere."""
+        n, pos, known = len(text), 0, 0
         suits, suit, beginning, shorter = self.suits.get, self.suit, self.beginning.get, self.shorter
-        out, failed, window = [""], bytearray(n // 8 + 1), self.longest(text, 0, end)
-        piece = window[0]
-        while True:
-            last = out[-1]
-            while piece:
-                at = pos + len(piece)
-                if not failed[at >> 3] >> (at & 7) & 1:
-                    if (fits := suits((last, piece))) is None:
-                        fits = suit(last, piece)
-                    if fits:
-                        break
-                if (less := beginning(piece)) is None:
-                    less = shorter(piece)
-                piece = less
-            if not piece:  # nothing goes on from here: the piece before gives way
-                failed[pos >> 3] |= 1 << (pos & 7)
-                piece = out.pop()
+        out, failed, piece, longest = [""], bytearray(n // 8 + 1), "", None
+        while pos < n:
+            if piece is not longest or pos >= known:  # the search so far has other matches, or has come to its window's end
+                matches = self.automaton.iter_long(text[pos : pos + WINDOW])
+                known = n if pos + WINDOW >= n else pos + WINDOW - self.longest_piece
+            piece = longest = next(matches)[1]
+            while True:
+                last = out[-1]
+                while piece:
+                    end = pos + len(piece)
+                    if not failed[end >> 3] >> (end & 7) & 1:
+                        if (fits := suits((last, piece))) is None:
+                            fits = suit(last, piece)
+                        if fits:
+                            break
+                    if (less := beginning(piece)) is None:
+                        less = shorter(piece)
+                    piece = less
+                if piece:
+                    break
+                failed[pos >> 3] |= 1 << (pos & 7)  # nothing goes on from here: the piece before gives way
+                piece, longest = out.pop(), None
                 pos -= len(piece)
-                continue
             out.append(piece)
-            pos = at
-            if pos == n:
-                return array("i", map(self.pieces.__getitem__, out[1:]))
-            if not start <= pos < end:
-                start, end = pos - pos % WINDOW, min(n, pos - pos % WINDOW + WINDOW)
-                window = self.longest(text, start, end)
-            piece = window[pos - start]
-
-    def stretch(self, text: str) -> tuple[int, ...] | array:
+            pos = end
+        return array("i", map(self.pieces.__getitem__, out[1:]))
+
+    def stretch(self, text: str) -> array:
         """The ids of a text between borders, spaces as U+2581."""
         if self.letters.issuperset(text):
             return self.cover(text)
@@ -152,21 +142,27 @@ class PieceCoder:
 
     def encode(self, text: str) -> Iterator[array]:
         """The ids of a whole text, in parts."""
-        part = array("i")
+        part, kept = bytearray(), self.kept
         for found in STRETCHES(f" {text.replace(MARK, ' ')}") if text else ():
             word = found.group()
-            if (ids := self.kept.get(word)) is None:
-                ids = self.stretch(word.replace(" ", MARK))
-                if len(word) <= 48:
-                    if len(self.kept) >= MOST_WORDS:
-                        self.kept.clear()
-                    self.kept[word] = ids
+            if (ids := kept.get(word)) is None:
+                kept = self.keep(word)
+                ids = kept[word] if word in kept else self.stretch(word.replace(" ", MARK)).tobytes()
             part += ids
-            if len(part) >= PART:
-                yield part
-                part = array("i")
+            if len(part) >= 4 * PART:
+                yield array("i", bytes(part))
+                part = bytearray()
         if part:
-            yield part
+            yield array("i", bytes(part))
+
+    def keep(self, word: str) -> dict[str, bytes]:
+        """The remembered stretches, with this one if it is short. Once they are ``MOST_WORDS`` they
+        become the older ones; those of these that come again are taken over."""
+        if len(word) <= 48:
+            if len(self.kept) >= MOST_WORDS:
+                self.kept, self.older = {}, self.kept
+            self.kept[word] = self.older.get(word) or self.stretch(word.replace(" ", MARK)).tobytes()
+        return self.kept
 
     def decode(self, parts: Iterator[array]) -> Iterator[str]:
         """The text of ids that come in parts; no part ends within a character's bytes."""
