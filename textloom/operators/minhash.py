@@ -53,6 +53,11 @@ def band_keys(docs: DataFrame, id_col: str, text_col: str, width: int = 5, bands
     return least.select("doc", "band", F.md5(F.concat_ws("-", *(F.col(f"m{j}").cast("string") for j in range(rows)))).alias("key"))
 
 
+def shingle_hashes(text: Column, width: int = 5) -> Column:
+    """The 32-bit hashes of a text's shingles, in an array."""
+    return F.transform(shingles(text, width), lambda s: F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("long"))
+
+
 def probe(docs: DataFrame, id_col: str, text_col: str, width: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """JON5: of every text with words the least id in any of its buckets, its own included."""
     keys = band_keys(docs, id_col, text_col, width, bands, rows)

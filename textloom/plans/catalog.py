@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import content, evaluation, pipelines, relational, rubrics, storage, web
+from . import content, evaluation, pipelines, relational, rubrics, storage, streams, web
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 FLAGSHIP = "agg7_funnel"
-PARTS = (content, relational, pipelines, rubrics, web, evaluation, storage)
+PARTS = (content, relational, pipelines, rubrics, web, evaluation, storage, streams)
 
 
 def queries() -> dict[str, Query]:
