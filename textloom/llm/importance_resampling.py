@@ -38,7 +38,7 @@ from .common import buckets_for, slices, written
 
 BUCKETS = 10_000
 #: Bytes of text that DuckDB takes at a time, and of a text's part; its memory besides the text.
-SLICE, PART, MEMORY = 4 << 20, 4 << 20, "400MB"
+SLICE, PART, MEMORY = 2 << 20, 2 << 20, "300MB"
 #: Bytes of scored rows that are numbered by one task (about 40 a row).
 RANGE_BYTES = 64 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
