@@ -8,7 +8,9 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import statistics as T
 from ..session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,8 +132,39 @@ def _query(sql: str) -> Query:
     return lambda spark, sf_dir: _widened(spark.sql(_spark_text(sql), **{n: table(spark, sf_dir, n) for n in names}))
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.length(F.coalesce("text", F.lit(""))).cast("double").alias("n"))
+
+
+def _latency(ps: list[float], *columns: str) -> Query:
+    return lambda s, d: T.rounded(T.described(table(s, d, "events"), ["event_type"], "value", ps).selectExpr("event_type", *columns))
+
+
+def agg3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = T.described(table(spark, sf_dir, "documents"), [], "n_chars")
+    whole = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    return d.select(whole("least").cast("long").alias("least"), whole("most").cast("long").alias("most"), F.round(whole("mean"), 6).alias("mean"), F.round(whole("p50"), 6).alias("median"))
+
+
+def agg4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = T.described(_texts(spark, sf_dir), [], "n", [0.5, 0.25, 0.75])
+    return T.rounded(d.select("mean", F.col("p50").alias("median"), "std", "least", "most", "p25", "p75"))
+
+
+#: Statistics with quantiles: operators on the main path, the SQL above is their oracle.
+OPERATORS: dict[str, Query] = {
+    "agg3_size": agg3,
+    "agg4_length_stats": agg4,
+    "agg8_iqr_outliers": lambda s, d: T.rounded(T.outliers(_texts(s, d), "n")),
+    "agg9_shape": lambda s, d: T.rounded(T.shape(_texts(s, d), "n")),
+    "agg26_latency": _latency([0.95], "mean", "p95", "try_divide(1000D, mean) AS throughput"),
+    "agg27_distribution": _latency([0.5, 0.95, 0.99], "mean", "p50 AS median", "p95", "p99", "least", "most", "std_samp AS std"),
+    "agg28_metric_stats": _latency([0.5, 0.9, 0.95, 0.99], "n", "mean", "std", "p50", "p90", "p95", "p99"),
+}
+
+
 def queries() -> dict[str, Query]:
-    return {k: _query(v) for k, v in SQL.items()}
+    return {k: _query(v) for k, v in SQL.items()} | OPERATORS
 
 
 def oracle_sql() -> dict[str, str]:
