@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dedup, funnel, generate
+from ..operators import dedup, funnel, generate, near_duplicates
 from ..session import table
 from ..streaming import metrics
 from . import content as K
@@ -119,6 +119,18 @@ def dup5_all(spark: SparkSession, sf_dir: str, at_a_time: int = QUERIES) -> Data
     return out
 
 
+#: All pairs that share a run of five words, exactly verified, and what can be reached over them.
+VERIFIED = """WITH RECURSIVE w AS (SELECT doc_id AS doc, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\\s+'), lambda x: x <> '') AS w FROM documents),
+r AS (SELECT doc, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS g FROM w),
+z AS (SELECT doc, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS same FROM r GROUP BY doc),
+c AS (SELECT same, min(doc) AS node, count(*) AS copies, any_value(n) AS n FROM z GROUP BY same),
+h AS (SELECT doc, hash(g) AS g FROM r WHERE doc IN (SELECT node FROM c)),
+p AS (SELECT a.doc AS u, b.doc AS v, count(*) AS shared FROM h a JOIN h b ON a.g = b.g AND a.doc <> b.doc GROUP BY a.doc, b.doc),
+l AS (SELECT u, v FROM p JOIN c x ON x.node = u JOIN c y ON y.node = v WHERE shared >= 0.8 * (x.n + y.n - shared)),
+t AS (SELECT node AS a, node AS b FROM c UNION SELECT t.a, l.v FROM t JOIN l ON l.u = t.b),
+f AS (SELECT a AS node, min(b) AS first FROM t GROUP BY a)
+SELECT d.doc_id AS doc, coalesce(f.first, d.doc_id) AS first, coalesce(c.copies, 1) AS copies FROM documents d LEFT JOIN z ON z.doc = d.doc_id LEFT JOIN c USING (same) LEFT JOIN f ON f.node = c.node"""
+
 _FUNNEL = f"""WITH {CONTENTS}, {K._FOUND},
 g AS (SELECT content, {{bank}} AS l, round({K._quality()}, 9) >= 0.7 AS q, round({K._syntax(True)}, 9) >= 0.8 AS s, round({K._coherence()}, 9) >= 0.6 AS c FROM f),
 k AS (SELECT *, CASE WHEN l AND q AND s AND c THEN sha256({_key('content')}) END AS key FROM g)
@@ -144,6 +156,7 @@ def queries() -> dict[str, Query]:
         "prj15_truncate_pad": prj15,
         "prj16_mcq_prompt": prj16,
         "dup1_keep_first": lambda s, d: dedup.keep_first(_keyed(s, d)).select("id", "copies"),
+        "dup1_verified_groups": lambda s, d: near_duplicates.groups(table(s, d, "documents")).select("doc", "first", "copies"),
         "dup3_groups": lambda s, d: dedup.duplicate_pairs(_keyed(s, d)),
         "dup5_embedding_neighbors": dup5_all,
         "agg7_funnel": lambda s, d: funnel.funnel(contents(s, d)),
@@ -177,6 +190,7 @@ UNION ALL SELECT conv_id, turn, 'code_to_comment', output, instruction FROM q UN
         "prj15_truncate_pad": PRJ15,
         "prj16_mcq_prompt": PRJ16,
         "dup1_keep_first": f"WITH {_KEYED} SELECT min(id) AS id, count(*) AS copies FROM k GROUP BY key",
+        "dup1_verified_groups": VERIFIED,
         "dup3_groups": f"WITH {_KEYED}, m AS (SELECT key, min(id) AS rep_id FROM k GROUP BY key) SELECT rep_id, id AS dup_id FROM k JOIN m USING (key) WHERE id <> rep_id",
         "dup5_embedding_neighbors": DUP5,
         "agg7_funnel": _FUNNEL.replace("{bank}", K._bank(False)),
