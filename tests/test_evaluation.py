@@ -146,8 +146,9 @@ def test_minhash_recall(spark):
 
 
 def test_questions_keep_the_right_option(spark):
-    right = {q[1]: q[2][q[3]] for q in synthesis.QUESTIONS}
-    rows = synthesis.questions(spark, 4).collect()
+    bank = [(1, "d", "q1", ["a", "b", "c", "d"], 2), (2, "d", "q2", ["x", "y"], 0)]
+    right = {q[2]: q[3][q[4]] for q in bank}
+    rows = synthesis.questions(spark.createDataFrame(bank, "id long, domain string, question string, options array<string>, answer int"), 4).collect()
     assert len(rows) == 4 * len(right) and all(r.options[r.answer] == right[r.question] for r in rows)
 
 
@@ -159,4 +160,4 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/dups").count() == 2
     report = io.phase_report({"a": stats, "b": stats.limit(0)}, {"quality": 0.9}, io.CorpusConfig(), 1.5, "2024-01-01 00:00:00")
     assert report["processing_statistics"]["total_processed"] == 1 and report["pipeline_summary"]["phases_completed"] == 2
-    assert mock.mock_rows(spark, 2, ["css", "zig"]).count() == 4
+    assert mock.mock_rows(spark.range(2), ["css", "zig"]).count() == 4

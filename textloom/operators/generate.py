@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import bind, strip, words
@@ -26,9 +26,9 @@ def weighted(u: Column, shares: dict[str, float]) -> Column:
     return out.otherwise(last)
 
 
-def templated(spark: SparkSession, n: int) -> DataFrame:
-    """GEN1: n rows of drawn difficulty and language, and an instruction made of them."""
-    rows = spark.range(n).withColumn("difficulty", weighted(draw(F.col("id"), "difficulty"), {"beginner": 0.3, "intermediate": 0.5, "advanced": 0.2}))
+def templated(rows: DataFrame) -> DataFrame:
+    """GEN1: for each id a drawn difficulty and language, and an instruction made of them."""
+    rows = rows.select("id").withColumn("difficulty", weighted(draw(F.col("id"), "difficulty"), {"beginner": 0.3, "intermediate": 0.5, "advanced": 0.2}))
     rows = rows.withColumn("language", weighted(draw(F.col("id"), "language"), {"javascript": 0.6, "typescript": 0.3, "css": 0.1}))
     return rows.withColumn("instruction", F.concat(F.lit("Write a "), "difficulty", F.lit(" "), "language", F.lit(" sample number "), F.col("id").cast("string")))
 

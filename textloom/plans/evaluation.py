@@ -212,12 +212,11 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*(F.round(F.col(c), 6).alias(c) if c in columns else F.col(c) for c in df.columns))
 
 
-GEN_ROWS = 500
 _OPS = lambda names: "list_filter([" + ", ".join(f"CASE WHEN {D.draw('i::VARCHAR', D.q(':' + n))} < 0.3 THEN {D.q(n)} END" for n in names) + "], lambda x: x IS NOT NULL)"
 _PICK = lambda values, salt: f"([{', '.join(map(D.q, values))}])[(floor({D.draw('i::VARCHAR', D.q(':' + salt))} * {len(values)}))::INT + 1]"
 _FUN = lambda x: f"contains({x}, 'function')"
 _C0, _C1, _K0, _K1 = (D.q(x) for x in (*synthesis.COMPLEX, *synthesis.CONSTRAINED))
-GEN2 = f"""WITH a AS (SELECT i, {_names(synthesis.EVOLVED, 'i')} AS base, {_OPS(synthesis.EVOLUTIONS)} AS ops FROM range({GEN_ROWS}) r(i)),
+GEN2 = f"""WITH a AS (SELECT i, {_names(synthesis.EVOLVED, 'i')} AS base, {_OPS(synthesis.EVOLUTIONS)} AS ops FROM (SELECT doc_id AS i FROM documents) r),
 b AS (SELECT *, CASE WHEN list_contains(ops, 'instruction_complexity_increase') AND {_FUN('base')} THEN {_C0} || trim(base) || {_C1} ELSE base END AS x FROM a),
 c AS (SELECT *, CASE WHEN list_contains(ops, 'output_elaboration') THEN array_to_string(list_transform(string_split(x, chr(10)), lambda l: CASE WHEN contains(l, 'return') THEN {D.q(synthesis.LOGGED)} || chr(10) || l ELSE l END), chr(10)) ELSE x END AS y FROM b),
 d AS (SELECT *, CASE WHEN list_contains(ops, 'task_clarification') AND {_FUN('y')} THEN {D.q(synthesis.CLARIFIED)} || y ELSE y END AS z FROM c)
@@ -229,7 +228,7 @@ def _renamed(x: str, k: int) -> str:
     return f"CASE WHEN length({n}) > 2 AND {n} NOT IN ({', '.join(map(D.q, synthesis.KEPT))}) THEN regexp_replace({x}, '\\b' || {n} || '\\b', left({n}, 1) || left(md5({n}), 4), 'g') ELSE {x} END"
 
 
-GEN3 = f"""WITH a AS (SELECT i, {_PICK(list(synthesis.MUTATED), 'language')} AS language, {_OPS(synthesis.MUTATIONS)} AS ops, {_PICK(synthesis.MUTATED['javascript'], 'seed')} AS js, {_PICK(synthesis.MUTATED['typescript'], 'seed')} AS ts FROM range({GEN_ROWS}) r(i)),
+GEN3 = f"""WITH a AS (SELECT i, {_PICK(list(synthesis.MUTATED), 'language')} AS language, {_OPS(synthesis.MUTATIONS)} AS ops, {_PICK(synthesis.MUTATED['javascript'], 'seed')} AS js, {_PICK(synthesis.MUTATED['typescript'], 'seed')} AS ts FROM (SELECT doc_id AS i FROM documents) r),
 b AS (SELECT *, CASE language WHEN 'javascript' THEN js ELSE ts END AS base FROM a), n AS (SELECT *, regexp_extract_all(base, '\\b[a-zA-Z_][a-zA-Z0-9_]*\\b') AS names FROM b),
 n0 AS (SELECT *, {_renamed('base', 0)} AS r0 FROM n), n1 AS (SELECT *, {_renamed('r0', 1)} AS r1 FROM n0), n2 AS (SELECT *, {_renamed('r1', 2)} AS r2 FROM n1),
 c AS (SELECT *, CASE WHEN list_contains(ops, 'variable_renaming') THEN r2 ELSE base END AS x FROM n2),
@@ -237,16 +236,28 @@ d AS (SELECT *, CASE WHEN list_contains(ops, 'function_modification') AND {_FUN(
 e AS (SELECT *, CASE WHEN list_contains(ops, 'syntax_variation') THEN regexp_replace(y, 'function\\s+(\\w+)\\s*\\([^)]*\\)\\s*\\{{', 'const \\1 = (\\1) => {{', 'g') ELSE y END AS z FROM d)
 SELECT i AS id, language, base, array_to_string(ops, ',') AS operations, sha256(CASE WHEN list_contains(ops, 'logic_optimization') THEN replace(z, 'for (', 'for (let i = 0; i < ') ELSE z END) AS content FROM e"""
 _DOMAIN = D.case(*((f"u < {t}", D.q(k)) for k, t in (("xml_configuration", 0.4), ("mdx_components", 0.7), ("react_hooks", 0.9))), other="'vue_templates'")
-GEN4 = f"""WITH a AS (SELECT i, {D.draw('i::VARCHAR', D.q(':domain'))} AS u FROM range({GEN_ROWS}) r(i)), b AS (SELECT *, {_DOMAIN} AS domain FROM a),
+GEN4 = f"""WITH a AS (SELECT i, {D.draw('i::VARCHAR', D.q(':domain'))} AS u FROM (SELECT doc_id AS i FROM documents) r), b AS (SELECT *, {_DOMAIN} AS domain FROM a),
 c AS (SELECT *, CASE domain {' '.join(f'WHEN {D.q(k)} THEN {_PICK(list(v[4]), "template")}' for k, v in synthesis.DOMAINS.items())} END AS template FROM b)
 SELECT i AS id, domain, template, {D.case(*((f'domain = {D.q(k)}', D.q(v[1])) for k, v in synthesis.DOMAINS.items()), other='NULL')} AS content_type, {D.case(*((f'domain = {D.q(k)}', D.q(v[2])) for k, v in synthesis.DOMAINS.items()), other='NULL')} AS language,
   {D.case(*((f'domain = {D.q(k)}', D.q(v[3])) for k, v in synthesis.DOMAINS.items()), other='NULL')} AS difficulty, {D.case(*((f'template = {D.q(n)}', D.q(t)) for v in synthesis.DOMAINS.values() for n, t in v[4].items()), other='NULL')} AS content FROM c"""
 _TASKED = {"javascript": ["function_creation", "api_integration"], "xml": ["configuration"], "html": ["page_structure"]}
-GEN5 = f"""WITH a AS (SELECT i, {D.draw('i::VARCHAR', D.q(':language'))} AS u FROM range({GEN_ROWS}) r(i)), b AS (SELECT *, CASE WHEN u < 0.4 THEN 'javascript' WHEN u < 0.65 THEN 'typescript' WHEN u < 0.85 THEN 'xml' WHEN u < 0.95 THEN 'html' ELSE 'mdx' END AS language FROM a),
+GEN5 = f"""WITH a AS (SELECT i, {D.draw('i::VARCHAR', D.q(':language'))} AS u FROM (SELECT doc_id AS i FROM documents) r), b AS (SELECT *, CASE WHEN u < 0.4 THEN 'javascript' WHEN u < 0.65 THEN 'typescript' WHEN u < 0.85 THEN 'xml' WHEN u < 0.95 THEN 'html' ELSE 'mdx' END AS language FROM a),
 c AS (SELECT *, CASE language {' '.join(f'WHEN {D.q(k)} THEN {_PICK(v, "task")}' for k, v in _TASKED.items())} END AS task_type FROM b),
 d AS (SELECT *, {D.case(*((f'language = {D.q(k[0])} AND task_type = {D.q(k[1])}', _PICK(v, 'template')) for k, v in synthesis.TEMPLATES.items()), other='NULL')} AS t, {D.case(*((f'task_type = {D.q(k)}', _PICK(v, 'fill')) for k, v in synthesis.FILLS.items()), other='NULL')} AS f FROM c WHERE task_type IS NOT NULL)
 SELECT i AS id, language, task_type, replace(t, '{{}}', f) AS instruction FROM d"""
-GEN6 = f"SELECT i AS id, 'self_instruct' AS task_type, {_PICK(synthesis.SELF, 'self')} AS instruction FROM range(300) r(i) UNION ALL SELECT i, 'evol_instruct', 'Create a simple JavaScript function that ' || {_PICK(synthesis.EVOL, 'evol')} FROM range(200) r(i)"
+GEN6 = f"SELECT i AS id, 'self_instruct' AS task_type, {_PICK(synthesis.SELF, 'self')} AS instruction FROM (SELECT doc_id AS i FROM documents) r UNION ALL SELECT i, 'evol_instruct', 'Write a small function ' || {_PICK(synthesis.EVOL, 'evol')} FROM (SELECT doc_id AS i FROM documents) r"
+
+
+def _ids(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "documents").select(F.col("doc_id").alias("id"))
+
+
+def regions(s: SparkSession, d: str) -> DataFrame:
+    """A question for each nation: its region, and three others."""
+    names = table(s, d, "region").agg(F.transform(F.array_sort(F.collect_list(F.struct("r_regionkey", "r_name"))), lambda x: x["r_name"]).alias("names"))  # 5 names
+    options = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.get("names", ((F.col("n_regionkey") + k) % F.size("names")).cast("int")))
+    rows = table(s, d, "nation").crossJoin(F.broadcast(names))
+    return rows.select(F.col("n_nationkey").cast("long").alias("id"), F.lit("geography").alias("domain"), F.concat(F.lit("In which region is "), "n_name", F.lit("?")).alias("question"), options.alias("options"), F.lit(0).alias("answer"))
 
 
 def _gen(df: DataFrame) -> DataFrame:
@@ -277,13 +288,13 @@ def queries() -> dict[str, Query]:
         "dup1_minhash": lambda s, d: minhash.keep_first(table(s, d, "documents"), "doc_id", "text"),
         "dup4_keep_best": dup4,
         "flt13_successful_runs": lambda s, d: E.successful(runs(s, d)).select("run", "best_metric"),
-        "gen2_evolved": lambda s, d: _gen(synthesis.evol_rows(s, GEN_ROWS)),
-        "gen3_mutated": lambda s, d: _gen(synthesis.mutation_rows(s, GEN_ROWS)),
-        "gen4_domains": lambda s, d: synthesis.domain_rows(s, GEN_ROWS),
-        "gen5_instructions": lambda s, d: synthesis.instruction_rows(s, GEN_ROWS),
-        "gen6_extra_instructions": lambda s, d: synthesis.extra_instructions(s, 300, 200),
-        "gen8_questions": lambda s, d: synthesis.questions(s, 4).withColumn("options", F.array_join("options", "|")),
-        "set2_all_methods": lambda s, d: synthesis.all_methods(s, GEN_ROWS).groupBy("generation_method", "language").agg(F.count("*").alias("n")),
+        "gen2_evolved": lambda s, d: _gen(synthesis.evol_rows(_ids(s, d))),
+        "gen3_mutated": lambda s, d: _gen(synthesis.mutation_rows(_ids(s, d))),
+        "gen4_domains": lambda s, d: synthesis.domain_rows(_ids(s, d)),
+        "gen5_instructions": lambda s, d: synthesis.instruction_rows(_ids(s, d)),
+        "gen6_extra_instructions": lambda s, d: synthesis.extra_instructions(_ids(s, d)),
+        "gen8_questions": lambda s, d: synthesis.questions(regions(s, d), 4).withColumn("options", F.array_join("options", "|")),
+        "set2_all_methods": lambda s, d: synthesis.all_methods(_ids(s, d)).groupBy("generation_method", "language").agg(F.count("*").alias("n")),
         "jon1_metric_compare": lambda s, d: _rounded(E.compared(cur(s, d), base(s, d)), "difference", "percent"),
         "jon2_all_baselines": lambda s, d: _rounded(E.against_all(cur(s, d), _baselines(s, d)), "difference"),
         "jon3_distribution_outer": lambda s, d: _rounded(validation.distribution_outer(by(s, d), EXPECTED), "actual", "expected"),
@@ -305,8 +316,8 @@ def queries() -> dict[str, Query]:
         "rpt12_instruction_report": rpt12,
         "rpt13_alerts": lambda s, d: _rounded(validation.alerts(_daily(s, d), "event_type", "d", "v"), "drop"),
         "sco41_memory": lambda s, d: E.memory_estimate(table(s, d, "part").select((F.col("p_retailprice") * 1000).alias("params")).distinct(), "params"),
-        "src10_mock_source": lambda s, d: mock_rows(s, 2500).drop("content"),
-        "src11_template_source": lambda s, d: mock_rows(s, 3).groupBy("language").agg(F.count("*").alias("n"), F.count_distinct("content").alias("texts"), F.min("size").alias("size")),
+        "src10_mock_source": lambda s, d: mock_rows(_ids(s, d)).drop("content"),
+        "src11_template_source": lambda s, d: mock_rows(_ids(s, d)).groupBy("language").agg(F.count("*").alias("n"), F.count_distinct("content").alias("texts"), F.min("size").alias("size")),
         "srt2_top_runs": lambda s, d: E.best_runs(runs(s, d)).select("run", "best_metric"),
         "srt4_semver_order": lambda s, d: E.ordered_versions(versions(s, d)),
         "win2_running_rate": win2,
@@ -322,7 +333,6 @@ def oracle_sql() -> dict[str, str]:
     from ..sources.mock import TEMPLATES
 
     mock = ", ".join(f"({D.q(k)}, {D.q(x)}, {len(c)})" for k, (c, x) in TEMPLATES.items())
-    turned = ", ".join(f"({i}, {D.q(q[0])}, {D.q(q[1])}, [{', '.join(map(D.q, q[2]))}], {q[3]})" for i, q in enumerate(synthesis.QUESTIONS))
     methods = f"SELECT 'evol_instruct' AS generation_method, CASE WHEN starts_with(base, '<') THEN 'html' WHEN contains(base, 'interface') THEN 'typescript' ELSE 'javascript' END AS language FROM ({GEN2}) UNION ALL SELECT 'ast_mutation', language FROM ({GEN3}) UNION ALL SELECT 'domain_specific', language FROM ({GEN4})"
     hits = lambda x, ps: D.any_of(x, ps)
     return {
@@ -349,7 +359,9 @@ def oracle_sql() -> dict[str, str]:
         "gen4_domains": GEN4,
         "gen5_instructions": GEN5,
         "gen6_extra_instructions": GEN6,
-        "gen8_questions": f"SELECT id, t AS turn, domain, question, array_to_string(list_concat(o[t + 1:], o[1:t]), '|') AS options, (a - t + 4) % 4 AS answer FROM (VALUES {turned}) AS v(id, domain, question, o, a), (VALUES (0), (1), (2), (3)) AS w(t)",
+        "gen8_questions": """WITH r AS (SELECT list(r_name ORDER BY r_regionkey) AS names FROM region), t AS (SELECT range AS turn FROM range(4))
+SELECT n_nationkey::BIGINT AS id, turn::INT AS turn, 'geography' AS domain, 'In which region is ' || n_name || '?' AS question,
+  array_to_string(list_transform(range(4), lambda k: names[(n_regionkey + (k + turn) % 4) % len(names) + 1]), '|') AS options, ((4 - turn) % 4)::INT AS answer FROM nation, r, t""",
         "set2_all_methods": f"SELECT generation_method, language, count(*) AS n FROM ({methods}) GROUP BY 1, 2",
         "jon1_metric_compare": f"WITH {METRIC} SELECT metric, {r6('current - baseline')} AS difference, {r6('pct')} AS percent, current > baseline AS improved, abs(pct) > 5 AS significant FROM bb",
         "jon2_all_baselines": f"WITH {METRIC}, b AS (SELECT event_type AS name, metric, avg(value) AS baseline FROM m GROUP BY 1, 2) SELECT metric, name, {r6('current - b.baseline')} AS difference FROM cur JOIN b USING (metric)",
@@ -372,8 +384,8 @@ def oracle_sql() -> dict[str, str]:
         "rpt12_instruction_report": f"WITH {GATED}, a AS (SELECT count(*) AS n, avg(unit::INT) AS u, avg(score) AS q FROM u) SELECT n, {r6('u')} AS unit_rate, {r6('q')} AS quality, n > 0 AS has_rows, coalesce(u >= 0.7, false) AS unit_pass, coalesce(round(q, 9) >= 0.75, false) AS quality_pass, n > 0 AND coalesce(u >= 0.7, false) AND coalesce(round(q, 9) >= 0.75, false) AS passed FROM a",
         "rpt13_alerts": f"WITH a AS (SELECT event_type, ts::DATE AS d, avg(value) AS v FROM events GROUP BY 1, 2), b AS (SELECT *, lag(v) OVER (PARTITION BY event_type ORDER BY d) AS p FROM a) SELECT event_type, d, {r6('(p - v) / p')} AS drop FROM b WHERE (p - v) / p > 0.1",
         "sco41_memory": "SELECT params, precision, params * b AS weights, params * b * 4 AS overhead, params * b * 5 AS total FROM (SELECT DISTINCT p_retailprice * 1000 AS params FROM part), (VALUES ('float32', 4.0::DOUBLE), ('float16', 2.0), ('bfloat16', 2.0), ('int8', 1.0), ('int4', 0.5)) AS v(precision, b)",
-        "src10_mock_source": f"SELECT i AS id, language, 'repo_' || (i // 1000) AS source_repo, 'src/file_' || i || '.' || x AS file_path, n AS size, 'mit' AS license, sha256('code_' || i) AS sha256 FROM range(2500) r(i), (VALUES {mock}) AS v(language, x, n)",
-        "src11_template_source": f"SELECT language, 3 AS n, 1 AS texts, n AS size FROM (VALUES {mock}) AS v(language, x, n)",
+        "src10_mock_source": f"SELECT i AS id, language, 'repo_' || (i // 1000) AS source_repo, 'src/file_' || i || '.' || x AS file_path, n AS size, 'mit' AS license, sha256('code_' || i) AS sha256 FROM (SELECT doc_id AS i FROM documents) r, (VALUES {mock}) AS v(language, x, n)",
+        "src11_template_source": f"SELECT language, (SELECT count(*) FROM documents) AS n, 1 AS texts, n AS size FROM (VALUES {mock}) AS v(language, x, n)",
         "srt2_top_runs": f"WITH {RUNS} SELECT run, best_metric FROM r WHERE success ORDER BY best_metric DESC, run LIMIT 5",
         "srt4_semver_order": f"WITH {VERSIONS} SELECT version, row_number() OVER (ORDER BY major, minor, patch, prerelease IS NULL, prerelease, version) AS position FROM (SELECT DISTINCT * FROM s)",
         "win2_running_rate": WIN2,

@@ -163,8 +163,8 @@ def queries() -> dict[str, Query]:
         "agg7_funnel_corrected": lambda s, d: funnel.funnel(contents(s, d), corrected=True),
         "sco28_repetition": sco28,
         "win7_plateau_lr": win7,
-        "gen1_templates": lambda s, d: generate.templated(s, 1000),
-        "gen7_stats": lambda s, d: generate.templated(s, 1000).groupBy("difficulty", "language").agg(F.count("*").alias("n")),
+        "gen1_templates": lambda s, d: generate.templated(table(s, d, "documents").select(F.col("doc_id").alias("id"))),
+        "gen7_stats": lambda s, d: generate.templated(table(s, d, "documents").select(F.col("doc_id").alias("id"))).groupBy("difficulty", "language").agg(F.count("*").alias("n")),
         "flt9_hash_bernoulli": lambda s, d: table(s, d, "documents").select("doc_id", (generate.draw(F.col("doc_id"), "unit") < 0.75).alias("passed")),
         "srt8_weighted_choice": lambda s, d: table(s, d, "documents").select("doc_id", generate.weighted(generate.draw(F.col("doc_id"), "pick"), {"easy": 0.3, "medium": 0.5, "hard": 0.2}).alias("choice")),
         "stream_tumbling": _stream(metrics.tumbling),
@@ -177,7 +177,7 @@ def queries() -> dict[str, Query]:
 
 _DIFFICULTY = D.case((f"{D.draw('i::VARCHAR', D.q(':difficulty'))} < 0.3", "'beginner'"), (f"{D.draw('i::VARCHAR', D.q(':difficulty'))} < 0.8", "'intermediate'"), other="'advanced'")
 _LANG = D.case((f"{D.draw('i::VARCHAR', D.q(':language'))} < 0.6", "'javascript'"), (f"{D.draw('i::VARCHAR', D.q(':language'))} < 0.9", "'typescript'"), other="'css'")
-_GEN = f"g AS (SELECT i AS id, {_DIFFICULTY} AS difficulty, {_LANG} AS language FROM range(1000) r(i))"
+_GEN = f"g AS (SELECT i AS id, {_DIFFICULTY} AS difficulty, {_LANG} AS language FROM (SELECT doc_id AS i FROM documents) r)"
 
 
 def oracle_sql() -> dict[str, str]:

@@ -14,7 +14,7 @@ from .pipelines import _KEYED, _keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-NESTED = {"dataset": {"target_languages": ["xml", "html"], "deduplication_threshold": 0.9}, "quality": {"quality_threshold": 0.75}, "syntax_threshold": 0.85}
+NESTED = {"dataset": {"target_languages": ["en", "fr"], "deduplication_threshold": 0.9}, "quality": {"quality_threshold": 0.75}, "syntax_threshold": 0.85}
 
 
 def _documents(s: SparkSession, d: str) -> DataFrame:
@@ -52,8 +52,10 @@ def src5(s: SparkSession, d: str) -> DataFrame:
 
 
 def src6(s: SparkSession, d: str) -> DataFrame:
+    """The nested configuration's languages and thresholds at the documents that it selects."""
     c = io.CorpusConfig.of(NESTED)
-    return s.createDataFrame([(",".join(c.target_languages), c.deduplication_threshold, c.quality_threshold, c.syntax_threshold, c.coherence_threshold)], "languages string, deduplication double, quality double, syntax double, coherence double")
+    limits = {"deduplication": c.deduplication_threshold, "quality": c.quality_threshold, "syntax": c.syntax_threshold, "coherence": c.coherence_threshold}
+    return _documents(s, d).where(F.col("lang").isin(*c.target_languages)).select("doc_id", "lang", *(F.lit(v).alias(k) for k, v in limits.items()))
 
 
 def src7(s: SparkSession, d: str) -> DataFrame:
@@ -66,11 +68,12 @@ def src7(s: SparkSession, d: str) -> DataFrame:
 
 
 def src8(s: SparkSession, d: str) -> DataFrame:
-    folder = scratch(s, "baselines")
-    for name in ("baseline_metrics.json", "results.json"):
-        io.write_text(s, f"{folder}/{name}", "{}")
+    """The first of three names that exists, read: baselines are the means of the events' types."""
+    folder, means = scratch(s, "baselines"), table(s, d, "events").groupBy("event_type").agg(F.round(F.avg("value"), 6).alias("mean"))
+    for name, factor in (("baseline_metrics.json", 1), ("results.json", 0)):
+        io.save_dataset(means.withColumn("mean", F.col("mean") * factor), f"{folder}/{name}")
     at = io.first_existing(s, [f"{folder}/{n}" for n in ("baseline_results.json", "baseline_metrics.json", "results.json")])
-    return s.createDataFrame([(at.rsplit("/", 1)[-1],)], "found string")
+    return s.read.parquet(at)
 
 
 def snk2(s: SparkSession, d: str) -> DataFrame:
@@ -130,9 +133,9 @@ def oracle_sql() -> dict[str, str]:
         "src3_saved_dataset": documents,
         "src4_json_array": "SELECT n_nationkey::BIGINT AS n_nationkey, n_name, n_regionkey::BIGINT AS n_regionkey FROM nation",
         "src5_json_lines": "SELECT doc_id, sha256(text) AS text FROM documents",
-        "src6_nested_config": "SELECT 'xml,html' AS languages, 0.9::DOUBLE AS deduplication, 0.75::DOUBLE AS quality, 0.85::DOUBLE AS syntax, 0.6::DOUBLE AS coherence",
+        "src6_nested_config": "SELECT doc_id, lang, 0.9::DOUBLE AS deduplication, 0.75::DOUBLE AS quality, 0.85::DOUBLE AS syntax, 0.6::DOUBLE AS coherence FROM documents WHERE lang IN ('en', 'fr')",
         "src7_phase_scan": "SELECT 'first' AS name, count(*) AS n FROM documents UNION ALL SELECT 'second', count(*) FROM labels",
-        "src8_first_existing": "SELECT 'baseline_metrics.json' AS found",
+        "src8_first_existing": "SELECT event_type, round(avg(value), 6) AS mean FROM events GROUP BY event_type",
         "snk2_stats_json": "SELECT count(*) AS total, sum(n_chars)::BIGINT AS chars FROM documents",
         "snk3_duplicates_json": f"WITH {_KEYED}, m AS (SELECT key, min(id) AS rep_id FROM k GROUP BY key) SELECT rep_id, id AS dup_id FROM k JOIN m USING (key) WHERE id <> rep_id",
         "snk4_results_csv": "SELECT n_nationkey, n_name, NULL::INT AS r_regionkey FROM nation UNION ALL SELECT NULL, NULL, r_regionkey FROM region",

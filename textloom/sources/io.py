@@ -13,7 +13,7 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 log = logging.getLogger(__name__)
 
@@ -112,9 +112,16 @@ def write_rows(parts: list[DataFrame], path: str) -> None:
     reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).write.mode("overwrite").option("header", True).csv(path)
 
 
-def export_catalog(df: DataFrame, kind: str = "json") -> str:
+def few(df: DataFrame, most: int) -> list[Row]:
+    """The rows of a small table; an error where there are more than ``most``."""
+    if len(rows := df.limit(most + 1).collect()) > most:
+        raise ValueError(f"more than {most} rows: write them by Spark instead")
+    return rows
+
+
+def export_catalog(df: DataFrame, kind: str = "json", most: int = 100_000) -> str:
     """SNK6: a small catalog as text; JSON or YAML."""
-    rows = [r.asDict(recursive=True) for r in df.collect()]
+    rows = [r.asDict(recursive=True) for r in few(df, most)]
     if kind == "json":
         return json.dumps(rows, indent=2, default=str)
     if kind == "yaml":
@@ -124,10 +131,10 @@ def export_catalog(df: DataFrame, kind: str = "json") -> str:
     raise ValueError(f"neither json nor yaml: {kind}")
 
 
-def markdown_report(title: str, df: DataFrame) -> str:
+def markdown_report(title: str, df: DataFrame, most: int = 100_000) -> str:
     """SNK5: a small result as a Markdown table."""
     head = [f"# {title}", "", f"| {' | '.join(df.columns)} |", f"|{'---|' * len(df.columns)}"]
-    return "\n".join(head + [f"| {' | '.join('' if v is None else str(v) for v in r)} |" for r in df.collect()]) + "\n"
+    return "\n".join(head + [f"| {' | '.join('' if v is None else str(v) for v in r)} |" for r in few(df, most)]) + "\n"
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

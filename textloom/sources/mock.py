@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A text of our own for each language, and the extension of its files.
@@ -16,12 +16,12 @@ TEMPLATES = {
 }
 
 
-def mock_rows(spark: SparkSession, per_language: int, languages: list[str] | None = None) -> DataFrame:
-    """``per_language`` rows of each language; languages without a template have a comment as text."""
+def mock_rows(ids: DataFrame, languages: list[str] | None = None) -> DataFrame:
+    """A row of each language for every ``id``; languages without a template have a comment as text."""
     chosen = list(TEMPLATES) if languages is None else languages
     bank = [(k, *TEMPLATES.get(k, (f"// {k}\n", k))) for k in chosen]
     kinds = F.array(*(F.struct(F.lit(k).alias("language"), F.lit(c).alias("content"), F.lit(x).alias("extension")) for k, c, x in bank))
-    rows = spark.range(per_language).withColumn("k", F.explode(kinds))
+    rows = ids.select("id").withColumn("k", F.explode(kinds))
     i = F.col("id").cast("string")
     return rows.select(
         "id", "k.language", "k.content", F.concat(F.lit("repo_"), F.floor(F.col("id") / 1000).cast("string")).alias("source_repo"), F.concat(F.lit("src/file_"), i, F.lit("."), F.col("k.extension")).alias("file_path"),
