@@ -17,6 +17,8 @@ to the least id. An empty table gives an empty result; further columns are ignor
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +41,7 @@ def similarity(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(shared, F.size(a) + F.size(b) - shared), F.lit(0.0))
 
 
-def links(nodes: DataFrame, buckets: DataFrame, threshold: float) -> DataFrame:
+def links(nodes: DataFrame, buckets: DataFrame, threshold: float, alike: Callable[[Column, Column], Column] = similarity) -> DataFrame:
     """u, v of verified pairs. nodes: doc, set; buckets: doc, band, key."""
     sizes = buckets.groupBy("band", "key").agg(F.count("*").alias("n"))
     live = written(buckets.join(sizes.where("n > 1").select("band", "key"), ["band", "key"]), "buckets")
@@ -50,7 +52,7 @@ def links(nodes: DataFrame, buckets: DataFrame, threshold: float) -> DataFrame:
         met = written(live.join(hubs, ["band", "key"]).where("doc != hub"), "met")
         pairs = met.select("doc", "hub").distinct()
         ends = [nodes.select(F.col("doc").alias(c), F.col("set").alias(f"{c}_set")) for c in ("doc", "hub")]
-        judged = written(pairs.join(ends[0], "doc").join(ends[1], "hub").select("doc", "hub", (similarity(F.col("doc_set"), F.col("hub_set")) >= threshold).alias("linked")), "judged")
+        judged = written(pairs.join(ends[0], "doc").join(ends[1], "hub").select("doc", "hub", (alike(F.col("doc_set"), F.col("hub_set")) >= threshold).alias("linked")), "judged")
         good = judged.where("linked").select(F.col("doc").alias("u"), F.col("hub").alias("v"))
         found = good if found is None else found.unionByName(good)
         live = written(met.join(judged.where("NOT linked").select("doc", "hub"), ["doc", "hub"]).select("band", "key", "doc"), "live")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dedup, funnel, generate, near_duplicates
+from ..operators import dedup, funnel, generate, near_duplicates, vectors
 from ..session import table
 from ..streaming import metrics
 from . import content as K
@@ -131,6 +131,20 @@ t AS (SELECT node AS a, node AS b FROM c UNION SELECT t.a, l.v FROM t JOIN l ON
 f AS (SELECT a AS node, min(b) AS first FROM t GROUP BY a)
 SELECT d.doc_id AS doc, coalesce(f.first, d.doc_id) AS first, coalesce(c.copies, 1) AS copies FROM documents d LEFT JOIN z ON z.doc = d.doc_id LEFT JOIN c USING (same) LEFT JOIN f ON f.node = c.node"""
 
+def dup5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors, and of each fourth a near copy (a fifth of its mirror image added)."""
+    v = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
+    near = F.zip_with("embedding", F.reverse("embedding"), lambda x, y: x + 0.2 * y)
+    return vectors.groups(v.unionByName(v.where("vec_id % 4 = 0").select((F.col("vec_id") + 1_000_000_000).alias("vec_id"), near.alias("embedding"))))
+
+
+DUP5_GROUPS = """WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+v AS (SELECT * FROM e UNION ALL SELECT vec_id + 1000000000, list_transform(e, lambda x, i: x + 0.2 * e[len(e) + 1 - i]) FROM e WHERE vec_id % 4 = 0),
+l AS (SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+t AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT t.a, l.v FROM t JOIN l ON l.u = t.b),
+f AS (SELECT a AS doc, min(b) AS first FROM t GROUP BY a), c AS (SELECT e, count(*) AS copies FROM v GROUP BY e)
+SELECT doc, first, copies FROM f JOIN v ON vec_id = doc JOIN c USING (e)"""
+
 _FUNNEL = f"""WITH {CONTENTS}, {K._FOUND},
 g AS (SELECT content, {{bank}} AS l, round({K._quality()}, 9) >= 0.7 AS q, round({K._syntax(True)}, 9) >= 0.8 AS s, round({K._coherence()}, 9) >= 0.6 AS c FROM f),
 k AS (SELECT *, CASE WHEN l AND q AND s AND c THEN sha256({_key('content')}) END AS key FROM g)
@@ -159,6 +173,7 @@ def queries() -> dict[str, Query]:
         "dup1_verified_groups": lambda s, d: near_duplicates.groups(table(s, d, "documents")).select("doc", "first", "copies"),
         "dup3_groups": lambda s, d: dedup.duplicate_pairs(_keyed(s, d)),
         "dup5_embedding_neighbors": dup5_all,
+        "dup5_semantic_groups": dup5_groups,
         "agg7_funnel": lambda s, d: funnel.funnel(contents(s, d)),
         "agg7_funnel_corrected": lambda s, d: funnel.funnel(contents(s, d), corrected=True),
         "sco28_repetition": sco28,
@@ -193,6 +208,7 @@ UNION ALL SELECT conv_id, turn, 'code_to_comment', output, instruction FROM q UN
         "dup1_verified_groups": VERIFIED,
         "dup3_groups": f"WITH {_KEYED}, m AS (SELECT key, min(id) AS rep_id FROM k GROUP BY key) SELECT rep_id, id AS dup_id FROM k JOIN m USING (key) WHERE id <> rep_id",
         "dup5_embedding_neighbors": DUP5,
+        "dup5_semantic_groups": DUP5_GROUPS,
         "agg7_funnel": _FUNNEL.replace("{bank}", K._bank(False)),
         "agg7_funnel_corrected": _FUNNEL.replace("{bank}", K._bank(True)),
         "sco28_repetition": SCO28,
