@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dedup, funnel, generate, near_duplicates, vectors
+from ..operators import dedup, digests, folds, funnel, generate, near_duplicates, vectors
+from ..functions import tables
 from ..session import table
 from ..streaming import metrics
 from . import content as K
@@ -145,6 +146,50 @@ t AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT t.a, l.v FROM t JOIN l
 f AS (SELECT a AS doc, min(b) AS first FROM t GROUP BY a), c AS (SELECT e, count(*) AS copies FROM v GROUP BY e)
 SELECT doc, first, copies FROM f JOIN v ON vec_id = doc JOIN c USING (e)"""
 
+def win4_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = folds.patience(table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value"), "event_type", ["ts", "event_id"], "value", delta=0.05)
+    return out.select("own.event_id", "own.event_type", F.round("best", 6).alias("best"), "bad")
+
+
+WIN4 = """WITH RECURSIVE s AS (SELECT event_id, event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS k FROM events),
+f AS (SELECT event_id, event_type, k, value AS best, 0::BIGINT AS bad FROM s WHERE k = 1
+  UNION ALL SELECT s.event_id, s.event_type, s.k, CASE WHEN s.value < f.best - 0.05::DOUBLE THEN s.value ELSE f.best END, CASE WHEN s.value < f.best - 0.05::DOUBLE THEN 0 ELSE f.bad + 1 END FROM f JOIN s ON s.event_type = f.event_type AND s.k = f.k + 1)
+SELECT event_id, event_type, round(best, 6) AS best, bad FROM f"""
+
+
+def win5_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = folds.in_a_row(table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value"), "event_type", ["ts", "event_id"], "value", share=0.15)
+    return out.select("own.event_id", "own.event_type", "bad")
+
+
+WIN5 = """WITH l AS (SELECT event_id, event_type, ts, value, lag(value) OVER w AS before FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)),
+x AS (SELECT *, coalesce(before <> 0 AND (before - value) / before > 0.15::DOUBLE, false)::INT AS worse FROM l),
+i AS (SELECT *, sum(1 - worse) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM x)
+SELECT event_id, event_type, (sum(worse) OVER (PARTITION BY event_type, island ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))::BIGINT AS bad FROM i"""
+
+
+def sco40_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("file", F.concat(F.lit("doc_"), F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit(".txt")))
+    return digests.folder_digests(docs, "source", "file", "text")
+
+
+def prj9_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ9 by a table function, joined laterally in SQL."""
+    tables.register(spark)
+    return spark.sql("SELECT q.conv_id, q.turn, t.* FROM {q} q, LATERAL cat_tasks(q.instruction, q.output) t", q=pairs(spark, sf_dir))
+
+
+def flt_user_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's predicate over Arrow batches: documents of more than a hundred words, most of them short."""
+    import pyarrow.compute as pc
+
+    def plain(text, lang):
+        n = pc.list_value_length(pc.utf8_split_whitespace(pc.fill_null(text, "")))
+        return pc.and_(pc.greater(n, 100), pc.not_equal(lang, "de"))
+
+    return tables.keep(table(spark, sf_dir, "documents"), plain, "text", "lang").select("doc_id", "lang")
+
+
 _FUNNEL = f"""WITH {CONTENTS}, {K._FOUND},
 g AS (SELECT content, {{bank}} AS l, round({K._quality()}, 9) >= 0.7 AS q, round({K._syntax(True)}, 9) >= 0.8 AS s, round({K._coherence()}, 9) >= 0.6 AS c FROM f),
 k AS (SELECT *, CASE WHEN l AND q AND s AND c THEN sha256({_key('content')}) END AS key FROM g)
@@ -174,6 +219,11 @@ def queries() -> dict[str, Query]:
         "dup3_groups": lambda s, d: dedup.duplicate_pairs(_keyed(s, d)),
         "dup5_embedding_neighbors": dup5_all,
         "dup5_semantic_groups": dup5_groups,
+        "win4_patience_threshold": win4_threshold,
+        "win5_degradation_threshold": win5_threshold,
+        "sco40_folder_digest": sco40_folder,
+        "prj9_table_function": prj9_table_function,
+        "flt_user_predicate": flt_user_predicate,
         "agg7_funnel": lambda s, d: funnel.funnel(contents(s, d)),
         "agg7_funnel_corrected": lambda s, d: funnel.funnel(contents(s, d), corrected=True),
         "sco28_repetition": sco28,
@@ -209,6 +259,12 @@ UNION ALL SELECT conv_id, turn, 'code_to_comment', output, instruction FROM q UN
         "dup3_groups": f"WITH {_KEYED}, m AS (SELECT key, min(id) AS rep_id FROM k GROUP BY key) SELECT rep_id, id AS dup_id FROM k JOIN m USING (key) WHERE id <> rep_id",
         "dup5_embedding_neighbors": DUP5,
         "dup5_semantic_groups": DUP5_GROUPS,
+        "win4_patience_threshold": WIN4,
+        "win5_degradation_threshold": WIN5,
+        "sco40_folder_digest": "SELECT source AS folder, count(*) AS files, sha256(string_agg('doc_' || lpad(doc_id::VARCHAR, 12, '0') || '.txt:' || sha256(coalesce(text, '')), chr(10) ORDER BY doc_id)) AS checksum FROM documents WHERE source IS NOT NULL GROUP BY source",
+        "prj9_table_function": f"""WITH {PAIRS} SELECT conv_id, turn, 'comment_to_code' AS task_type, instruction AS input, output AS target FROM q
+UNION ALL SELECT conv_id, turn, 'code_to_comment', output, instruction FROM q UNION ALL SELECT conv_id, turn, 'code_explanation', output, instruction FROM q WHERE length(instruction) > 100""",
+        "flt_user_predicate": "SELECT doc_id, lang FROM documents WHERE len(list_filter(regexp_split_to_array(trim(text), '\\s+'), lambda x: x <> '')) > 100 AND lang <> 'de'",
         "agg7_funnel": _FUNNEL.replace("{bank}", K._bank(False)),
         "agg7_funnel_corrected": _FUNNEL.replace("{bank}", K._bank(True)),
         "sco28_repetition": SCO28,
