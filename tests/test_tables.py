@@ -38,7 +38,7 @@ def test_user_callables(spark):
 
 
 def test_a_callable_of_the_wrong_length(spark):
-    df = spark.range(3)
+    df = spark.range(9).coalesce(1)
     for wrong in (lambda: tables.keep(df, lambda i: pa.array([True]), "id"), lambda: tables.apply(df, lambda i: i[:1], "long", "x", "id")):
         with pytest.raises(Exception, match="for"):
             wrong().collect()
