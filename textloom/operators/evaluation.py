@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import parts_for, written
 
 # fixed values: metrics that are better when higher, in percent what counts as a regression, and severe
 HIGHER_IS_BETTER = ["accuracy", "pass_at_1", "tokens_per_second", "syntax_validity", "codebleu_score"]
@@ -47,6 +47,17 @@ def pass_at_k(completions: DataFrame, ks: list[int], stored: int = 5) -> DataFra
     return shares.select(F.explode(F.map_from_arrays(F.array(*map(F.lit, ks)), F.array(*(F.col(str(k)) for k in ks)))).alias("k", "pass_at_k"))
 
 
+def pass_at_k_unbiased(completions: DataFrame, ks: list[int]) -> DataFrame:
+    """AGG18, the published estimator: the mean over problems of the chance that k of their n completions,
+    c of which pass, hold one that passes: 1 - the product of (1 - k / i) for i from n - c + 1 to n;
+    problems of fewer than k completions are left out."""
+    per = completions.groupBy("problem").agg(F.count("*").alias("n"), F.count(F.when(F.col("passed"), 1)).alias("c"))
+    each = per.withColumn("k", F.explode(F.array(*map(F.lit, ks)))).where("n >= k")
+    missed = F.aggregate(F.sequence(F.col("n") - F.col("c") + 1, F.col("n")), F.lit(1.0), lambda p, i: p * (1 - F.col("k") / i))
+    chance = F.when(F.col("c") == 0, 0.0).when(F.col("n") - F.col("c") < F.col("k"), 1.0).otherwise(1 - missed)
+    return each.groupBy("k").agg(F.avg(chance).alias("pass_at_k"))
+
+
 def pass_at_1(completions: DataFrame) -> DataFrame:
     """The unbiased estimate: the mean over problems of the share of completions that pass."""
     return completions.groupBy("problem").agg(rate(F.col("passed")).alias("rate")).agg(F.avg("rate").alias("pass_at_1"))
@@ -97,14 +108,13 @@ def zipped(predictions: DataFrame, references: DataFrame, key: str) -> DataFrame
     return _placed(predictions, key).join(_placed(references, key).withColumnsRenamed({c: f"ref_{c}" for c in references.columns}), "place")
 
 
-def _placed(df: DataFrame, key: str) -> DataFrame:
-    """``place``: a row's number in the order of ``key``, from 0."""
-    parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+def _placed(df: DataFrame, *order: str | Column) -> DataFrame:
+    """``place``: a row's number in the order, from 0."""
     # a table, for ranges that are cut twice may be cut at other places
-    rows = written(df.repartitionByRange(int(parts), key).withColumn("_part", F.spark_partition_id()), "placed")
+    rows = written(df.repartitionByRange(parts_for(df), *order).withColumn("_part", F.spark_partition_id()), "placed")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
     starts = rows.groupBy("_part").count().withColumn("_start", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
-    own = F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
     return rows.withColumn("_own", own).join(F.broadcast(starts), "_part").withColumn("place", F.col("_start") + F.col("_own")).drop("_part", "_own", "_start")
 
 
@@ -198,8 +208,8 @@ def parsed_versions(df: DataFrame, version: str = "version") -> DataFrame:
 def ordered_versions(df: DataFrame, version: str = "version") -> DataFrame:
     """SRT4: distinct versions and their places; one without prerelease follows those with one."""
     rows = parsed_versions(df.select(version).distinct(), version)
-    order = Window.orderBy("major", "minor", "patch", F.col("prerelease").isNull(), "prerelease", version)  # versions of one product
-    return rows.select(version, F.row_number().over(order).alias("position"))
+    placed = _placed(rows, "major", "minor", "patch", F.col("prerelease").isNull(), "prerelease", version)
+    return placed.select(version, (F.col("place") + 1).cast("int").alias("position"))
 
 
 def version_stats(df: DataFrame, version: str = "version") -> DataFrame:
@@ -214,8 +224,8 @@ def version_stats(df: DataFrame, version: str = "version") -> DataFrame:
 def gate_run(gates: DataFrame) -> DataFrame:
     """RPT8: the tests that run, in order; a required one that fails ends the run."""
     failed = F.min(F.when(F.col("required") & (F.col("status") == "failed"), F.col("position")))
-    stop = gates.agg(F.coalesce(failed, F.lit(2**31 - 1)).alias("stop"))
-    return gates.join(F.broadcast(stop), F.col("position") <= F.col("stop")).select("position", "test", "status")  # stop is one row
+    stop = gates.agg(failed.alias("stop"))  # one row; null: none failed
+    return gates.join(F.broadcast(stop), F.coalesce(F.col("position") <= F.col("stop"), F.lit(True))).select("position", "test", "status")
 
 
 def readiness(gates: DataFrame) -> DataFrame:

@@ -174,7 +174,7 @@ JON5 = f"""WITH g AS ({_grams('documents', 'doc_id', 5)}), h AS (SELECT doc_id,
 f AS (SELECT band, key, min(doc) AS first FROM b GROUP BY band, key) SELECT doc, min(first) AS first FROM b JOIN f USING (band, key) GROUP BY doc"""
 
 
-def win2(s: SparkSession, d: str, every: int = 10_000) -> DataFrame:
+def win2(s: SparkSession, d: str, every: int = 100) -> DataFrame:
     """WIN2: the share of duplicates among the rows so far, after every ``every`` rows (and the first):
     events in order of time, a duplicate being a (user, type, hour) seen before. Places come from
     counts of ranges, running sums from one row a step."""
@@ -190,7 +190,7 @@ def win2(s: SparkSession, d: str, every: int = 10_000) -> DataFrame:
 
 WIN2 = """WITH t AS (SELECT event_id, (event_id <> min(event_id) OVER (PARTITION BY user_id, event_type, date_trunc('hour', ts)))::INT AS dup FROM events),
 r AS (SELECT row_number() OVER w - 1 AS place, sum(dup) OVER w AS d, row_number() OVER w AS n FROM t WINDOW w AS (ORDER BY event_id))
-SELECT place, round(d::DOUBLE / n, 6) AS rate FROM r WHERE place % 10000 = 0"""
+SELECT place, round(d::DOUBLE / n, 6) AS rate FROM r WHERE place % 100 = 0"""
 
 
 def rpt10(s: SparkSession, d: str) -> DataFrame:
@@ -274,6 +274,7 @@ def queries() -> dict[str, Query]:
         "agg17_humaneval_proxy": lambda s, d: contents(s, d).agg(F.round(F.coalesce(F.avg(validation.humaneval_proxy(F.col("content"))), F.lit(0.5)), 6).alias("score")),
         "agg17_codebleu_proxy": lambda s, d: contents(s, d).agg(F.round(F.coalesce(F.avg(validation.codebleu_proxy(F.col("content"))), F.lit(0.5)), 6).alias("score")),
         "agg18_pass_at_k_reference": lambda s, d: _rounded(E.pass_at_k(completions(s, d), [1, 5, 10]), "pass_at_k"),
+        "agg18_pass_at_k_unbiased": lambda s, d: _rounded(E.pass_at_k_unbiased(completions(s, d), [1, 2, 3]), "pass_at_k"),
         "agg18_pass_at_1_unbiased": lambda s, d: _rounded(E.pass_at_1(completions(s, d)), "pass_at_1"),
         "agg19_pass_at_k_match": lambda s, d: _rounded(E.match_at_k(predictions(s, d), [1, 2, 3]), "pass_at_k"),
         "agg20_difficulty": lambda s, d: E.difficulty(completions(s, d)),
@@ -341,6 +342,9 @@ def oracle_sql() -> dict[str, str]:
         "agg17_humaneval_proxy": f"WITH {CONTENTS} SELECT {r6(_HUMANEVAL)} AS score FROM c",
         "agg17_codebleu_proxy": f"WITH {CONTENTS} SELECT {r6(_CODEBLEU)} AS score FROM c",
         "agg18_pass_at_k_reference": f"{first} SELECT k, {r6('avg((n >= k)::INT)')} AS pass_at_k FROM c, (VALUES (1), (5), (10)) AS v(k) GROUP BY k",
+        "agg18_pass_at_k_unbiased": f"""WITH {COMPLETIONS}, c AS (SELECT problem, count(*) AS n, count(CASE WHEN passed THEN 1 END) AS c FROM p GROUP BY problem),
+x AS (SELECT k, CASE WHEN c = 0 THEN 0.0::DOUBLE WHEN n - c < k THEN 1.0 ELSE 1 - list_reduce(list_prepend(1.0::DOUBLE, list_transform(range(n - c + 1, n + 1), lambda i: (1 - k::DOUBLE / i)::DOUBLE)), lambda a, b: a * b) END AS chance FROM c, (VALUES (1), (2), (3)) AS v(k) WHERE n >= k)
+SELECT k, {r6('avg(chance)')} AS pass_at_k FROM x GROUP BY k""",
         "agg18_pass_at_1_unbiased": f"{first} SELECT {r6('avg(rate)')} AS pass_at_1 FROM c",
         "agg19_pass_at_k_match": f"WITH {PREDICTIONS}, h AS (SELECT k, q, max((i <= k AND lower(trim(p)) = lower(trim(r)))::INT) AS hit FROM p, (VALUES (1), (2), (3)) AS v(k) GROUP BY k, q) SELECT k, {r6('avg(hit)')} AS pass_at_k FROM h GROUP BY k",
         "agg20_difficulty": f"{first} SELECT problem, CASE WHEN rate > 0.5 THEN 'easy' WHEN rate >= 0.1 THEN 'medium' ELSE 'hard' END AS difficulty FROM c",

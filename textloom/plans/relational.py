@@ -90,6 +90,8 @@ SQL: dict[str, str] = {
     # sets
     "set1_union": "SELECT doc_id AS id, lang, text AS content FROM {documents} WHERE lang = 'en' UNION ALL SELECT doc_id, lang, text FROM {documents} WHERE lang = 'fr' UNION ALL SELECT page_id, NULL, html FROM {pages}",
     "set4_except": "SELECT source FROM {documents} WHERE lang = 'en' EXCEPT SELECT source FROM {documents} WHERE lang = 'es'",
+    "set4_except_lengths": "SELECT n_chars FROM {documents} WHERE lang = 'en' EXCEPT SELECT n_chars FROM {documents} WHERE lang <> 'en'",
+    "set6_intersect_lengths": "SELECT n_chars FROM {documents} WHERE lang = 'en' INTERSECT SELECT n_chars FROM {documents} WHERE lang <> 'en'",
     "set6_intersect": "SELECT sha256(text) AS text FROM {documents} WHERE lang = 'en' INTERSECT SELECT sha256(text) FROM {documents} WHERE lang <> 'en'",
     "set5_distinct": "SELECT DISTINCT lang, source FROM {documents}",
     # scalars and reports

@@ -48,6 +48,14 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def parts_for(df: DataFrame, each: int = 128 << 20) -> int:
+    """As many partitions as the session shuffles into, and more where the files that a plan starts from
+    have more than ``each`` bytes for one, by Spark's statistics."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())]
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sum(s for s in sizes if s < 1 << 60) // each))
+
+
 def scratch(spark: SparkSession, what: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark)}/textloom/{what}-{uuid.uuid4().hex}"
