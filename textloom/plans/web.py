@@ -269,6 +269,17 @@ def queries() -> dict[str, Query]:
     }
 
 
+_TOP = "string_split(s, chr(2))[-2]"
+#: The stack is a text here: every open tag's name and a mark after it.
+SCO34_JSX = f"""WITH {CONTENTS}, b AS (SELECT src, id, regexp_replace(regexp_replace(content, {D.q(r'(?s)//.*?' + chr(92) + r'n|/\*.*?\*/')}, '', 'g'), {D.q(chr(34) + '[^' + chr(34) + ']*' + chr(34) + '|' + chr(39) + '[^' + chr(39) + ']*' + chr(39))}, '', 'g') AS t FROM c),
+p AS (SELECT *, string_split(t, '<') AS parts FROM b), l AS (SELECT *, coalesce(list_max(list_filter(range(len(parts)), lambda i: contains(parts[i + 1], ' '))), -1) AS blank FROM p),
+e AS (SELECT *, list_transform(range(1, len(parts)), lambda i: CASE WHEN i <= blank THEN '1' ELSE '0' END || parts[i + 1]) AS tags FROM l),
+f AS (SELECT *, list_reduce(list_prepend('', tags), lambda s, x: CASE
+  WHEN x[2:2] = '/' THEN CASE WHEN contains(x, '>') AND coalesce({_TOP} = trim(split_part(x[2:], '>', 1)[2:], ' '), false) THEN left(s, length(s) - length({_TOP}) - 1) ELSE s END
+  ELSE s || coalesce(nullif(replace(trim(CASE WHEN contains(x, ' ') THEN split_part(x[2:], ' ', 1) WHEN x[1:1] = '1' THEN x[2:] || '<' WHEN contains(x, '>') THEN split_part(x[2:], '>', 1) ELSE '' END, ' '), '/', ''), '') || chr(2), '') END) AS stack FROM e)
+SELECT src, id, regexp_matches(t, '<[^>]+/>') OR len(parts) < 2 OR stack = '' AS valid FROM f"""
+
+
 def oracle_sql() -> dict[str, str]:
     gate = f"WITH {PAIRS}, g AS (SELECT *, round(({_QUICK})::DOUBLE, 6) AS score FROM q)"
     space = f"regexp_replace(x, {D.q(D.SPACE + '+')}, ' ', 'g')"
@@ -280,6 +291,7 @@ def oracle_sql() -> dict[str, str]:
         "sco25_xml_detail": SCO25,
         "sco27_html_detail": SCO27,
         "sco29_output_checks": SCO29,
+        "sco34_jsx_valid": SCO34_JSX,
         "sco35_valid": f"WITH {CONTENTS} SELECT src, id, {parses('xml')} OR {json} AS valid FROM c",
         "sco35_json_content": f"WITH {CONTENTS} SELECT src, id, round(least(1.0, {_if('length(content) > 50', 0.1)} + CASE WHEN {json} THEN 0.5 ELSE 0.2 END + {_share(_LOW, W.CONFIG_WORDS, 0.3)})::DOUBLE, 6) AS score FROM c",
         "flt3_strict_source": FLT3,
