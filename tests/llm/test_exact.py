@@ -75,6 +75,53 @@ def test_packing(n, low, high):
     assert len(bins) <= -(-sum(lengths) // 4096) * (1.01 if high < 2000 else 1.06) + 1
 
 
+@pytest.mark.parametrize(("n", "low", "high"), [(900, 600, 2500), (700, 1000, 1600), (1500, 1, 4096)])
+def test_the_querys_patience_costs_few_bins(n, low, high):
+    """What the query uses, against a search without that end and against best fit alone."""
+    import inspect
+
+    r = random.Random(n)
+    lengths, used = [r.randint(low, high) for _ in range(n)], inspect.signature(packing.pack_documents).parameters["patience"].default
+    alone, default, whole = (len(set(packing.pack(lengths, 4096, p)[0])) for p in (0, used, None))
+    assert used == 256 and whole <= default <= alone and default <= 1.005 * whole + 1
+    if high < 3000:
+        assert default < alone
+
+
+def test_a_search_goes_on_after_its_arrays_are_made_anew(monkeypatch):
+    r = random.Random(5)
+    lengths = [r.randint(900, 1700) for _ in range(300)]
+    found = {}
+    for recent in (0, 2, 64):
+        monkeypatch.setattr(packing, "RECENT", recent)
+        of, _ = packing.pack(lengths, 4096)
+        fills = np.bincount(of, lengths)
+        assert fills.max() <= 4096 and fills.sum() == sum(lengths)
+        found[recent] = len(fills)
+    assert max(found.values()) - min(found.values()) <= 2
+
+
+def test_block_maxima_skip_most_blocks():
+    """Neighbours are those of all cosines, and at least half of the blocks are never read."""
+    rng = random.Random(12)
+    topics = [[f"t{k}w{j}" for j in range(40)] for k in range(40)]
+    common = [f"c{j}" for j in range(60)]
+
+    def text(k):
+        return " ".join(rng.choice(topics[k]) if rng.random() < 0.5 else rng.choice(common) for _ in range(60))
+
+    examples = [(i, text(i % 40), int(i % 40 < 8)) for i in range(1600)]
+    index = toxicity.BlockMaxIndex(examples, 25, 1.0, 0.5)
+    vectors = [dict(zip(*(x.tolist() for x in index.vector(Counter(toxicity.words(t)))))) for _, t, _ in examples]
+    for k in range(40):
+        terms, weights = index.vector(Counter(toxicity.words(text(k))))
+        near = index.nearest(terms, weights)
+        cosines = [round(sum(w * v.get(t, 0.0) for t, w in zip(terms.tolist(), weights.tolist())), 9) for v in vectors]
+        best = sorted(cosines, reverse=True)[:25]
+        assert [round(c, 9) for c, _ in near] == pytest.approx(best) and all(cosines[d] == pytest.approx(c) for c, d in near)
+    assert 0 < index.blocks_read <= index.blocks_asked / 2
+
+
 def test_local_search_empties_a_bin():
     bins = packing.Bins([6, 5, 5, 4, 4, 4, 2], 10)
     bins.items, bins.fill = [[0], [1, 3], [2, 4], [5, 6]], [6, 9, 9, 6]
