@@ -11,8 +11,9 @@ import pytest
 from oracle import assert_same, duck
 from pyspark.sql import functions as F
 
-from textloom.llm import components, decontaminate, line_dedup, lm_scoring, ngram_jaccard, packing, quality_rules, queries, site_quality, token_counts, token_file, toxicity
+from textloom.llm import decontaminate, line_dedup, lm_scoring, ngram_jaccard, packing, quality_rules, queries, site_quality, token_counts, token_file, toxicity
 from textloom.llm.common import slices
+from textloom.operators import components
 
 ODD = [(1, "", "a", "h", 9), (2, None, None, None, None), (None, "x y z", "b", "h", 1), (3, "x y z", "b", "h", 1), (3, "x y z", "b", "h", 1), (4, "w " * 30_000, "a", "h", 2), (5, " \n\n\t", "a", "", 0)]
 SCHEMA = "doc_id long, text string, lang string, source string, n_lines int"
@@ -400,6 +401,62 @@ def test_scratch_goes(spark):
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def restated_sites(rows, base):
+    """Rates and scores from evidence, in plain Python. rows: (id, host, path, evidence); base: the
+    share of good labels."""
+    sure = lambda e: 1 / (1 + math.exp(-(e + math.log(base / (1 - base)))))
+    hosts, paths = {}, {}
+    for _, h, p, e in rows:
+        for of, key in ((hosts, h), (paths, (h, p))):
+            n, good = of.get(key, (0, 0.0))
+            of[key] = n + 1, good + sure(e)
+    every = sum(g for _, g in hosts.values()) / len(rows)
+
+    def strength(groups):  # (n, rate, parent's rate)
+        v, b, s = (sum(x) / len(groups) for x in zip(*(((r - p) ** 2, p * (1 - p), p * (1 - p) / n) for n, r, p in groups)))
+        return 10_000.0 if v <= s else min(10_000.0, max(1.0, b / (v - s) - 1))
+
+    k = strength([(n, g / n, every) for n, g in hosts.values()])
+    rate = {h: (g + k * every) / (n + k) for h, (n, g) in hosts.items()}
+    j = strength([(n, g / n, rate[h]) for (h, _), (n, g) in paths.items()])
+    out = {}
+    for i, h, p, e in rows:
+        host = (hosts[h][1] - sure(e) + k * every) / (hosts[h][0] - 1 + k)
+        path = (paths[h, p][1] - sure(e) + j * host) / (paths[h, p][0] - 1 + j)
+        safe = min(1 - 1e-6, max(1e-6, path))
+        out[i] = host, path, 1 / (1 + math.exp(-(e + math.log(safe / (1 - safe)))))
+    return out, k, j
+
+
+def test_site_quality_equals_its_restatement(spark, sf):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    known = [r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.doc_id in docs and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    got = queries.op6_site_quality(spark, sf).collect()
+    want, _, _ = restated_sites([(r.doc_id, docs[r.doc_id].source, docs[r.doc_id].lang, r.evidence) for r in got], sum(known) / len(known))
+    assert len(got) == len(docs)
+    for r in got:
+        assert (r.host_rate, r.path_rate, r.score) == pytest.approx(want[r.doc_id], rel=1e-9) and r.kept == (r.score >= 0.5)
+
+
+def test_paths_of_one_site_differ(spark):
+    """Addresses of pages: a site of good and bad folders; folders keep their own rates."""
+    rng, rows = random.Random(3), []
+    good = lambda: " ".join(rng.choice(["the", "of", "and", "house", "river", "stone", "light"]) + rng.choice(["", "s", ","]) for _ in range(80))
+    bad = lambda: " ".join(rng.choice(["$$$", "###", "|x|", "9", "!!"]) for _ in range(80))
+    for k in range(400):
+        site = f"site{k % 4}"
+        folder, text = (("blog", good()) if k % 8 < 4 else ("spam", bad())) if site != "site0" else ("blog", good())
+        rows.append((k, f"https://{site}.org/{folder}/{k}.html", text, int(folder == "blog")))
+    rows.append((400, "https://site1.org/spam/x", good(), 1))
+    pages = spark.createDataFrame(rows, "doc_id long, url string, text string, quality int")
+    host, path = site_quality.host_and_path(F.col("url"))
+    out = {r.doc_id: r for r in site_quality.site_quality(pages.withColumn("source", host).withColumn("lang", path), pages, F.col("doc_id") % 2 == 0).collect()}
+    base = sum(r[3] for r in rows if r[0] % 2 == 0) / sum(1 for r in rows if r[0] % 2 == 0)
+    want, k, j = restated_sites([(r[0], r[1].split("/")[2], r[1].split("/")[3], out[r[0]].evidence) for r in rows], base)
+    assert j < 10_000 and all((out[i].host_rate, out[i].path_rate, out[i].score) == pytest.approx(x, rel=1e-9) for i, x in want.items())
+    assert out[400].path_rate < 0.3 < out[400].host_rate  # a good page in a bad folder
+
+
 CLASH = "doc_id long, text string, lang string, source string, score string, evidence string, piece string, start string, component_id string, n string, h string, row string, at string, lines string, bad_host string, base_failed string, kept string, set string, root string, doc string"
 
 

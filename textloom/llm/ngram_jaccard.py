@@ -38,8 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import connected_components
 from .common import buckets_for, written
-from .components import connected_components
 from .word_hashes import U, joined, mix, word_hashes
 
 #: Groups are so many that two sets of some ten thousand n-grams still differ clearly in counts.
