@@ -64,3 +64,21 @@ def test_plateau(spark):
     df = spark.createDataFrame(pd.DataFrame({"k": ["a"] * 6, "d": range(6), "v": [5.0, 6, 6, 6, 6, 4]}))
     rates = [r.rate for r in generate.plateau_rate(df, "k", "d", "v").orderBy("step").collect()]
     assert rates == [0.1, 0.1, 0.1, 0.1, 0.05, 0.05]
+
+
+def test_repetition_equals_counting_every_run(spark):
+    import random
+
+    from textloom.operators import generate
+
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["a", "b", "aa", "c d", "e"]) for _ in range(rng.randint(0, 60))) for _ in range(200)]
+    texts += ["one two three four five " * 3 + "x", "xone two three four fivey " * 4, "", None, "w " * 40, " ".join(f"w{k}" for k in range(300))]
+
+    def plain(t):
+        w = t.split()
+        return len(w) >= 10 and any(t.count(" ".join(w[k : k + 5])) > 2 for k in range(len(w) - 5))
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", generate.repetitive(F.col("t")).alias("x")).collect()
+    assert {r.i: r.x for r in rows if texts[r.i] is not None} == {k: plain(t) for k, t in enumerate(texts) if t is not None}
+    assert {True, False} <= {r.x for r in rows}

@@ -61,11 +61,23 @@ def answer_letter(text: Column) -> Column:
 
 
 def repetitive(text: Column) -> Column:
-    """SCO28: some run of five words occurs more than twice as a substring."""
+    """SCO28: some run of five words occurs more than twice as a substring.
+
+    The three words in the middle of such a run then stand three times in the text, so the text is
+    searched only for runs whose middle does (counted by hash, sorted within the text)."""
 
     def often(w: Column) -> Column:
-        runs = F.transform(F.sequence(F.lit(1), F.size(w) - 5), lambda i: F.array_join(F.slice(w, i, 5), " "))
-        return F.exists(runs, lambda s: F.floor((F.length(text) - F.length(F.replace(text, s, F.lit("")))) / F.length(s)) > 2)
+        middles = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+        thrice = lambda s: F.array_distinct(F.filter(s, lambda x, k: (k > 1) & (F.get(s, k - 2) == x)))
+
+        def found(s: Column) -> Column:
+            return F.floor((F.length(text) - F.length(F.replace(text, s, F.lit("")))) / F.length(s)) > 2
+
+        def any_run(m: Column, many: Column) -> Column:
+            runs = F.filter(F.sequence(F.lit(1), F.size(w) - 5), lambda i: F.array_contains(many, F.get(m, i)))
+            return F.exists(runs, lambda i: found(F.array_join(F.slice(w, i, 5), " ")))
+
+        return bind(middles, lambda m: bind(bind(F.array_sort(m), thrice), lambda many: F.when(F.size(many) == 0, False).otherwise(any_run(m, many))))
 
     return bind(words(text), lambda w: F.when(F.size(w) < 10, False).otherwise(often(w)))
 
