@@ -111,17 +111,17 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The rows of ``docs`` that are kept, with their own columns.
 
     Every row is decided by its own text and host, whatever its id; only condemned hosts are
-    joined. Texts are measured twice, once for the hosts and once for the row, and not shuffled
-    but where more than ``broadcast_hosts`` hosts are condemned.
+    joined. Texts are measured once, and those that pass written beside their host; they are not
+    shuffled but where more than ``broadcast_hosts`` hosts are condemned.
     """
     # the user's columns are one, so no name of theirs meets one of ours
-    own = docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("own"), *(F.col(quoted(c)).alias(n) for c, n in ((id_col, "id"), (text_col, "text"), (host_col, "host"))))
+    own = docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("own"), *(F.col(quoted(c)).alias(n) for c, n in ((text_col, "text"), (host_col, "host"))))
     failed = _bind(_words(whole_text("text")), lambda w: (F.size(w) < min_words) | (100 * _repeats(w) > repeat_percent * F.size(w)))
-    rows = written(own.select("host", failed.alias("base_failed")), "rules")
-    bad = written(condemned_hosts(rows, host_rate, host_sigmas).select(F.col("host").alias("bad_host")), "bad-hosts")
-    passed, same = own.where(~failed), F.col("host") == F.col("bad_host")
+    rows = written(own.select("host", failed.alias("base_failed"), F.when(~failed, F.col("own")).alias("own")), "rules")
+    bad = written(condemned_hosts(rows.select("host", "base_failed"), host_rate, host_sigmas).select(F.col("host").alias("bad_host")), "bad-hosts")
+    passed, same = rows.where("NOT base_failed"), F.col("host") == F.col("bad_host")
     if bad.count() <= broadcast_hosts:
         return passed.join(F.broadcast(bad), same, "left_anti").select("own.*")  # at most broadcast_hosts names
     salted = bad.withColumn("bad_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64("id", "text"), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.xxhash64(F.to_json("own")), F.lit(SALTS)).cast("int")
     return passed.join(salted, same & (salt == F.col("bad_salt")), "left_anti").select("own.*")
