@@ -114,3 +114,29 @@ def test_alerts_call_back_once_a_batch(spark):
 def test_a_table_without_rows(spark):
     docs = dedup.sliced(texts(spark).limit(0))
     assert replay.run(spark, replay.arrivals(docs), docs.schema, dedup.probed, each=dedup.least).count() == 0
+
+
+@pytest.mark.parametrize("more, want", [([], {(3, "01 00", 2)}), ([(9, 2, "2024-01-06 01:00:00")], {(1, "02 00", 3), (2, "03 03", 1), (3, "01 00", 2), (3, "03 03", 1)})])
+def test_a_late_event_reopens_its_session(spark, tmp_path, more, want):
+    """An event three days late, not late by the watermark, follows a session that has been put out."""
+    import duckdb
+    from oracle import assert_same
+
+    from textloom.plans import catalog
+
+    rows = [(1, 1, "2024-01-02 00:00:00"), (2, 1, "2024-01-02 04:00:00"), (20, 1, "2024-01-02 09:30:00"), (4, 2, "2024-01-03 03:00:00"), (40, 3, "2024-01-01 05:00:00")]
+    rows += [(5, 3, "2024-01-01 00:00:00"), (6, 3, "2024-01-01 05:30:00"), (8, 3, "2024-01-03 03:00:00"), *more]
+    out = spark.createDataFrame(rows, "event_id long, user_id long, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    out.write.parquet(f"{tmp_path}/events.parquet")
+    df = catalog.queries()["stream_late_sessions"](spark, str(tmp_path))
+    assert {(r.user_id, r.start.strftime("%d %H"), r.n) for r in df.collect()} == want
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    assert_same(df, catalog.oracle_sql()["stream_late_sessions"], con)
+
+
+def test_sessions_of_a_table_without_rows(spark, sf, tmp_path):
+    from textloom.plans import catalog
+
+    spark.read.parquet(f"{sf}/events.parquet").limit(0).write.parquet(f"{tmp_path}/events.parquet")
+    assert catalog.queries()["stream_late_sessions"](spark, str(tmp_path)).count() == 0

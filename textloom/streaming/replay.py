@@ -61,3 +61,13 @@ def run(spark: SparkSession, path: str, schema, function: Callable[[DataFrame],
         return spark.read.parquet(f"{at}/rows").drop("batch")
     except AnalysisException:  # nothing has arrived
         return spark.createDataFrame([], kinds[-1])
+
+
+def state(spark: SparkSession, at: str) -> DataFrame | None:
+    """key, value of what the stream with the folder ``at`` holds after its last batch, if it has one state;
+    None where nothing has arrived."""
+    commits = spark._jvm.org.apache.hadoop.fs.Path(f"{at}/state/commits")
+    store = commits.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(commits) or not store.listStatus(commits):
+        return None
+    return spark.read.format("statestore").load(f"{at}/state")
