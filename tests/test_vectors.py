@@ -47,3 +47,25 @@ def test_bands_grow_with_the_table():
 def test_few_vectors(spark, n):
     df = spark.range(n).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.lit(2.0)).alias("embedding"))
     assert [(r.first, r.copies) for r in vectors.groups(df).collect()] == [(0, n)] * n
+
+
+def test_all_links_at_the_threshold_are_found(spark):
+    """A chain in which each vector is just within the threshold of the next alone, through small tiles."""
+    step = np.arccos(0.95) - 1e-7
+    rows = [(k, [float(np.cos(k * step)), float(np.sin(k * step))] + [0.0] * 14) for k in range(9)]
+    rows += [(100 * c + k, [0.0] * (2 + c) + [float(np.cos(k * step)), float(np.sin(k * step))]) for c in range(1, 13) for k in range(4)]
+    apart = np.arccos(0.95) + 1e-7
+    rows += [(5000 + k, [0.0] * 14 + [-float(np.cos(k * apart)), -float(np.sin(k * apart))]) for k in range(4)]
+    got = {r.doc: r.first for r in vectors.groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert [got[k] for k in range(9)] == [0] * 9 and [got[5000 + k] for k in range(4)] == [5000 + k for k in range(4)]
+    nodes = vectors.units(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    found = vectors.connected_components(vectors.linked_pairs(nodes, len(rows), 16, 0.95, tile=64)).collect()
+    assert {r.node: r.root for r in found} == {d: f for d, f in got.items() if d < 5000}
+
+
+def test_a_cluster_gives_a_forest(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, (np.ones(8) + 0.01 * rng.standard_normal(8)).tolist()) for k in range(3000)]
+    nodes = vectors.units(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    edges = vectors.linked_pairs(nodes, 3000, 8, 0.95)
+    assert edges.count() <= 3000 * (vectors.LEAST_GROUPS + 1) and set(r.root for r in vectors.connected_components(edges).collect()) == {0}

@@ -1,11 +1,17 @@
-"""Semantic duplicates: groups of vectors whose cosine reaches a threshold.
+"""Vectors by their cosine: groups of those that reach a threshold, and the nearest to each of some queries.
 
-Vectors are made units once. The index is random projections: a band's key is on which side of its
+For groups vectors are made units once, and equal ones are one node from the start, however many
+there are. All pairs are compared: vectors are dealt into groups by hash, and each pair of groups
+is a tile, which a task goes through in blocks of products in 32 bits. What is linked for certain is
+joined in the tile, so it gives a forest of its links, not all pairs of a cluster; pairs as near to
+the threshold as the products' error are verified by their exact cosine. Time grows with the square
+of the number of vectors, a task's memory does not grow.
+
+With ``recall`` an index of random projections is taken instead: a band's key is on which side of its
 ``bits`` hyperplanes a vector lies. Bits grow with the logarithm of the number of vectors, so a
 key's bucket keeps about as many strangers at every size, and there are as many bands as find a
 pair at the threshold with probability ``recall``. Candidates are verified by their exact cosine
-against a bucket's hub (``near_duplicates.links``), never all pairs of a bucket, and linked vectors
-form groups. Equal vectors are one node from the start, however many there are.
+against a bucket's hub (``near_duplicates.links``), never all pairs of a bucket.
 
 Cases: a null vector, one without length and one of zeros have no direction; each is its own group. A
 null component counts as 0; shorter vectors are filled with zeros. Rows that repeat an id are one
@@ -20,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +34,8 @@ from ..session import written
 from .components import connected_components
 from .near_duplicates import links
 
+#: Numbers of the vectors in a group of a tile, and tiles' groups at least; vectors in a block of products.
+TILE, LEAST_GROUPS, BLOCK = 1 << 22, 8, 1024
 #: Strangers that a bucket holds on average, for an even spread.
 STRANGERS = 4
 
@@ -51,6 +60,69 @@ def cosine(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x * y, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
 
 
+def matrix(column: pa.Array, width: int, dtype=np.float64) -> np.ndarray:
+    """The vectors as rows, filled with zeros; null is zeros."""
+    sizes = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    if (sizes == width).all():
+        return column.flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False).reshape(-1, width)
+    out = np.zeros((len(column), width), dtype)
+    out[np.arange(width) < sizes[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
+def join_roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Joins the trees of a[i] and b[i]; ``root`` has every item's root before and after."""
+    while len(a):
+        x, y = root[a], root[b]
+        apart = x != y
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(up := root[root], root):
+            root[:] = up
+
+
+def linked_pairs(nodes: DataFrame, n: int, width: int, threshold: float, tile: int = TILE) -> DataFrame:
+    """u, v: forests of the links over all pairs of units. nodes: doc, set; n of them, at most width long."""
+    groups = max(LEAST_GROUPS, -(-n * width // tile))
+    error = (width + 8) * 2.0**-23
+
+    def link(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, units_of, of = [], [], []
+        for b in parts:
+            ids.append(b.column("doc").to_numpy(zero_copy_only=False))
+            units_of.append(matrix(b.column("set"), width, np.float32))
+            of.append(b.column("own").to_numpy(zero_copy_only=False))
+        of = np.concatenate(of)
+        order = np.argsort(of, kind="stable")
+        doc, m = np.concatenate(ids)[order], np.concatenate(units_of)[order]
+        one = key[0].as_py() == key[1].as_py()
+        cut = len(of) if one else int((of == of.min()).sum())
+        first, second = (0, cut), ((0, cut) if one else (cut, len(of)))
+        root, unsure = np.arange(len(doc)), []
+        for i in range(*first, BLOCK):
+            for j in range(i if one else second[0], second[1], BLOCK):
+                products = m[i : min(i + BLOCK, first[1])] @ m[j : min(j + BLOCK, second[1])].T
+                near = products >= threshold - error
+                if near.any():
+                    a, b = np.nonzero(near)
+                    sure = products[a, b] >= threshold + error
+                    join_roots(root, a[sure] + i, b[sure] + j)
+                    unsure.append((a[~sure] + i, b[~sure] + j))
+        below = np.flatnonzero(root != np.arange(len(root)))
+        a, b = (np.concatenate(x) for x in zip(*unsure, strict=True)) if unsure else (below[:0], below[:0])
+        apart = root[a] != root[b]
+        u, v = np.concatenate((below, a[apart])), np.concatenate((root[below], b[apart]))
+        yield pa.RecordBatch.from_arrays([pa.array(doc[u], pa.int64()), pa.array(doc[v], pa.int64()), pa.array(np.arange(len(u)) < len(below))], names=["u", "v", "sure"])
+
+    own = F.pmod(F.xxhash64("doc"), F.lit(groups)).cast("int")
+    dealt = nodes.select("doc", F.col("set").cast("array<float>").alias("set"), own.alias("own")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    tiles = dealt.groupBy(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+    found = written(tiles.applyInArrow(link, "u long, v long, sure boolean"), "tiles")
+    ends = [nodes.select(F.col("doc").alias(c), F.col("set").alias(f"{c}_set")) for c in ("u", "v")]
+    judged = found.where("NOT sure").join(ends[0], "u").join(ends[1], "v").where(cosine(F.col("u_set"), F.col("v_set")) >= threshold)
+    return found.where("sure").select("u", "v").unionByName(judged.select("u", "v"))
+
+
 def band_keys(nodes: DataFrame, width: int, bits: int, bands: int, seed: int = 11) -> DataFrame:
     """doc, band, key. The planes are drawn again wherever they are needed, a band at a time."""
 
@@ -67,15 +139,19 @@ def band_keys(nodes: DataFrame, width: int, bits: int, bands: int, seed: int = 1
     return nodes.select("doc", "set").mapInArrow(keys, "doc long, band int, key string")
 
 
-def groups(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95, recall: float = 0.98) -> DataFrame:
-    """doc, first (the least id of its group), copies (ids of the same vector, itself included)."""
+def groups(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95, recall: float | None = None) -> DataFrame:
+    """doc, first (the least id of its group), copies (ids of the same vector, itself included). recall: that
+    a link is found, by random projections; without it all are."""
     rows = written(units(df, id_col, vector_col).withColumn("same", F.xxhash64("set")), "units")
     found = rows.where("set IS NOT NULL")
     same = written(found.groupBy("same", "set").agg(F.min("doc").alias("node"), F.count("*").alias("copies")), "vectors")
     n, width = same.agg(F.count("*"), F.coalesce(F.max(F.size("set")), F.lit(1))).first()
     nodes = same.select(F.col("node").alias("doc"), "set")
-    edges = written(links(nodes, band_keys(nodes, width, *bands_for(n, threshold, recall)), threshold, cosine), "links")
-    roots = connected_components(edges)
+    if recall is None:
+        edges = linked_pairs(nodes, n, width, threshold)
+    else:
+        edges = links(nodes, band_keys(nodes, width, *bands_for(n, threshold, recall)), threshold, cosine)
+    roots = connected_components(written(edges, "links"))
     told = same.join(roots, "node", "left").select("same", F.col("set").alias("of"), F.coalesce("root", "node").alias("first"), "copies")
     out = rows.join(told, (rows["same"] == told["same"]) & (F.col("set") == F.col("of")), "left")
     return out.select("doc", F.coalesce("first", "doc").alias("first"), F.coalesce("copies", F.lit(1)).alias("copies"))
