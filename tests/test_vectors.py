@@ -69,3 +69,15 @@ def test_a_cluster_gives_a_forest(spark):
     nodes = vectors.units(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
     edges = vectors.linked_pairs(nodes, 3000, 8, 0.95)
     assert edges.count() <= 3000 * (vectors.LEAST_GROUPS + 1) and set(r.root for r in vectors.connected_components(edges).collect()) == {0}
+
+
+def test_nearest_with_and_without_a_direction(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [2.0, 0.2]), (3, None), (100, [-1.0, 0.0]), (200, None)]
+
+    def near(more):
+        df = spark.createDataFrame(rows + more, "vec_id long, embedding array<double>")
+        return {r.query_id: (r.cosine, r.vec_id) for r in vectors.nearest(df, df.where("vec_id % 100 = 0"), at_a_time=2).collect()}
+
+    assert near([]) == {0: (0.995037, 1), 100: (-0.995037, 1), 200: (None, 0)}
+    zero = near([(4, [0.0, 0.0])])
+    assert {q: v for q, (_, v) in zero.items()} == {0: 4, 100: 4, 200: 0} and np.isnan(zero[0][0]) and zero[200][0] is None

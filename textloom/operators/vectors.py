@@ -155,3 +155,53 @@ def groups(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     told = same.join(roots, "node", "left").select("same", F.col("set").alias("of"), F.coalesce("root", "node").alias("first"), "copies")
     out = rows.join(told, (rows["same"] == told["same"]) & (F.col("set") == F.col("of")), "left")
     return out.select("doc", F.coalesce("first", "doc").alias("first"), F.coalesce("copies", F.lit(1)).alias("copies"))
+
+
+#: What a query's best is before any vector, for itself, for null, and in place of NaN, which comes before all cosines.
+NONE, UNKNOWN, NAN = -4.0, -3.0, 3.0
+
+
+def nearest(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", at_a_time: int = 4096) -> DataFrame:
+    """query_id, cosine (to six digits), vec_id: of all vectors but the query's id the nearest; ties go to
+    the least id. NaN (of zeros) comes before, null (without a vector) after all cosines, as in SQL.
+
+    Queries are sent to the workers ``at_a_time``, and each task keeps a best for each of them."""
+    spark = df.sparkSession
+    columns = lambda d: d.select(F.col(id_col).cast("long").alias("doc"), F.col(vector_col).cast("array<double>").alias("e"))
+    asked, every = written(columns(queries).where("doc IS NOT NULL"), "queries"), columns(df).where("doc IS NOT NULL")
+    n, width = asked.agg(F.count("*"), F.coalesce(F.max(F.size("e")), F.lit(1))).first()
+    width, blocks = max(1, width), 1 + n // at_a_time
+
+    def found(k: int) -> DataFrame:
+        t = asked.where(F.pmod(F.xxhash64("doc"), F.lit(blocks)) == k).toArrow().combine_chunks()  # about at_a_time rows
+        e = t["e"].combine_chunks()
+        held = spark.sparkContext.broadcast((t["doc"].to_numpy(), matrix(e, width), e.is_null().to_numpy(zero_copy_only=False)))
+
+        def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, q, unknown = held.value
+            top, who = np.full(len(ids), NONE), np.full(len(ids), np.iinfo(np.int64).max)
+            size = np.sqrt((q * q).sum(axis=1))[:, None]
+            for batch in batches:
+                for at in range(0, batch.num_rows if len(ids) else 0, BLOCK // 2):
+                    part = batch.slice(at, BLOCK // 2)
+                    doc, m = part.column(0).to_numpy(zero_copy_only=False), matrix(part.column(1), width)
+                    with np.errstate(invalid="ignore", divide="ignore"):
+                        c = np.round(q @ m.T / (size * np.sqrt((m * m).sum(axis=1))), 6)
+                    c[np.isnan(c)] = NAN
+                    c[:, part.column(1).is_null().to_numpy(zero_copy_only=False)] = UNKNOWN
+                    c[unknown] = UNKNOWN
+                    c[ids[:, None] == doc] = NONE
+                    here = c.max(axis=1)
+                    least = np.where(c == here[:, None], doc, np.iinfo(np.int64).max).min(axis=1)
+                    better = (here > top) | ((here == top) & (least < who) & (here > NONE))
+                    top[better], who[better] = here[better], least[better]
+            some = top > NONE
+            yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (ids, top, who)], names=["query_id", "c", "doc"])
+
+        return every.mapInArrow(best, "query_id long, c double, doc long")
+
+    out = found(0)
+    for k in range(1, blocks):
+        out = out.unionByName(found(k))
+    out = out.groupBy("query_id").agg(F.max("c").alias("c"), F.min_by("doc", F.struct(-F.col("c"), F.col("doc"))).alias("vec_id"))
+    return out.select("query_id", F.when(F.col("c") == NAN, F.lit(float("nan"))).when(F.col("c") != UNKNOWN, F.col("c")).alias("cosine"), "vec_id")

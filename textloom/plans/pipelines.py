@@ -103,21 +103,8 @@ QUERIES = 4096
 
 def dup5_all(spark: SparkSession, sf_dir: str, at_a_time: int = QUERIES) -> DataFrame:
     """The nearest of all vectors to each query (ids divisible by 100), under any label."""
-    v = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
-    v = v.withColumn("size", F.sqrt(F.aggregate("e", F.lit(0.0), lambda a, x: a + x * x)))
-    a = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("e").alias("q"), F.col("size").alias("q_size"))
-    dot = F.aggregate(F.zip_with("q", "e", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    blocks = 1 + a.count() // at_a_time
-
-    def nearest(k: int) -> DataFrame:
-        mine = a.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == k)  # about at_a_time rows at most
-        near = v.join(F.broadcast(mine), F.col("query_id") != F.col("vec_id")).withColumn("cosine", F.round(dot / (F.col("q_size") * F.col("size")), 6))
-        return near.groupBy("query_id").agg(F.max("cosine").alias("cosine"), F.min_by("vec_id", F.struct(-F.col("cosine"), F.col("vec_id"))).alias("vec_id"))
-
-    out = nearest(0)
-    for k in range(1, blocks):
-        out = out.unionByName(nearest(k))
-    return out
+    v = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vectors.nearest(v, v.where("vec_id % 100 = 0"), at_a_time=at_a_time)
 
 
 #: All pairs that share a run of five words, exactly verified, and what can be reached over them.
