@@ -140,3 +140,49 @@ def test_sessions_of_a_table_without_rows(spark, sf, tmp_path):
 
     spark.read.parquet(f"{sf}/events.parquet").limit(0).write.parquet(f"{tmp_path}/events.parquet")
     assert catalog.queries()["stream_late_sessions"](spark, str(tmp_path)).count() == 0
+
+
+def test_keys_of_texts_equal_those_of_columns(spark):
+    import pyarrow as pa
+
+    docs = texts(spark).where("doc_id IS NOT NULL").unionByName(spark.createDataFrame([(50, "ÀB c\x0bd\te f G"), (51, "x" * 3)], "doc_id long, text string"))
+    want = {(r.doc, r.band, r.key) for r in minhash.band_keys(docs, "doc_id", "text").collect()}
+    t = docs.select("doc_id", F.lower("text").alias("text")).toArrow()
+    got = [b.to_pandas() for b in dedup.local_firsts(dedup.hashed(iter(t.combine_chunks().to_batches()), 5))]
+    assert {(d, b, k) for x in got for d, b, k in zip(x["doc"], x["band"], x["key"], strict=True)} == want
+
+
+def test_one_call_for_all_keys_of_a_part(spark):
+    import numpy as np
+    import pandas as pd
+
+    class Value:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Handle:
+        def getValueState(self, name, schema, ttl=None):  # noqa: N802
+            return Value()
+
+    part = dedup.FirstsOfPart()
+    part.init(Handle())
+    keys = [f"{k:032x}" for k in range(3000)]
+
+    def ask(docs, keys, spread=0):
+        rows = pd.DataFrame({"band": np.arange(len(keys), dtype=np.int32) % 2, "key": keys, "spread": spread, "doc": docs, "first": docs})
+        return next(part.handleInputRows((0,), iter([rows[:7], rows[7:]]), None))
+
+    assert ask(range(10, 3010), keys)["first"].tolist() == list(range(10, 3010))
+    assert ask([5] * 3000, keys[::-1])["first"].tolist() == [5] * 3000  # the other band of each
+    assert ask(range(9000, 12000), keys)["first"].tolist() == list(range(10, 3010))
+    known = ask([7, 8], ["f" * 32, "e" * 32], spread=9)
+    assert known["first"].tolist() == [7, 8] and not known["known"].any() and len(part.held.value[0]) == 6000 * 26
+    assert dedup.parts_for(0) == dedup.PARTS < dedup.parts_for(10**8)

@@ -37,7 +37,8 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dedup.sliced(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return replay.run(spark, replay.arrivals(rows), rows.schema, dedup.probed, each=dedup.least)
+    parts = dedup.parts_for(rows.count())
+    return replay.run(spark, replay.arrivals(rows), rows.schema, lambda d: dedup.probed(d, parts=parts), each=dedup.least)
 
 
 def queries() -> dict[str, Query]:
