@@ -84,3 +84,16 @@ def test_few_rows(spark, rows):
     out = near_duplicates.groups(spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, first string"))
     assert [(r.doc, r.first, r.copies, r.links) for r in out.collect()] == [(1, 1, 1, 0)] * len(rows)
     assert near_duplicates.first_of_groups(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(rows)
+
+
+def test_no_link_at_the_threshold_is_missed(spark, tmp_path):
+    """Three hundred pairs of a similarity of just 0.8, of which an index of bands misses some."""
+    from textloom.plans import catalog
+
+    rows = [(2 * k + j, " ".join([f"É{k}w{i}" for i in range(12)] + [f"end{j}"])) for k in range(300) for j in range(2)]
+    rows += [(9000 + j, " ".join([f"u{i}" for i in range(11)] + [f"end{j}"])) for j in range(2)]  # 7 of 9
+    rows += [(9100, None), (9101, " "), (9102, rows[0][1].lower()), (9102, rows[0][1].lower())]
+    spark.createDataFrame([*rows, (None, "a b")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc: (r.first, r.copies) for r in catalog.queries()["dup1_verified_groups"](spark, str(tmp_path)).collect()}
+    want = {i: (i - i % 2, 2 if i == 0 else 1) for i in range(600)} | {i: (i, 1) for i in (9000, 9001, 9100, 9101)} | {9102: (0, 2)}
+    assert got == want

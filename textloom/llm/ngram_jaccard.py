@@ -396,6 +396,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return rows.join(of_set, "set", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """doc, first (the least id of its component), copies (ids of the same set, itself included).
+
+    Letters of any alphabet are lower-cased. Rows that repeat an id are one (the least text by hash);
+    a null id is left out; a text without words is a group of its own."""
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    again = written(texts.groupBy("doc").agg(F.count("*").alias("times")).where("times > 1").select("doc"), "repeated")
+    if again.head(1):
+        once = texts.join(again, "doc").groupBy("doc").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        texts = texts.join(again, "doc", "left_anti").unionByName(once)
+    rows, roots = _components(texts.select("doc", F.lower("text").alias("text")), "doc", "text", width, percent)
+    sets = rows.where(F.col("set").isNotNull()).groupBy("set", "n").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    sets = written(sets.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set")), "sets")
+    first = written(sets.groupBy("root").agg(F.min("least").alias("first")), "first-ids")
+    out = rows.join(sets.join(first, "root").select("set", "n", "first", "copies"), ["set", "n"], "left")
+    return out.select(F.col("doc_id").alias("doc"), F.coalesce("first", "doc_id").alias("first"), F.coalesce("copies", F.lit(1)).alias("copies"))
+
+
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that are the first of their component, with their own columns.
 

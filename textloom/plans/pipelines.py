@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dedup, digests, folds, funnel, generate, near_duplicates, vectors
+from ..operators import dedup, digests, folds, funnel, generate, vectors
 from ..functions import tables
 from ..session import table
 from ..streaming import metrics
@@ -119,6 +119,14 @@ t AS (SELECT node AS a, node AS b FROM c UNION SELECT t.a, l.v FROM t JOIN l ON
 f AS (SELECT a AS node, min(b) AS first FROM t GROUP BY a)
 SELECT d.doc_id AS doc, coalesce(f.first, d.doc_id) AS first, coalesce(c.copies, 1) AS copies FROM documents d LEFT JOIN z ON z.doc = d.doc_id LEFT JOIN c USING (same) LEFT JOIN f ON f.node = c.node"""
 
+
+def dup1_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All links of a similarity of 0.8; this query alone of these needs the language-model operators."""
+    from ..llm import ngram_jaccard
+
+    return ngram_jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def dup5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors, and of each fourth a near copy (a fifth of its mirror image added)."""
     v = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
@@ -202,7 +210,7 @@ def queries() -> dict[str, Query]:
         "prj15_truncate_pad": prj15,
         "prj16_mcq_prompt": prj16,
         "dup1_keep_first": lambda s, d: dedup.keep_first(_keyed(s, d)).select("id", "copies"),
-        "dup1_verified_groups": lambda s, d: near_duplicates.groups(table(s, d, "documents")).select("doc", "first", "copies"),
+        "dup1_verified_groups": dup1_verified,
         "dup3_groups": lambda s, d: dedup.duplicate_pairs(_keyed(s, d)),
         "dup5_embedding_neighbors": dup5_all,
         "dup5_semantic_groups": dup5_groups,
